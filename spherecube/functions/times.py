@@ -45,9 +45,10 @@ def ntz(column: Column) -> Column:
     return column.cast("timestamp_ntz")
 
 
-def epoch_seconds(time: Column) -> Column:
-    """Seconds since 1970 of a zone-less time (session zone is UTC)."""
-    return F.unix_micros(time.cast("timestamp")) / F.lit(1e6)
+def seconds_between(earlier: Column, later: Column) -> Column:
+    """Length in seconds of the span between two zone-less times, exact to the microsecond."""
+    micros = [F.unix_micros(t.cast("timestamp")) for t in (later, earlier)]
+    return (micros[0] - micros[1]) / F.lit(1e6)
 
 
 def bin_start(time: Column, seconds: int, start_second: int = 0) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spherecube.functions.fields import value_columns
-from spherecube.functions.times import epoch_seconds
+from spherecube.functions.times import seconds_between
 from spherecube.operators.timeops import with_previous
 
 MIN_STORE_BYTES = 1024 * 1024
@@ -44,7 +44,9 @@ def day_status(days: DataFrame, stores: DataFrame) -> DataFrame:
         .when(F.col("problem").isNull(), "complete")
         .otherwise("incomplete")
     )
-    return days.join(found, "day", "left").select("day", "bytes", "problem", status.alias("status"))
+    return days.join(found, "day", "left").select(
+        "day", F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"), "problem", status.alias("status")
+    )
 
 
 def progress_summary(status: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def store_profile(cube: DataFrame, values: list[str], store: str = "store") -> D
         *[F.min(f"lo_{v}").alias(f"lo_{v}") for v in values],
         *[F.max(f"hi_{v}").alias(f"hi_{v}") for v in values],
     )
-    gap = epoch_seconds(F.col("time")) - epoch_seconds(F.lag("time").over(Window.partitionBy(store).orderBy("time")))
+    gap = seconds_between(F.lag("time").over(Window.partitionBy(store).orderBy("time")), F.col("time"))
     # a store covers one day or month, so its step list is short
     spacing = per_step.select(store, "time").withColumn("_gap_h", gap / 3600.0)
     spacing = spacing.groupBy(store).agg(
@@ -183,17 +185,22 @@ def validation_summary(stores: DataFrame, issues: DataFrame, store: str = "store
     return joined.withColumn("valid", F.col("n_errors") == 0)
 
 
-def nonstandard_values(cube: DataFrame) -> DataFrame:
-    """Per variable: rows, missing and infinite counts, unpivoted."""
-    names = value_columns(cube)
-    endless = F.lit(float("inf"))
+def value_stats(cube: DataFrame, values: list[str] | None = None) -> DataFrame:
+    """Per variable: smallest and largest value and share missing, from one pass."""
+    names = values or value_columns(cube)
     facts = cube.agg(
-        F.count("*").alias("rows"),
+        F.count("*").alias("n"),
         *[F.count(v).alias(f"n_{v}") for v in names],
-        *[F.sum(F.when(F.abs(F.col(v)) == endless, 1).otherwise(0)).alias(f"inf_{v}") for v in names],
+        *[F.min(v).cast("double").alias(f"lo_{v}") for v in names],
+        *[F.max(v).cast("double").alias(f"hi_{v}") for v in names],
     )
     rows = [
-        F.struct(F.lit(v).alias("var"), F.col("rows"), (F.col("rows") - F.col(f"n_{v}")).alias("missing"), F.col(f"inf_{v}").alias("infinite"))
+        F.struct(
+            F.lit(v).alias("var"),
+            F.col(f"lo_{v}").alias("min"),
+            F.col(f"hi_{v}").alias("max"),
+            ((F.col("n") - F.col(f"n_{v}")) * 100.0 / F.col("n")).alias("missing_percent"),
+        )
         for v in names
     ]
     return facts.select(F.inline(F.array(*rows)))

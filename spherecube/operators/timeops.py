@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from spherecube.functions.fields import value_columns
 from spherecube.functions.times import (
     bin_start,
-    epoch_seconds,
     interval_seconds,
     ntz,
     parse_date_value,
+    seconds_between,
 )
 
 log = logging.getLogger(__name__)
@@ -236,5 +236,4 @@ def step_spacing(cube: DataFrame, time: str = "time") -> DataFrame:
     """Seconds between consecutive distinct steps (NULL for the first)."""
     steps = cube.select(F.col(time).alias("time")).distinct()
     both = with_previous(steps, "time", "time", F.to_date("time"), "_previous")
-    gap = epoch_seconds(F.col("time")) - epoch_seconds(F.col("_previous"))
-    return both.select("time", gap.alias("spacing_s"))
+    return both.select("time", seconds_between(F.col("_previous"), F.col("time")).alias("spacing_s"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +26,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local-mode
-    session may fall back to a temporary folder of this machine.
+    Only a local-mode session may fall back to a temporary folder of this machine.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="spherecube-checkpoint-")
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="spherecube-checkpoint-")
         sc.setCheckpointDir(folder)
+    return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New path for an intermediate table under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and continue from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -112,19 +112,20 @@ def cached_weights(
     return entry()
 
 
-def cube_attributes(spark: SparkSession, dataset: str, zoom: int, original_grid: str, **extra: str) -> DataFrame:
-    """One attribute row kept beside a store."""
+def with_attributes(datasets: DataFrame, zoom: int, original_grid: str, **extra: str) -> DataFrame:
+    """Attribute row of each data set in a ``(dataset, ...)`` table, kept beside its store."""
     attrs = {
         "grid_mapping_name": "healpix",
-        "healpix_nside": str(healpix.nside(zoom)),
-        "healpix_npix": str(healpix.npix(zoom)),
+        "healpix_nside": healpix.nside(zoom),
+        "healpix_npix": healpix.npix(zoom),
         "healpix_scheme": "nest",
-        "zoom": str(zoom),
+        "zoom": zoom,
         "original_grid": original_grid,
         "remapping_method": "delaunay_triangulation",
-        **{k: str(v) for k, v in extra.items()},
+        **extra,
     }
-    return spark.createDataFrame([(dataset, zoom, attrs)], "dataset string, zoom int, attrs map<string,string>")
+    pairs = [F.lit(str(x)) for item in attrs.items() for x in item]
+    return datasets.withColumns({"zoom": F.lit(zoom), "attrs": F.create_map(*pairs)})
 
 
 def write_attributes(attributes: DataFrame, path: str) -> None:
