@@ -260,9 +260,15 @@ def _finish(batches):
         )
 
 
-def _one_round(state: DataFrame, leaf_points: DataFrame, boxes: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Visit the touched leaves once; returns (finished, still open)."""
-    visits = state.mapInPandas(_touched_leaves(boxes), STATE_SCHEMA + ", leaf int")
+def _one_round(
+    state: DataFrame, leaf_points: DataFrame, boxes: np.ndarray, tasks: int
+) -> tuple[DataFrame, DataFrame]:
+    """Visit the touched leaves once; returns (finished, still open).
+
+    Partition counts are explicit: the searches are heavy for the few bytes they move, and adaptive
+    execution, which sizes partitions by bytes, would put them into too few tasks.
+    """
+    visits = cut_lineage(state.mapInPandas(_touched_leaves(boxes), STATE_SCHEMA + ", leaf int"))
     untouched = visits.filter("leaf is null").select(STATE)
     visits = visits.filter("leaf is not null")
     # crowded leaves are split over several groups, each with a copy of the leaf's points
@@ -275,8 +281,11 @@ def _one_round(state: DataFrame, leaf_points: DataFrame, boxes: np.ndarray) -> t
     )
     searched = (
         salted_visits.select(*STATE, "leaf", "salt")
+        .repartition(tasks, "leaf", "salt")
         .groupBy("leaf", "salt")
-        .cogroup(salted_points.select("pid", "px", "py", "leaf", "salt").groupBy("leaf", "salt"))
+        .cogroup(
+            salted_points.select("pid", "px", "py", "leaf", "salt").repartition(tasks, "leaf", "salt").groupBy("leaf", "salt")
+        )
         .applyInPandas(_search_leaf, STATE_SCHEMA + ", changed boolean")
     )
     proposal = F.when(
@@ -284,8 +293,10 @@ def _one_round(state: DataFrame, leaf_points: DataFrame, boxes: np.ndarray) -> t
         F.array(*[F.struct(F.col(i).alias("id"), F.col(x).alias("px"), F.col(y).alias("py")) for i, x, y in zip(IDS, XS, YS)]),
     )
     # proposals per target are bounded by the number of leaves it visited
-    gathered = searched.groupBy("cell").agg(F.flatten(F.collect_list(proposal)).alias("found"))
-    gathered = cut_lineage(state.join(gathered, "cell"))
+    gathered = searched.repartition(tasks, "cell").groupBy("cell").agg(
+        F.flatten(F.collect_list(proposal)).alias("found")
+    )
+    gathered = cut_lineage(state.repartition(tasks, "cell").join(gathered, "cell"))
     finished = gathered.filter("size(found) = 0").select(STATE).unionByName(untouched)
     improved = gathered.filter("size(found) > 0").select(
         *STATE, F.col("found.id").alias("vid"), F.col("found.px").alias("vpx"), F.col("found.py").alias("vpy")
@@ -299,8 +310,8 @@ def triangulated_weights(
     grid_id: str,
     wrap: bool | None = None,
     cells: DataFrame | None = None,
-    points_per_leaf: int = 2000,
-    max_leaves: int = 4096,
+    points_per_leaf: int = 256,
+    max_leaves: int = 8192,
 ) -> DataFrame:
     """Weights from any set of points ``(src_idx, lon, lat)`` to the cells of ``zoom``.
 
@@ -361,11 +372,12 @@ def triangulated_weights(
             )
             yield _with_basis(seeded, *_improve_blocks(seeded, frame_id, frame_x, frame_y))
 
+    tasks = max(2 * spark.sparkContext.defaultParallelism, n_leaves // 16)
     state = cut_lineage(targets.mapInPandas(start, STATE_SCHEMA))
     finished, rounds = [], 0
     while not state.isEmpty():
         rounds += 1
-        done, state = _one_round(state, leaf_points, boxes)
+        done, state = _one_round(state, leaf_points, boxes, tasks)
         finished.append(done)
         if rounds > 200:
             raise RuntimeError("triangle search does not settle")
@@ -375,7 +387,7 @@ def triangulated_weights(
     done = finished[0]
     for more in finished[1:]:
         done = done.unionByName(more)
-    vertices = done.mapInPandas(_finish, "cell bigint, k int, pid bigint, w double")
+    vertices = done.coalesce(tasks).mapInPandas(_finish, "cell bigint, k int, pid bigint, w double")
     return vertices.select(
         F.lit(grid_id).alias("grid_id"), F.lit(zoom).alias("zoom"), "cell", "k",
         F.floor(F.col("pid") / 3).alias("src_idx"), "w",

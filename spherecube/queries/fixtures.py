@@ -96,7 +96,7 @@ def obs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key % SLICE).alias("src_idx"),
         F.floor((key % SLICE) / NX).alias("iy"),
         ((key % SLICE) % NX).alias("ix"),
-        F.when(key % 97 != 0, F.col("o_totalprice") / 7.0).alias("pr"),
+        F.when(key % 97 != 0, F.col("o_totalprice") * 0.3183098861837907).alias("pr"),
     )
     return placed.withColumns(
         {"lat": F.col("iy") * 10.0 - 85.0, "lon": F.col("ix") * 10.0 + 5.0}
@@ -106,7 +106,7 @@ def obs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def obs_orders_sql() -> str:
     return f"""(SELECT TIMESTAMP '2020-01-01' + to_minutes(CAST(30 * (o_orderkey // {SLICE}) AS BIGINT)) AS time,
         o_orderkey % {SLICE} AS src_idx, (o_orderkey % {SLICE}) // {NX} AS iy, (o_orderkey % {SLICE}) % {NX} AS ix,
-        CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice / 7 END AS pr,
+        CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice * CAST(0.3183098861837907 AS DOUBLE) END AS pr,
         CAST((o_orderkey % {SLICE}) // {NX} AS DOUBLE) * 10 - 85 AS lat,
         CAST((o_orderkey % {SLICE}) % {NX} AS DOUBLE) * 10 + 5 AS lon,
         (CAST((o_orderkey % {SLICE}) // {NX} AS DOUBLE) * 10 - 85) * 2 + 3 AS lin FROM orders)"""

@@ -172,7 +172,7 @@ def j4_blocked(spark, sf_dir):
 
 _LEVEL_OBS = f"""(SELECT TIMESTAMP '2020-01-01' + to_hours(CAST(o_orderkey // {3 * fx.SLICE} AS INTEGER)) AS time,
     CAST(1000 - 250 * ((o_orderkey // {fx.SLICE}) % 3) AS DOUBLE) AS level, o_orderkey % {fx.SLICE} AS src_idx,
-    CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice / 7 END AS ta FROM orders)"""
+    CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice * CAST(0.3183098861837907 AS DOUBLE) END AS ta FROM orders)"""
 
 
 @query(
@@ -186,7 +186,7 @@ def j4_levels(spark, sf_dir):
     obs = o.select(
         F.expr(f"timestamp_ntz'2020-01-01' + make_dt_interval(0, cast(o_orderkey div {3 * fx.SLICE} as int), 0, 0)").alias("time"),
         (1000.0 - 250.0 * (F.floor(key / fx.SLICE) % 3)).alias("level"), (key % fx.SLICE).alias("src_idx"),
-        F.when(key % 97 != 0, F.col("o_totalprice") / 7.0).alias("ta"),
+        F.when(key % 97 != 0, F.col("o_totalprice") * 0.3183098861837907).alias("ta"),
     )
     return rounded(remap.apply_weights(obs, _weights(spark, sf_dir), Z), "ta")
 
