@@ -154,14 +154,14 @@ def store_issues(
         share = (F.col("n") - F.col(f"n_{v}")) * 100.0 / F.col("n")
         first_empty = F.col(f"first_{v}") == 0
         endless = F.lit(float("inf"))
-        text = F.format_string(f"{v}: %.1f%% missing", share)
+        text = F.format_string(f"{v}: %.1f%% missing", F.bround(share, 1))
         found.append(_issue(first_empty, "error", F.lit(f"{v}: first step is all missing")))
         found.append(_issue(~first_empty & (share > 50), "error", text))
         found.append(_issue(~first_empty & (share > 0) & (share <= 50), "warning", text))
         unbounded = (F.col(f"lo_{v}") == -endless) | (F.col(f"hi_{v}") == endless)
         found.append(_issue(~first_empty & unbounded, "error", F.lit(f"{v}: infinite values")))
     uneven = (F.abs(F.col("gap_min") - step_hours) > 0.1) | (F.abs(F.col("gap_max") - step_hours) > 0.1)
-    found.append(_issue(uneven, "warning", F.format_string("uneven time steps, mean %.2f h", F.col("gap_mean"))))
+    found.append(_issue(uneven, "warning", F.format_string("uneven time steps, mean %.2f h", F.bround("gap_mean", 2))))
     issues = F.filter(F.array(*found), lambda i: i.isNotNull())
     return profile.select(store, F.inline(issues))
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
 from spherecube.operators.grids import shifted_copies
-from spherecube.operators.weights import one_per_location
+from spherecube.operators.weights import longitude_frame, one_per_location
 from spherecube.session import cut_lineage
 
 log = logging.getLogger(__name__)
@@ -349,8 +349,8 @@ def triangulated_weights(
     frame_y = np.array([frame[i][1] for i in frame_id])
 
     targets = healpix.with_cell_centers(cells if cells is not None else healpix.all_cells(spark, zoom), zoom)
-    turned = F.lit(stats.x_lo) + F.pmod(F.col("lon") - F.lit(stats.x_lo), F.lit(360.0))
-    targets = targets.select("cell", (F.col("lon") if wrap else turned).alias("x"), F.col("lat").alias("y"))
+    x = F.col("lon") if wrap else longitude_frame(F.col("lon"), stats.x_lo)
+    targets = targets.select("cell", x.alias("x"), F.col("lat").alias("y"))
     # no point lies beyond the farthest one in a direction, so neither does a covered target
     turn = np.array([[math.cos(t), math.sin(t)] for t in angles]).T
     reach = np.array([far.d + 1e-9 * max(1.0, abs(far.d)) for far in extremes])

@@ -11,10 +11,24 @@ from pyspark.sql import functions as F
 from spherecube.functions import healpix
 from spherecube.operators.grids import axis_intervals, axis_table
 
+# cells this close (degrees) outside the outermost grid lines count as lying on them
+EDGE = 1e-9
 # an axis longer than this is not a grid axis; it is the broadcast bound of the interval tables
 MAX_AXIS = 100_000
 
 
+def longitude_frame(lon: Column, start: float) -> Column:
+    """Shift a longitude by whole turns into the window that begins at ``start``."""
+    turns = F.floor((lon - F.lit(start - EDGE)) / 360.0)
+    return lon - turns * 360.0
+
+
+def _snap(value: Column, lo: float, hi: float) -> Column:
+    return (
+        F.when(value.between(lo - EDGE, lo), F.lit(lo)).when(value.between(hi, hi + EDGE), F.lit(hi)).otherwise(value)
+    )
+
+
 def _bucketed(intervals: DataFrame, origin: float, width: float) -> DataFrame:
     """Repeat each interval for the equal-width buckets it touches (about two on a uniform axis)."""
     first = F.floor((F.col("lo") - origin) / width)
@@ -82,9 +96,12 @@ def regular_weights(
         lon_steps = lon_steps.unionByName(seam)
 
     targets = healpix.with_cell_centers(cells if cells is not None else healpix.all_cells(spark, zoom), zoom)
-    # bring the cell longitude into the window that starts at the grid's first longitude
-    frame = F.lit(lon_stats.lo) + F.pmod(F.col("lon") - F.lit(lon_stats.lo), F.lit(360.0))
-    targets = targets.select("cell", "lat", frame.alias("lon"))
+    lon_in_frame = longitude_frame(F.col("lon"), lon_stats.lo)
+    targets = targets.select(
+        "cell",
+        _snap(F.col("lat"), lat_stats.lo, lat_stats.hi).alias("lat"),
+        (lon_in_frame if wrap else _snap(lon_in_frame, lon_stats.lo, lon_stats.hi)).alias("lon"),
+    )
     found = _locate(targets, lon_steps, F.col("lon"), "x", (lon_stats.lo, lon_end, dlon))
     found = _locate(found, lat_steps, F.col("lat"), "y", (lat_stats.lo, lat_stats.hi, dlat))
 
