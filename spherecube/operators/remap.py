@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
 from spherecube.functions.fields import value_columns
 
-# Weights have at most 36 * 4**zoom rows, so the zoom alone bounds the broadcast (zoom 8: 2.4 M).
-BROADCAST_ROWS = 3_000_000
+# 12 * 4**zoom bounds the cells, so the zoom alone decides whether weights may be broadcast:
+# zoom 9 has 3.1 million cells of about 60 bytes.
+BROADCAST_CELLS = 4_000_000
+# rows of the source lookup that may be broadcast; checked by a count where the zoom cannot tell
+BROADCAST_LOOKUP = 3_000_000
+TILE_LEVELS = 6
 
 
 def step_keys(cube: DataFrame) -> list[str]:
@@ -18,7 +22,7 @@ def step_keys(cube: DataFrame) -> list[str]:
 
 
 def repeated_points(cube: DataFrame) -> DataFrame:
-    """Points given more than once for a step; a remap would count their vertices twice."""
+    """Points given more than once for a step; a remap refuses them."""
     keys = [*step_keys(cube), "src_idx"]
     return cube.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
@@ -28,11 +32,41 @@ def with_step_id(cube: DataFrame, file: str = "source_file") -> DataFrame:
     return cube.withColumn("step_id", F.xxhash64(file, "time"))
 
 
-def _weighted_sums(joined: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    # sum() skips NULL, hence the count: one missing vertex makes the cell missing
-    return joined.groupBy(*keys, "cell").agg(
-        *[F.when(F.count(v) == 3, F.sum(F.col(v) * F.col("w"))).alias(v) for v in values]
+def gather_tables(weights: DataFrame, tile_levels: int) -> tuple[DataFrame, DataFrame]:
+    """Weights arranged by tiles of ``4**tile_levels`` neighbouring cells.
+
+    First: which source points a tile needs, at which position, and how many there are
+    ``(src_idx, tile, pos, n)``. Second: one row per cell with the positions and weights of its
+    three vertices. A tile has a bounded number of cells, so the window that numbers its points is
+    bounded; both groupings keep the window's partitioning.
+    """
+    tiled = weights.select(F.shiftright("cell", 2 * tile_levels).alias("tile"), "cell", "k", "src_idx", "w")
+    rank = F.dense_rank().over(Window.partitionBy("tile").orderBy("src_idx"))
+    placed = tiled.withColumn("pos", rank - 1)
+    placed = placed.withColumn("n", F.max("pos").over(Window.partitionBy("tile")) + 1)
+    lookup = placed.select("tile", "src_idx", "pos", "n").distinct()
+    per_vertex = {"p": "pos", "w": "w"}
+    cells = placed.groupBy("tile", "cell").agg(
+        *[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{name}{k}") for name, c in per_vertex.items() for k in range(3)]
     )
+    return lookup, cells
+
+
+def _slices(tiled: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One array per step and tile whose element ``pos`` holds the values of that source point.
+
+    A complete slice only needs sorting. One with missing points is filled up by position; points
+    given twice make the fill fail on a duplicate key rather than guess.
+    """
+    entry = F.struct("pos", *values)
+    packed = tiled.groupBy(*keys, "tile").agg(
+        F.sort_array(F.collect_list(entry)).alias("_found"), F.max("n").alias("_n")
+    )
+    positions = F.sequence(F.lit(0), F.col("_n") - 1)
+    by_position = F.map_from_entries(F.transform("_found", lambda e: F.struct(e["pos"].alias("key"), e.alias("value"))))
+    filled = F.transform(positions, lambda i: F.try_element_at(by_position, i))
+    complete = F.col("_found")["pos"] == positions
+    return packed.select(*keys, "tile", F.when(complete, F.col("_found")).otherwise(filled).alias("_s"))
 
 
 def apply_weights(
@@ -40,36 +74,44 @@ def apply_weights(
     weights: DataFrame,
     zoom: int,
     values: list[str] | None = None,
-    source_block: int = 16384,
+    tile_levels: int = TILE_LEVELS,
     time_groups: int = 16,
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Interpolate every field of ``cube`` (time[, level], src_idx, values) to cells.
 
-    Small weights (decided from the zoom) are broadcast and the cube is shuffled once, by step:
-    the grouping on (step, cell) then happens where the join ran. Larger weights are cut into
-    blocks of neighbouring source points and repeated for ``time_groups`` groups of steps; cube
-    and weights meet per (block, group), which puts nearly all three vertices of a cell in one
-    task, so partial aggregation shrinks the result before its shuffle.
+    The cube is shuffled once, by step and tile of cells, into arrays of the source values each tile
+    needs; cells then read their three vertices from the array by position. The many output rows are
+    made by a hash join on the tile and are neither grouped nor shuffled. A missing vertex makes
+    the cell NULL; a cell has a row when at least one vertex has one.
+
+    Weights are broadcast up to ``BROADCAST_CELLS``. Beyond that they are repeated for
+    ``time_groups`` groups of steps and meet the arrays per (group, tile), where those already lie.
     """
     keys = step_keys(cube)
     values = values or value_columns(cube)
-    cube = cube.select(*keys, "src_idx", *values)
-    weights = weights.select("src_idx", "cell", "w")
+    tile_levels = min(tile_levels, zoom)
+    lookup, cells = gather_tables(weights, tile_levels)
     if broadcast is None:
-        broadcast = 3 * healpix.npix(zoom) <= BROADCAST_ROWS
-    if broadcast:
-        by_step = cube.repartition(*keys)
-        return _weighted_sums(by_step.join(F.broadcast(weights), "src_idx"), keys, values)
-    block = F.floor(F.col("src_idx") / source_block)
-    cube = cube.withColumns({"_block": block, "_group": F.pmod(F.xxhash64("time"), F.lit(time_groups)).cast("int")})
-    weights = weights.withColumn("_block", block).withColumn(
-        "_group", F.explode(F.sequence(F.lit(0), F.lit(time_groups - 1)))
+        broadcast = healpix.npix(zoom) <= BROADCAST_CELLS
+    small_lookup = 3 * healpix.npix(zoom) <= BROADCAST_LOOKUP or (broadcast and lookup.count() <= BROADCAST_LOOKUP)
+    tiled = cube.select(*keys, "src_idx", *values).join(
+        F.broadcast(lookup) if broadcast and small_lookup else lookup, "src_idx"
     )
-    joined = cube.repartition("_block", "_group").join(
-        weights.repartition("_block", "_group").hint("shuffle_hash"), ["_block", "_group", "src_idx"]
-    )
-    return _weighted_sums(joined, keys, values)
+    if broadcast:
+        met = _slices(tiled, keys, values).join(F.broadcast(cells), "tile")
+    else:
+        tiled = tiled.withColumn("_group", F.pmod(F.xxhash64("time"), F.lit(time_groups)).cast("int"))
+        cells = cells.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(time_groups - 1))))
+        slices = _slices(tiled.repartition("_group", "tile"), [*keys, "_group"], values)
+        met = slices.join(cells.repartition("_group", "tile").hint("shuffle_hash"), ["_group", "tile"])
+    vertices = [F.get("_s", F.col(f"p{k}")) for k in range(3)]
+    present = vertices[0].isNotNull() | vertices[1].isNotNull() | vertices[2].isNotNull()
+
+    def weighted(v: str) -> Column:
+        return vertices[0][v] * F.col("w0") + vertices[1][v] * F.col("w1") + vertices[2][v] * F.col("w2")
+
+    return met.filter(present).select(*keys, "cell", *[weighted(v).alias(v) for v in values])
 
 
 def densify(remapped: DataFrame, zoom: int) -> DataFrame:

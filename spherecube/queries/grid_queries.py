@@ -167,7 +167,7 @@ def j4(spark, sf_dir):
 @query("J4_apply_weights_blocked", f"SELECT time, cell, round(pr, 6) AS pr, round(lin, 6) AS lin FROM {_REMAP_SQL}")
 def j4_blocked(spark, sf_dir):
     """The shuffle plan for weights too large to broadcast."""
-    return rounded(_remapped(spark, sf_dir, broadcast=False, source_block=144, time_groups=4), "pr", "lin")
+    return rounded(_remapped(spark, sf_dir, broadcast=False, tile_levels=2, time_groups=4), "pr", "lin")
 
 
 _LEVEL_OBS = f"""(SELECT TIMESTAMP '2020-01-01' + to_hours(CAST(o_orderkey // {3 * fx.SLICE} AS INTEGER)) AS time,

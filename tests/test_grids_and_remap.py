@@ -132,7 +132,7 @@ def test_duplicate_points_and_mismatched_lengths(spark):
 def test_missing_vertex_blanks_the_cell(spark, broadcast):
     weights = spark.createDataFrame([(c, k, 3 * c + k, w) for c in range(2) for k, w in enumerate((0.5, 0.5, 0.0))], "cell bigint, k int, src_idx bigint, w double")
     cube = spark.createDataFrame([(T0, i, None if i == 5 else float(i), 2.0) for i in range(6)], "time timestamp_ntz, src_idx bigint, a double, b double")
-    out = {r.cell: r for r in remap.apply_weights(cube, weights, 1, broadcast=broadcast, source_block=2, time_groups=3).collect()}
+    out = {r.cell: r for r in remap.apply_weights(cube, weights, 1, broadcast=broadcast, tile_levels=0, time_groups=3).collect()}
     assert out[0].a == 0.5 and out[1].a is None and out[1].b == 2.0
     dense = remap.densify(remap.apply_weights(cube, weights, 1), 1)
     assert dense.count() == 48 and dense.filter("b is not null").count() == 2
@@ -143,21 +143,44 @@ def test_repeated_steps_need_a_step_id(spark):
     rows = [(T0, i, float(f), f) for f in ("1", "2") for i in range(3)]
     cube = spark.createDataFrame(rows, "time timestamp_ntz, src_idx bigint, v double, source_file string")
     assert remap.repeated_points(cube).count() == 3
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        remap.apply_weights(cube, weights, 1).collect()
     told_apart = remap.apply_weights(remap.with_step_id(cube), weights, 1)
     assert sorted(round(r.v, 9) for r in told_apart.collect()) == [1.0, 2.0]
 
 
-def test_remap_plans(spark):
-    """One shuffle of the cube with broadcast weights; no second shuffle before the grouping."""
+def test_remap_plans(spark, tmp_path):
+    """Output rows come straight from the join: no exchange and no grouping above it."""
     points = regular(spark, np.arange(-85, 90, 10.0), np.arange(5, 360, 10.0))
-    cube = points.select(F.lit(T0).cast("timestamp_ntz").alias("time"), "src_idx", F.col("lat").alias("v"), F.col("lon").alias("unused"))
+    points.select(F.lit(T0).cast("timestamp_ntz").alias("time"), "src_idx", F.col("lat").alias("v"), F.col("lon").alias("unused")).write.parquet(str(tmp_path / "cube"))
+    cube = spark.read.parquet(str(tmp_path / "cube"))
     weights = regular_weights(points, 3, "g")
-    plan = remap.apply_weights(cube, weights, 3, values=["v"])._jdf.queryExecution().executedPlan().toString()
+    plan = remap.apply_weights(cube, weights, 3)._jdf.queryExecution().executedPlan().toString()
     head = plan[: plan.index("BroadcastHashJoin")]
-    assert "Exchange" not in head and head.count("HashAggregate") == 2
+    assert "Exchange" not in head and "Aggregate" not in head
     plan = remap.apply_weights(cube, weights, 3, values=["v"], broadcast=False)._jdf.queryExecution().executedPlan().toString()
     head = plan[: plan.index("ShuffledHashJoin")]
-    assert head.count("Exchange") == 1 and "_block" not in head.split("Exchange")[1].split("\n")[0]
+    assert "Exchange" not in head and "Aggregate" not in head
+    # the arrays and the weights are joined where their one explicit repartition put them
+    below = plan[plan.index("ShuffledHashJoin"):]
+    assert below.count("hashpartitioning(_group") == 2 and below.count("REPARTITION_BY_COL") == 2
+    assert "ReadSchema: struct<time:timestamp_ntz,src_idx:bigint,v:double>" in plan
+
+
+def test_tile_sizes_do_not_change_values(spark):
+    points = regular(spark, np.arange(-85, 90, 10.0), np.arange(5, 360, 10.0))
+    weights = regular_weights(points, 3, "g")
+    cube = points.filter("src_idx % 11 <> 3").select(
+        F.explode(F.sequence(F.lit(0), F.lit(4))).alias("i"), "src_idx", F.when(F.col("src_idx") % 7 != 0, F.sin("src_idx")).alias("v")
+    ).select((F.lit(T0).cast("timestamp_ntz") + F.expr("make_dt_interval(0, i)")).alias("time"), "src_idx", (F.col("v") * F.col("i")).alias("v"))
+    plain = (
+        cube.join(weights, "src_idx").groupBy("time", "cell").agg(F.when(F.count("v") == 3, F.sum(F.col("v") * F.col("w"))).alias("v"))
+        .orderBy("time", "cell").toPandas()
+    )
+    for levels in (0, 2, 3):
+        got = remap.apply_weights(cube, weights, 3, tile_levels=levels).orderBy("time", "cell").toPandas()
+        assert (got.cell == plain.cell).all() and (got.time == plain.time).all()
+        assert np.allclose(got.v, plain.v, equal_nan=True) and got.v.isna().any() and got.v.notna().any()
 
 
 def test_weight_cache(spark, tmp_path):
