@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spherecube.functions.fields import value_columns
+from spherecube.operators.remap import BROADCAST_CELLS
+from spherecube.session import broadcast_if_small
 
 
 def merge_surface_levels(surface: DataFrame, levels: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def require_mergeable(surface: DataFrame, levels: DataFrame) -> None:
 
 def attach_static(cube: DataFrame, static: DataFrame, fields: list[str], key: str = "cell") -> DataFrame:
     """Add time-independent fields of another cube (one row per cell) to every step."""
-    return cube.join(static.select(key, *fields), key, "left")
+    return cube.join(broadcast_if_small(static.select(key, *fields), BROADCAST_CELLS), key, "left")
 
 
 def shared_names(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -52,6 +52,13 @@ def gather_tables(weights: DataFrame, tile_levels: int) -> tuple[DataFrame, Data
     return lookup, cells
 
 
+def _tasks(cube: DataFrame) -> int:
+    """Partitions for the arrays: a fixed number, because each small array turns into thousands of
+    rows and adaptive execution, judging by bytes, would merge them into too few tasks."""
+    spark = cube.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def _slices(tiled: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """One array per step and tile whose element ``pos`` holds the values of that source point.
 
@@ -98,13 +105,15 @@ def apply_weights(
     tiled = cube.select(*keys, "src_idx", *values).join(
         F.broadcast(lookup) if broadcast and small_lookup else lookup, "src_idx"
     )
+    tasks = _tasks(cube)
     if broadcast:
-        met = _slices(tiled, keys, values).join(F.broadcast(cells), "tile")
+        slices = _slices(tiled.repartition(tasks, *keys, "tile"), keys, values)
+        met = slices.join(F.broadcast(cells), "tile")
     else:
         tiled = tiled.withColumn("_group", F.pmod(F.xxhash64("time"), F.lit(time_groups)).cast("int"))
         cells = cells.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(time_groups - 1))))
-        slices = _slices(tiled.repartition("_group", "tile"), [*keys, "_group"], values)
-        met = slices.join(cells.repartition("_group", "tile").hint("shuffle_hash"), ["_group", "tile"])
+        slices = _slices(tiled.repartition(tasks, "_group", "tile"), [*keys, "_group"], values)
+        met = slices.join(cells.repartition(tasks, "_group", "tile").hint("shuffle_hash"), ["_group", "tile"])
     vertices = [F.get("_s", F.col(f"p{k}")) for k in range(3)]
     present = vertices[0].isNotNull() | vertices[1].isNotNull() | vertices[2].isNotNull()
 

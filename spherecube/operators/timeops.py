@@ -16,9 +16,13 @@ from spherecube.functions.times import (
     parse_date_value,
     seconds_between,
 )
+from spherecube.session import broadcast_if_small
 
 log = logging.getLogger(__name__)
 
+# longest time axis that is broadcast (a century of minutes is 53 million steps, of hours 0.9 million)
+BROADCAST_STEPS = 2_000_000
+
 
 # --- selection by clock value -------------------------------------------------------------------
 
@@ -93,7 +97,7 @@ def every_nth(cube: DataFrame, step: int, time: str = "time") -> DataFrame:
     if step == 1:
         return cube
     kept = time_index(cube, time).filter(F.col("idx") % step == 0).select(F.col("time").alias(time))
-    return cube.join(kept, time, "left_semi")
+    return cube.join(broadcast_if_small(kept, BROADCAST_STEPS), time, "left_semi")
 
 
 def every_interval(cube: DataFrame, time_subset: str, time: str = "time") -> DataFrame:
@@ -105,7 +109,8 @@ def step_at(cube: DataFrame, index: int, time: str = "time") -> DataFrame:
     """The rows of one step by position; negative positions count from the end."""
     axis = time_index(cube, time)
     wanted = F.col("idx") == (index if index >= 0 else F.col("n_steps") + index)
-    return cube.join(axis.filter(wanted).select(F.col("time").alias(time)), time, "left_semi")
+    picked = axis.filter(wanted).select(F.col("time").alias(time))
+    return cube.join(broadcast_if_small(picked, 1), time, "left_semi")
 
 
 # --- averages -----------------------------------------------------------------------------------
@@ -208,7 +213,7 @@ def block_mean(
     starts = axis.filter(F.col("idx") % factor == 0).select("_block", F.col("time").alias("_start"))
     lookup = axis.join(starts, "_block").select(F.col("time").alias(time), "_start")
     return (
-        cube.join(lookup, time)
+        cube.join(broadcast_if_small(lookup, BROADCAST_STEPS), time)
         .groupBy(F.col("_start").alias(time), *keys)
         .agg(*[F.avg(v).alias(v) for v in values])
     )

@@ -32,10 +32,15 @@ log = logging.getLogger(__name__)
 
 IDS, XS, YS = ["i0", "i1", "i2"], ["x0", "x1", "x2"], ["y0", "y1", "y2"]
 STATE = ["cell", "x", "y", *IDS, *XS, *YS]
+NEW_IDS, NEW_XS, NEW_YS = ["j0", "j1", "j2"], ["u0", "u1", "u2"], ["v0", "v1", "v2"]
 STATE_SCHEMA = "cell bigint, x double, y double, " + ", ".join(
     [f"{c} bigint" for c in IDS] + [f"{c} double" for c in XS + YS]
 )
-N_DIRECTIONS = 32
+VISIT_SCHEMA = STATE_SCHEMA + ", leaf int"
+SEARCH_SCHEMA = STATE_SCHEMA + ", changed boolean, " + ", ".join(
+    [f"{c} bigint" for c in NEW_IDS] + [f"{c} double" for c in NEW_XS + NEW_YS]
+)
+N_DIRECTIONS = 8
 TARGETS_PER_GROUP = 20_000
 MATRIX_ELEMENTS = 4_000_000
 Z_BITS = 16
@@ -204,15 +209,16 @@ def _touched_leaves(boxes: np.ndarray):
 
 
 def _search_leaf(_key, targets: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-    """Best triangles of a group's targets using the points of one leaf."""
+    """Targets of a group with the best triangle that the points of one leaf allow."""
     if not len(targets):
-        return pd.DataFrame(columns=[*STATE, "changed"])
+        return pd.DataFrame(columns=[*STATE, "changed", *NEW_IDS, *NEW_XS, *NEW_YS])
     ids, vx, vy = _improve_blocks(
         targets, points["pid"].to_numpy(), points["px"].to_numpy(), points["py"].to_numpy()
     )
-    changed = (ids != targets[IDS].to_numpy()).any(axis=1)
-    out = _with_basis(targets, ids, vx, vy)
-    out["changed"] = changed
+    out = targets[STATE].copy()
+    out["changed"] = (ids != targets[IDS].to_numpy()).any(axis=1)
+    for k in range(3):
+        out[NEW_IDS[k]], out[NEW_XS[k]], out[NEW_YS[k]] = ids[:, k], vx[:, k], vy[:, k]
     return out
 
 
@@ -261,14 +267,13 @@ def _finish(batches):
 
 
 def _one_round(
-    state: DataFrame, leaf_points: DataFrame, boxes: np.ndarray, tasks: int
+    visits: DataFrame, leaf_points: DataFrame, boxes: np.ndarray, tasks: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Visit the touched leaves once; returns (finished, still open).
+    """Search the visited leaves; returns finished targets and the visits of the next round.
 
     Partition counts are explicit: the searches are heavy for the few bytes they move, and adaptive
     execution, which sizes partitions by bytes, would put them into too few tasks.
     """
-    visits = cut_lineage(state.mapInPandas(_touched_leaves(boxes), STATE_SCHEMA + ", leaf int"))
     untouched = visits.filter("leaf is null").select(STATE)
     visits = visits.filter("leaf is not null")
     # crowded leaves are split over several groups, each with a copy of the leaf's points
@@ -286,22 +291,29 @@ def _one_round(
         .cogroup(
             salted_points.select("pid", "px", "py", "leaf", "salt").repartition(tasks, "leaf", "salt").groupBy("leaf", "salt")
         )
-        .applyInPandas(_search_leaf, STATE_SCHEMA + ", changed boolean")
+        .applyInPandas(_search_leaf, SEARCH_SCHEMA)
     )
-    proposal = F.when(
-        F.col("changed"),
-        F.array(*[F.struct(F.col(i).alias("id"), F.col(x).alias("px"), F.col(y).alias("py")) for i, x, y in zip(IDS, XS, YS)]),
+    triangle = F.array(
+        *[
+            F.struct(F.col(i).alias("id"), F.col(x).alias("px"), F.col(y).alias("py"))
+            for i, x, y in zip(NEW_IDS, NEW_XS, NEW_YS)
+        ]
     )
     # proposals per target are bounded by the number of leaves it visited
-    gathered = searched.repartition(tasks, "cell").groupBy("cell").agg(
-        F.flatten(F.collect_list(proposal)).alias("found")
+    gathered = cut_lineage(
+        searched.repartition(tasks, "cell")
+        .groupBy("cell")
+        .agg(
+            F.any_value(F.struct(*STATE[1:])).alias("own"),
+            F.flatten(F.collect_list(F.when(F.col("changed"), triangle))).alias("found"),
+        )
     )
-    gathered = cut_lineage(state.repartition(tasks, "cell").join(gathered, "cell"))
-    finished = gathered.filter("size(found) = 0").select(STATE).unionByName(untouched)
+    finished = gathered.filter("size(found) = 0").select("cell", "own.*").unionByName(untouched)
     improved = gathered.filter("size(found) > 0").select(
-        *STATE, F.col("found.id").alias("vid"), F.col("found.px").alias("vpx"), F.col("found.py").alias("vpy")
+        "cell", "own.*", F.col("found.id").alias("vid"), F.col("found.px").alias("vpx"), F.col("found.py").alias("vpy")
     )
-    return finished, cut_lineage(improved.mapInPandas(_merge_candidates, STATE_SCHEMA))
+    moved = improved.mapInPandas(_merge_candidates, STATE_SCHEMA)
+    return finished, cut_lineage(moved.mapInPandas(_touched_leaves(boxes), VISIT_SCHEMA))
 
 
 def triangulated_weights(
@@ -373,11 +385,12 @@ def triangulated_weights(
             yield _with_basis(seeded, *_improve_blocks(seeded, frame_id, frame_x, frame_y))
 
     tasks = max(2 * spark.sparkContext.defaultParallelism, n_leaves // 16)
-    state = cut_lineage(targets.mapInPandas(start, STATE_SCHEMA))
+    seeded = targets.mapInPandas(start, STATE_SCHEMA)
+    visits = cut_lineage(seeded.mapInPandas(_touched_leaves(boxes), VISIT_SCHEMA))
     finished, rounds = [], 0
-    while not state.isEmpty():
+    while not visits.isEmpty():
         rounds += 1
-        done, state = _one_round(state, leaf_points, boxes, tasks)
+        done, visits = _one_round(visits, leaf_points, boxes, tasks)
         finished.append(done)
         if rounds > 200:
             raise RuntimeError("triangle search does not settle")

@@ -7,6 +7,7 @@ Wide cubes have one column per variable. The exchange form ``cube_long`` has row
 from __future__ import annotations
 
 import logging
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 
 from spherecube.functions.fields import KEY_COLUMNS
 from spherecube.functions.names import BOUNDS_SUFFIX, glob_to_regex
+from spherecube.session import broadcast_if_small
 
 log = logging.getLogger(__name__)
 
+MAX_LEVELS = 100_000
+
 
 def select_rename(cube: DataFrame, renames: dict[str, str], passthrough: list[str] | None = None) -> DataFrame:
     """Keep and rename the listed variables that exist, plus passthrough ones.
@@ -47,8 +51,6 @@ def drop_skipped(long: DataFrame, skip: list[str] | None = None) -> DataFrame:
 
 
 def drop_skipped_columns(cube: DataFrame, skip: list[str] | None = None) -> DataFrame:
-    import re
-
     patterns = [glob_to_regex(g) for g in skip or []] + [BOUNDS_SUFFIX]
     gone = [c for c in cube.columns if c not in KEY_COLUMNS and any(re.search(p, c) for p in patterns)]
     return cube.drop(*gone)
@@ -87,8 +89,8 @@ def passthrough_table(cube: DataFrame, names: list[str], key: str = "level") ->
 
 
 def attach_passthrough(cube: DataFrame, side: DataFrame, key: str = "level") -> DataFrame:
-    """Join a side table back; Catalyst sees its size and chooses how."""
-    return cube.join(side, key, "left")
+    """Join a side table back; levels are few, which is checked before it is broadcast."""
+    return cube.join(broadcast_if_small(side, MAX_LEVELS), key, "left")
 
 
 def requested_variables(catalog: DataFrame, requested: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 REQUIRED_CONF = {
     # time stays zone-less (TIMESTAMP_NTZ); UTC keeps the few zoned intermediates harmless
@@ -51,3 +52,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for a broadcast join when it has at most ``max_rows`` rows.
+
+    The table is fixed and counted first. Left to itself Catalyst cannot know that an axis derived
+    from a huge cube is short, and would shuffle the cube to join it. A table beyond the limit is
+    returned as it is and joined by shuffle.
+    """
+    fixed = cut_lineage(df)
+    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed

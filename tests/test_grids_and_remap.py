@@ -163,7 +163,7 @@ def test_remap_plans(spark, tmp_path):
     assert "Exchange" not in head and "Aggregate" not in head
     # the arrays and the weights are joined where their one explicit repartition put them
     below = plan[plan.index("ShuffledHashJoin"):]
-    assert below.count("hashpartitioning(_group") == 2 and below.count("REPARTITION_BY_COL") == 2
+    assert below.count("hashpartitioning(_group") == 2 and below.count("REPARTITION_BY_NUM") == 2
     assert "ReadSchema: struct<time:timestamp_ntz,src_idx:bigint,v:double>" in plan
 
 
