@@ -11,6 +11,7 @@ from spherecube.functions import healpix
 from spherecube.functions.fields import to_storage_types, value_columns
 from spherecube.operators import timeops
 from spherecube.operators.remap import step_keys
+from spherecube.sources.catalog import glob_paths
 
 log = logging.getLogger(__name__)
 
@@ -48,15 +49,8 @@ def pyramid(cube: DataFrame, from_zoom: int, to_zoom: int) -> dict[int, DataFram
 
 def existing_zooms(spark: SparkSession, root: str) -> list[int]:
     """Levels that have been written in full (each has its own success marker)."""
-    from spherecube.sources.catalog import list_files
-    from spherecube.sources.stores import path_exists
-
-    if not path_exists(spark, root):
-        return []
-    marks = list_files(spark, [root], "_SUCCESS", recursive=True)
-    zoom = F.regexp_extract("path", r"/zoom=(\d+)/_SUCCESS$", 1)
-    rows = marks.select(zoom.alias("z")).filter("z <> ''").distinct().collect()
-    return sorted(int(r.z) for r in rows)
+    marks = glob_paths(spark, f"{root}/zoom=*/_SUCCESS")
+    return sorted(int(m.rsplit("/zoom=", 1)[1].split("/")[0]) for m in marks)
 
 
 def wanted_levels(zooms: DataFrame, existing: DataFrame) -> DataFrame:

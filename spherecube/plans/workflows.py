@@ -206,7 +206,7 @@ def combine_days(
     paths = catalog.path_list(found)
     if not paths:
         raise FileNotFoundError(f"no daily stores in {folder}")
-    days = cubes.read_cube(spark, paths).drop("day", "tile")
+    days = cubes.read_cube(spark, paths, recursive=True).drop("tile")
     stores.write_store(days, output, zoom, mode="overwrite" if overwrite else "error")
     return stores.read_store(spark, output)
 

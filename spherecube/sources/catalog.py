@@ -54,6 +54,25 @@ def list_files(spark: SparkSession, folders: list[str], glob: str = "*", recursi
     )
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a Hadoop glob, hidden names such as commit markers included."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
+
+
+def list_store_files(spark: SparkSession, root: str) -> DataFrame:
+    """Data files and commit markers of the stores directly under ``root``: (store, name, bytes).
+
+    Spark's own listing leaves out names that start with an underscore, so the markers (one per
+    store) come from a glob.
+    """
+    store = F.element_at(F.split(F.split("path", F.lit(f"/{root.rstrip('/').rsplit('/', 1)[-1]}/")).getItem(1), "/"), 1)
+    data = list_files(spark, [root], "*.parquet", recursive=True).select(store.alias("store"), "name", "bytes")
+    marks = [(p.rsplit("/", 2)[1], "_SUCCESS", 0) for p in glob_paths(spark, f"{root}/*/_SUCCESS")]
+    return data.unionByName(spark.createDataFrame(marks, "store string, name string, bytes bigint"))
+
+
 def with_file_date(
     catalog: DataFrame, pattern: str = r"\.(\d{8})-", date_format: str = "%Y%m%d"
 ) -> DataFrame:

@@ -14,15 +14,20 @@ from spherecube.functions.fields import missing_to_null
 log = logging.getLogger(__name__)
 
 
-def read_cube(spark: SparkSession, paths: list[str], schema: T.StructType | str | None = None) -> DataFrame:
+def read_cube(
+    spark: SparkSession, paths: list[str], schema: T.StructType | str | None = None, recursive: bool = False
+) -> DataFrame:
     """Concatenate the files along time.
 
     Rows of every file are kept, repeated steps included. Files may differ in their variables: a
     variable absent from a file is NULL for its rows. NaN becomes NULL on the way in.
+    ``recursive`` reads whole stores as one scan, without their partition columns.
     """
     if not paths:
         raise ValueError("no files for the requested period")
     reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     return missing_to_null(reader.parquet(*paths))
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
-from spherecube.operators import grids, levels, timeops, variables
+from spherecube.operators import grids, levels, quality, timeops, variables
 from spherecube.operators.weights import regular_weights
 from spherecube.operators import coarsen as co
 from spherecube.plans import presets, workflows
@@ -124,7 +124,9 @@ def test_full_job_round_trip(spark, tmp_path):
     assert workflows.coarsen_store(spark, out_path, 0, root) == [0]
     assert co.existing_zooms(spark, root) == [0, 1, 2]
     zero = spark.read.parquet(f"{root}/zoom=0")
-    assert zero.select("cell").distinct().count() == 12 and zero.select("time").distinct().count() == 6
+    # empty hours between the two days are bins without values
+    assert zero.select("cell").distinct().count() == 12 and zero.select("time").distinct().count() == 27
+    assert zero.filter("pr is not null").select("time").distinct().count() == 6
     assert workflows.coarsen_store(spark, out_path, 3, root) == []
     with pytest.raises(ValueError, match="no data"):
         workflows.coarsen_store(spark, out_path, 1, root, start_date="2030-01-01")
@@ -136,6 +138,12 @@ def test_daily_stores_overwrite_combine_merge(spark, tmp_path):
     for day in ("2020-01-01", "2020-01-02"):
         stamp = day.replace("-", "")
         stores.write_store(timeops.keep_dates(cube, day, day), str(tmp_path / "days" / f"run_6H_zoom0_{stamp}_{stamp}"), 0)
+    listed = catalog.list_store_files(spark, str(tmp_path / "days"))
+    states = {r.store: r for r in quality.store_states(listed, min_bytes=1).collect()}
+    assert len(states) == 2 and all(r.has_marker and r.problem is None and r.bytes > 0 for r in states.values())
+    os.remove(tmp_path / "days" / "run_6H_zoom0_20200102_20200102" / "_SUCCESS")
+    states = {r.store: r.problem for r in quality.store_states(catalog.list_store_files(spark, str(tmp_path / "days"))).collect()}
+    assert states == {"run_6H_zoom0_20200101_20200101": "too small", "run_6H_zoom0_20200102_20200102": "no commit marker"}
     combined = workflows.combine_days(spark, str(tmp_path / "days"), str(tmp_path / "all"), 0)
     assert combined.count() == 96 and combined.select("day").distinct().count() == 2
     assert workflows.combine_days(spark, str(tmp_path / "days"), str(tmp_path / "second"), 0, start=dt.datetime(2020, 1, 2)).count() == 48
