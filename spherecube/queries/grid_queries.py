@@ -159,15 +159,15 @@ def _remapped(spark, sf_dir, **kwargs):
     return remap.apply_weights(obs, _weights(spark, sf_dir), Z, **kwargs)
 
 
-@query("J4_apply_weights", f"SELECT time, cell, round(pr, 6) AS pr, round(lin, 6) AS lin FROM {_REMAP_SQL}")
+@query("J4_apply_weights", f"SELECT time, cell, round(pr, 3) AS pr, round(lin, 3) AS lin FROM {_REMAP_SQL}")
 def j4(spark, sf_dir):
-    return rounded(_remapped(spark, sf_dir), "pr", "lin")
+    return rounded(_remapped(spark, sf_dir), "pr", "lin", digits=3)
 
 
-@query("J4_apply_weights_blocked", f"SELECT time, cell, round(pr, 6) AS pr, round(lin, 6) AS lin FROM {_REMAP_SQL}")
+@query("J4_apply_weights_blocked", f"SELECT time, cell, round(pr, 3) AS pr, round(lin, 3) AS lin FROM {_REMAP_SQL}")
 def j4_blocked(spark, sf_dir):
     """The shuffle plan for weights too large to broadcast."""
-    return rounded(_remapped(spark, sf_dir, broadcast=False, tile_levels=2, time_groups=4), "pr", "lin")
+    return rounded(_remapped(spark, sf_dir, broadcast=False, tile_levels=2, time_groups=4), "pr", "lin", digits=3)
 
 
 _LEVEL_OBS = f"""(SELECT TIMESTAMP '2020-01-01' + to_hours(CAST(o_orderkey // {3 * fx.SLICE} AS INTEGER)) AS time,
@@ -177,7 +177,7 @@ _LEVEL_OBS = f"""(SELECT TIMESTAMP '2020-01-01' + to_hours(CAST(o_orderkey // {3
 
 @query(
     "J4_apply_weights_levels",
-    f"""SELECT time, level, cell, round(CASE WHEN count(ta) = 3 THEN sum(ta * w) END, 6) AS ta
+    f"""SELECT time, level, cell, round(CASE WHEN count(ta) = 3 THEN sum(ta * w) END, 3) AS ta
     FROM {_LEVEL_OBS} o JOIN {fx.regular_weights_sql(Z)} w ON o.src_idx = w.src_idx GROUP BY 1, 2, 3""",
 )
 def j4_levels(spark, sf_dir):
@@ -188,16 +188,16 @@ def j4_levels(spark, sf_dir):
         (1000.0 - 250.0 * (F.floor(key / fx.SLICE) % 3)).alias("level"), (key % fx.SLICE).alias("src_idx"),
         F.when(key % 97 != 0, F.col("o_totalprice") * 0.3183098861837907).alias("ta"),
     )
-    return rounded(remap.apply_weights(obs, _weights(spark, sf_dir), Z), "ta")
+    return rounded(remap.apply_weights(obs, _weights(spark, sf_dir), Z), "ta", digits=3)
 
 
 @query(
     "J5_densify",
-    f"""SELECT t.time, c.cell, round(r.pr, 6) AS pr, round(r.lin, 6) AS lin
+    f"""SELECT t.time, c.cell, round(r.pr, 3) AS pr, round(r.lin, 3) AS lin
     FROM (SELECT DISTINCT time FROM {_REMAP_SQL}) t, {fx.all_cells_sql(Z)} c LEFT JOIN {_REMAP_SQL} r ON r.time = t.time AND r.cell = c.cell""",
 )
 def j5(spark, sf_dir):
-    return rounded(remap.densify(_remapped(spark, sf_dir), Z), "pr", "lin")
+    return rounded(remap.densify(_remapped(spark, sf_dir), Z), "pr", "lin", digits=3)
 
 
 @query(
@@ -293,7 +293,7 @@ def s6_pivot(spark, sf_dir):
     "Q1_Q2_remap_job",
     f"""WITH o AS (SELECT time_bucket(INTERVAL 1 HOUR, time) AS time, src_idx, avg(pr) AS pr FROM {OBS}
         WHERE minute(time) <= 5 OR minute(time) >= 55 GROUP BY 1, 2)
-    SELECT time, cell, round(CASE WHEN count(pr) = 3 THEN sum(pr * w) END, 4) AS precipitation
+    SELECT time, cell, round(CASE WHEN count(pr) = 3 THEN sum(pr * w) END, 3) AS precipitation
     FROM o JOIN {fx.regular_weights_sql(Z)} w ON o.src_idx = w.src_idx GROUP BY 1, 2""",
 )
 def q1(spark, sf_dir):
@@ -302,7 +302,7 @@ def q1(spark, sf_dir):
     config = {"time_average": "1h", "skip_variables": ["*_bnds"], "remap_variables": {"pr": "precipitation"}, "fill": False}
     w = workflows.weights_for(fx.grid_orders(spark, sf_dir), Z)
     out = workflows.remap_cube(obs, w, Z, config, [keep_minute], [{"time_subset": "00min"}])
-    return rounded(out, "precipitation", digits=4)
+    return rounded(out, "precipitation", digits=3)
 
 
 @query(

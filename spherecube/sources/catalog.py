@@ -122,16 +122,17 @@ def month_folders(start: dt.datetime, end: dt.datetime) -> list[str]:
     return [f"{m // 12:04d}{m % 12 + 1:02d}" for m in range(first, last + 1)]
 
 
-def _spec_table(spark: SparkSession, variables: list[dict], template: str) -> DataFrame:
-    """One row per requested variable with the name pattern of its files.
+def _variables_of_name(variables: list[dict], template: str) -> Column:
+    """The requested variables whose file pattern a name fits.
 
-    The dates in the template match anything, and the span regex then reads them.
+    The dates in the template match anything, and the span regex then reads them. Patterns are
+    literals, compiled once; no table of variables is joined.
     """
-    rows = []
+    fits = []
     for spec in variables:
         glob = template.format(**{**spec, "date_start": "*", "date_end": "*"})
-        rows.append((spec["var_name"], names.glob_to_regex(glob)))
-    return spark.createDataFrame(rows, "var string, name_regex string")
+        fits.append(F.when(F.col("name").rlike(names.glob_to_regex(glob)), F.lit(spec["var_name"])))
+    return F.array_compact(F.array(*fits))
 
 
 def span_overlap(start: dt.datetime, end: dt.datetime) -> Column:
@@ -148,13 +149,11 @@ def variable_span_files(
 ) -> DataFrame:
     """Per-variable files whose date span overlaps [start, end].
 
-    ``variables`` holds dicts with ``var_name`` and the fields used by ``template``. The spec table
-    has one row per variable of a config, so it is the broadcast side of the pattern join. With
+    ``variables`` holds dicts with ``var_name`` and the fields used by ``template``. With
     ``monthly_files`` only the first file of each variable and month folder is kept.
     """
     if not variables:
         raise ValueError("name at least one variable")
-    spec = _spec_table(catalog.sparkSession, variables, template)
     readable = F.col("name").rlike(names.SPAN_DATES)
     spans = catalog.filter(readable).withColumns(
         {
@@ -168,8 +167,7 @@ def variable_span_files(
         spans.withColumn("month", folder)
         .filter(F.col("month").between(months[0], months[-1]))
         .filter(span_overlap(start, end))
-        .join(F.broadcast(spec), F.expr("name rlike name_regex"))
-        .drop("name_regex")
+        .withColumn("var", F.explode(_variables_of_name(variables, template)))
     )
     if monthly_files:
         first = F.row_number().over(Window.partitionBy("var", "month").orderBy("path"))
