@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherecube.llm import decontaminate, packing, quality_rules
-from spherecube.llm.common import stored
+from spherecube.llm import decontaminate, near_dup, packing, quality_rules, substring_dedup
+from spherecube.llm.common import small_side, stored
 from spherecube.llm.queries import table, tokenizer_path
 
 
@@ -16,6 +16,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return assessed.filter("_kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id; a null id counts as its own document."""
+    found = near_dup.near_duplicates(docs)
+    gone = stored(found.filter(~F.col("kept")).select("doc_id").distinct(), "copies")
+    return docs.join(small_side(gone), "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that near-repeat one of an earlier document; texts of which nothing is left go."""
+    spans = stored(substring_dedup.repeated_passages(docs), "passages")
+    cut = substring_dedup.without_passages(docs, spans)
+    left = cut.filter((F.col("_cut") == 0) | (F.length(F.trim("text")) > 0))
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("_cut") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", size)
+    return left.select(*docs.columns)
+
+
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word in a window of a benchmark item."""
     marked = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"))
@@ -29,6 +47,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
+    ("substring dedup", repeated_passages),
     ("benchmark decontamination", benchmark_leaks),
     ("packing", packing_stage),
 ]
