@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherecube.llm import decontaminate, near_dup, packing, quality_rules, substring_dedup
+from spherecube.llm import decontaminate, near_dup, packing, quality_model, quality_rules, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_substring_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
