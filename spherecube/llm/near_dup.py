@@ -6,8 +6,9 @@ in a hundred thousand), so they share a posting among the first ``coordinates -
 rising frequency; postings behind that prefix, above all the very frequent ones, are skipped. Collisions are then
 counted on whole signatures, and links are confirmed on whole sets.
 
-Large groups are never expanded into all pairs: members are first compared with two leaders of each posting list, and
-only members of components that are still apart are compared with one another.
+Large groups are never expanded into all pairs: members are first compared with two leaders of each posting list, the one
+that shares most with others and a random one. Of what is then still in different components, only members whose sizes
+and common shingles allow a link are compared with one another.
 """
 
 from __future__ import annotations
@@ -104,12 +105,16 @@ def _postings(classes: DataFrame, coordinates: int) -> DataFrame:
 
 
 def _prefixes(postings: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """node, token: the rarest postings of each class that a match can't avoid, of those that another class has too."""
+    """node, token, weight: the rarest postings of each class that a match can't avoid, of those that another class has too.
+
+    ``weight`` tells how much of its signature a class shares with many others; the original of a family has the most.
+    """
     shared = postings.groupBy("token").count().filter("count > 1")
-    own = postings.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("tokens"))
+    own = postings.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("tokens"), F.sum(F.log("count")).alias("weight"))
     # postings of one class only are the rarest and come first, so they use up part of the prefix
     own = own.filter(F.size("tokens") >= matches)
-    return own.select("node", F.explode(F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))).alias("t")).select("node", F.col("t.token").alias("token"))
+    kept = own.select("node", "weight", F.explode(F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))).alias("t"))
+    return kept.select("node", "weight", F.col("t.token").alias("token"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -181,6 +186,38 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("shared") * 100 >= (na + nb - F.col("shared")) * percent).select("a", "b")
 
 
+def _left_pairs(entries: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one list that are still apart and can be similar at all.
+
+    What two sets share is at most what either shares with any of the sets left (``common``). With similarity p, sets of sizes
+    m and n share at least p / (1 + p) of m + n, so a member goes where even the smallest set of its list is too large
+    for what it has in common. This leaves few of the copies that are just too different from their originals.
+    """
+    placed = entries.join(component, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+
+    def several(rows: DataFrame) -> DataFrame:
+        mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+        return rows.join(mixed.select("token"), "token", "left_semi")
+
+    placed = stored(several(placed), "apart")
+    left = sets.join(placed.select("node").distinct(), "node", "left_semi")
+    single = left.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("g"))
+    shared = single.groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("g")
+    common = single.join(shared, "g").groupBy("node", "n").agg(F.count("*").alias("common"))
+    common = stored(common.filter(F.col("common") * 100 >= F.col("n") * percent), "common")
+    placed = placed.join(common, "node")
+    least = placed.groupBy("token").agg(F.min("n").alias("least"))
+    placed = placed.join(least, "token").filter(F.col("common") * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
+    placed = stored(several(placed), "near-apart")
+    a, b = (placed.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "common")]) for x in "ab")
+    fits = (
+        (F.col("component_a") < F.col("component_b"))
+        & (F.least("common_a", "common_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    )
+    return a.join(b, (a["token"] == b["token"]) & fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES) -> DataFrame:
     """One row for each input row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
 
@@ -197,10 +234,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     classes = stored(signed.join(of_set, key).filter("doc_id = node").dropDuplicates([*key, "node"]).select("node", *key, "signature"), "classes")
     prefix = stored(_prefixes(_postings(classes, coordinates), coordinates, matches), "prefixes")
     lists = prefix.groupBy("token").agg(
-        F.count("*").alias("members"), F.min("node").alias("first"), F.min_by("node", F.xxhash64("token", "node")).alias("other"),
+        F.count("*").alias("members"), F.max_by("node", F.struct("weight", "node")).alias("first"), F.min_by("node", F.xxhash64("token", "node")).alias("other"),
     ).filter("members > 1")
     lists = stored(lists, "lists")
-    entries = stored(prefix.join(lists.select("token"), "token"), "entries")
+    entries = stored(prefix.join(lists.select("token"), "token").select("token", "node"), "entries")
 
     wanted = entries.select("node").distinct().join(classes, "node").select("node", *key)
     sets = stored(_wanted_sets(docs, stored(wanted, "wanted"), shingle), "sets")
@@ -216,15 +253,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     links = links.union(proven(_apart(rest, component)))
     component = components(links)
 
-    # what is still apart meets in full, component against component within each list
-    placed = entries.join(component, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    parts = placed.select("token", "component").distinct()
-    several = parts.groupBy("token").count().filter("count > 1").select("token")
-    placed = stored(placed.join(several, "token"), "apart")
-    groups = placed.select("token", "component").distinct()
-    meet = groups.select("token", F.col("component").alias("ca")).join(groups.select("token", F.col("component").alias("cb")), "token").filter("ca < cb")
-    pairs = meet.join(placed.select("token", F.col("component").alias("ca"), F.col("node").alias("a")), ["token", "ca"])
-    pairs = pairs.join(placed.select("token", F.col("component").alias("cb"), F.col("node").alias("b")), ["token", "cb"]).select("a", "b")
+    pairs = _left_pairs(entries, component, sets, percent)
     links = links.union(proven(pairs))
     component = components(links)
 
