@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherecube.llm import decontaminate, near_dup, packing, quality_model, quality_rules, substring_dedup, toxicity
+from spherecube.llm import decontaminate, near_dup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, ''))::BIGINT AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (d)
+"""
+
+
+@query("op6_warc_capture_index", WARC_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
