@@ -180,17 +180,17 @@ def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]]
 
 
 def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, shingles: the hashes of all shingles in order."""
+    """doc_id, shingles: the hashes of all shingles in order, 32 bits of each (they are compared within two documents only)."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in tx.chunks(batches, "text"):
             words = texts.words(tx.SPACED, lower=True)
             position, value = words.grams(shingle)
             bounds = np.searchsorted(words.row[position], np.arange(texts.n + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(tx.signed(value)))], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds), pa.array((value >> np.uint64(32)).astype(np.uint32).view(np.int32)))], names=["doc_id", "shingles"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(compute, f"doc_id {kind}, shingles array<bigint>")
+    return docs.mapInArrow(compute, f"doc_id {kind}, shingles array<int>")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, shingle: int = SHINGLE,
@@ -205,8 +205,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     docs = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
     span = width - shingle + 1
-    found = stored(windows(docs, width, shingle, functions), "windows")
-    leads = found.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last").select("key", "lead")
+    # taken twice from the texts rather than stored: most windows are met once only
+    found = windows(docs, width, shingle, functions)
+    leads = found.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead")
     hits = found.join(leads, "key").filter("doc_id != lead")
     pairs = hits.groupBy("doc_id", "lead").agg(
         F.collect_list(F.struct("low", "high", F.col("key").bitwiseAND(15).cast("int").alias("f"))).alias("ranges"),
