@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherecube.llm import decontaminate, near_dup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc
+from spherecube.llm import decontaminate, html_text, license_scan, near_dup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,13 @@ FROM p LEFT JOIN f USING (d)
 @query("op6_warc_capture_index", WARC_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op9_html_extraction")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
