@@ -27,6 +27,7 @@ from spherecube.session import scratch_path
 
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 256 << 20
+TASK_BYTES, STRIDE_BYTES = 64 << 20, 1 << 20
 BLOCK_LINES = 512
 #: the directory never has many more entries than this: blocks grow with the index
 DIRECTORY_ENTRIES = 100_000
@@ -200,7 +201,11 @@ def read_records(spots: DataFrame, folder: str) -> DataFrame:
     Reads go file by file in order of their places; a record whose payload does not have the digest it names is an error.
     """
     root = folder.rstrip("/")
-    ordered = spots.select("file", "start", "size").repartition("file", F.floor(F.col("start") / (16 << 20))).sortWithinPartitions("file", "start")
+    spots = stored(spots.select("file", "start", "size"), "spots")
+    # the rows are small and what they point at is not: so many tasks that each reads about TASK_BYTES
+    size = spots.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    tasks = max(int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
+    ordered = spots.repartition(tasks, "file", F.floor(F.col("start") / STRIDE_BYTES)).sortWithinPartitions("file", "start")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = open_folder(root)
