@@ -6,9 +6,9 @@ in a hundred thousand), so they share a posting among the first ``coordinates -
 rising frequency; postings behind that prefix, above all the very frequent ones, are skipped. Collisions are then
 counted on whole signatures, and links are confirmed on whole sets.
 
-Large groups are never expanded into all pairs: members are first compared with two leaders of each posting list, the one
-that shares most with others and a random one. Of what is then still in different components, only members whose sizes
-and common shingles allow a link are compared with one another.
+Large groups are never expanded into all pairs: members are first compared with the leader of each posting list, the one
+that shares most with others. What is then still apart within a family of overlapping lists is compared block by block
+inside tasks, which give out one link for each component that a member reaches.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from spherecube.llm.common import id_and_text, small_side, stored
 
 COORDINATES = 64
 MISS = 1e-5
+BLOCK_SHINGLES = 1_000_000
 
 
 def least_matches(coordinates: int, similarity: float, miss: float = MISS) -> int:
@@ -137,14 +139,6 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    """Pairs (a, b) that no component holds together."""
-    placed = pairs
-    for c in "ab":
-        placed = placed.join(component.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")), c, "left")
-    return placed.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
 def _wanted_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """node, shingles: the whole sets of the wanted classes, taken again from their texts."""
     ids = wanted.select(F.col("node").alias("doc_id")).distinct()
@@ -186,36 +180,50 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("shared") * 100 >= (na + nb - F.col("shared")) * percent).select("a", "b")
 
 
-def _left_pairs(entries: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one list that are still apart and can be similar at all.
+def _family_links(entries: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that posting lists hold together: one for each member and component it reaches.
 
-    What two sets share is at most what either shares with any of the sets left (``common``). With similarity p, sets of sizes
-    m and n share at least p / (1 + p) of m + n, so a member goes where even the smallest set of its list is too large
-    for what it has in common. This leaves few of the copies that are just too different from their originals.
+    Lists that share members make a family. Members outside a family's largest component are compared on whole sets
+    with all members, block by block inside tasks; only links come out. Blocks have about BLOCK_SHINGLES shingles.
     """
-    placed = entries.join(component, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-
-    def several(rows: DataFrame) -> DataFrame:
-        mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        return rows.join(mixed.select("token"), "token", "left_semi")
-
-    placed = stored(several(placed), "apart")
-    left = sets.join(placed.select("node").distinct(), "node", "left_semi")
-    single = left.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("g"))
-    shared = single.groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("g")
-    common = single.join(shared, "g").groupBy("node", "n").agg(F.count("*").alias("common"))
-    common = stored(common.filter(F.col("common") * 100 >= F.col("n") * percent), "common")
-    placed = placed.join(common, "node")
-    least = placed.groupBy("token").agg(F.min("n").alias("least"))
-    placed = placed.join(least, "token").filter(F.col("common") * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
-    placed = stored(several(placed), "near-apart")
-    a, b = (placed.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "n", "common")]) for x in "ab")
-    fits = (
-        (F.col("component_a") < F.col("component_b"))
-        & (F.least("common_a", "common_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    )
-    return a.join(b, (a["token"] == b["token"]) & fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    hubs = entries.groupBy("token").agg(F.min("node").alias("hub"))
+    family = components(entries.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    placed = entries.select("node").distinct().join(family.withColumnRenamed("component", "family"), "node", "left").join(component, "node", "left")
+    placed = placed.select("node", F.coalesce("family", "node").alias("family"), F.coalesce("component", "node").alias("component"))
+    placed = stored(placed.join(sets.select("node", F.size("shingles").alias("n")), "node"), "families")
+    parts = placed.groupBy("family", "component").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
+    largest = parts.groupBy("family").agg(
+        F.max_by("component", F.struct("members", "component")).alias("largest"), F.count("*").alias("parts"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+    ).filter("parts > 1").drop("parts")
+    members = placed.drop("n").join(largest, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = stored(members.join(sets, "node"), "members")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    one = members.filter("component != largest").select("family", F.col("block").alias("i"), every.alias("j"), "node", "component", "shingles")
+    two = members.select("family", every.alias("i"), F.col("block").alias("j"), "node", "component", "shingles")
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            size = right["shingles"].map(len).to_numpy()
+            words, number = np.unique(np.concatenate(right["shingles"].to_list()), return_inverse=True)
+            begin = np.cumsum(size) - size
+            part, nodes = pd.factorize(right["component"])[0], right["node"].to_numpy()
+            components_of = right["component"].to_numpy()
+            flag = np.zeros(len(words), dtype=np.int64)
+            for node, own, shingles in zip(left["node"], left["component"], left["shingles"], strict=True):
+                slot = np.minimum(np.searchsorted(words, shingles), len(words) - 1)
+                slot = slot[words[slot] == shingles]
+                flag[slot] = 1
+                shared = np.add.reduceat(flag[number], begin)
+                flag[slot] = 0
+                hit = np.flatnonzero((100 * shared >= percent * (size + len(shingles) - shared)) & (components_of != own))
+                _, first = np.unique(part[hit], return_index=True)
+                found += [(node, nodes[k]) for k in hit[first]]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    kind = dict(entries.dtypes)["node"]
+    keys = ["family", "i", "j"]
+    return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(meet, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES) -> DataFrame:
@@ -234,7 +242,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     classes = stored(signed.join(of_set, key).filter("doc_id = node").dropDuplicates([*key, "node"]).select("node", *key, "signature"), "classes")
     prefix = stored(_prefixes(_postings(classes, coordinates), coordinates, matches), "prefixes")
     lists = prefix.groupBy("token").agg(
-        F.count("*").alias("members"), F.max_by("node", F.struct("weight", "node")).alias("first"), F.min_by("node", F.xxhash64("token", "node")).alias("other"),
+        F.count("*").alias("members"), F.max_by("node", F.struct("weight", "node")).alias("first"),
     ).filter("members > 1")
     lists = stored(lists, "lists")
     entries = stored(prefix.join(lists.select("token"), "token").select("token", "node"), "entries")
@@ -246,16 +254,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         agreeing = _agreeing(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), classes, coordinates, matches)
         return stored(_confirmed(agreeing, sets, percent), "links")
 
-    with_leaders = entries.join(lists.select("token", "first", "other"), "token")
+    with_leaders = entries.join(lists.select("token", "first"), "token")
     links = proven(with_leaders.filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")))
     component = components(links)
-    rest = with_leaders.filter("node != other").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    links = links.union(proven(_apart(rest, component)))
-    component = components(links)
-
-    pairs = _left_pairs(entries, component, sets, percent)
-    links = links.union(proven(pairs))
-    component = components(links)
+    more = stored(_family_links(entries, component, sets, percent), "family-links")
+    if not more.isEmpty():
+        component = components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     member = signed.select("doc_id", *key).join(classes.select("node", *key), key, "left").join(component, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
