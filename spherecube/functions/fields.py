@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KEY_COLUMNS = ("time", "level", "cell", "src_idx", "step_id", "day", "tile", "lat", "lon")
+KEY_COLUMNS = ("time", "level", "level_order", "cell", "src_idx", "step_id", "day", "tile", "year", "month", "zoom", "lat", "lon")
 
 # Fixed physical constants: Stefan-Boltzmann, and the two coefficients of the OLR flux
 # temperature to brightness temperature fit.

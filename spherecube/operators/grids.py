@@ -17,6 +17,25 @@ def grid_kind(lon_rank: int, lat_rank: int, dims: list[str]) -> str:
     raise ValueError(f"cannot tell the grid type from ranks lon={lon_rank}, lat={lat_rank}")
 
 
+def detect_kind(points: DataFrame) -> str:
+    """Grid type from the points themselves, whatever columns they have.
+
+    Regular: every ``iy`` has one latitude, every ``ix`` one longitude, none is NULL and all pairs are there. Positions
+    without that make a curvilinear grid, points without positions an unstructured one.
+    """
+    if not {"iy", "ix"} <= set(points.columns):
+        return UNSTRUCTURED
+    facts = points.agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("iy").isNull() | F.col("ix").isNull(), 1)).alias("unplaced"),
+        F.countDistinct("iy").alias("ny"), F.countDistinct("ix").alias("nx"),
+    ).first()
+    if facts.unplaced:
+        return UNSTRUCTURED
+    rows, columns = axis_table(points, "iy", "lat").count(), axis_table(points, "ix", "lon").count()
+    regular = (rows, columns) == (facts.ny, facts.nx) and facts.n == facts.nx * facts.ny and min(facts.nx, facts.ny) > 1
+    return LATLON_1D if regular else LATLON_2D
+
+
 def flat_index(iy: Column, ix: Column, nx: Column | int) -> Column:
     """Row-major position: y runs slowest whatever the order of the stored dimensions."""
     return (iy * nx + ix).cast("bigint")

@@ -18,7 +18,7 @@ TILE_LEVELS = 6
 
 def step_keys(cube: DataFrame) -> list[str]:
     """What identifies one field on the sphere: time, level and, where steps repeat, step_id."""
-    return [c for c in ("time", "level", "step_id") if c in cube.columns]
+    return [c for c in ("time", "level", "level_order", "step_id") if c in cube.columns]
 
 
 def repeated_points(cube: DataFrame) -> DataFrame:
@@ -62,16 +62,23 @@ def _tasks(cube: DataFrame) -> int:
 def _slices(tiled: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """One array per step and tile whose element ``pos`` holds the values of that source point.
 
-    A complete slice only needs sorting. One with missing points is filled up by position; points
-    given twice make the fill fail on a duplicate key rather than guess.
+    A complete slice only needs sorting. One with missing points is filled up in one pass: before each entry
+    come as many NULLs as positions lie between it and the one before. Points given twice are an error.
     """
     entry = F.struct("pos", *values)
     packed = tiled.groupBy(*keys, "tile").agg(
         F.sort_array(F.collect_list(entry)).alias("_found"), F.max("n").alias("_n")
     )
     positions = F.sequence(F.lit(0), F.col("_n") - 1)
-    by_position = F.map_from_entries(F.transform("_found", lambda e: F.struct(e["pos"].alias("key"), e.alias("value"))))
-    filled = F.transform(positions, lambda i: F.try_element_at(by_position, i))
+    found, nothing = F.col("_found"), F.get("_found", F.lit(-1))
+
+    def with_gap(e: Column, i: Column) -> Column:
+        gap = e["pos"] - F.coalesce(F.get(found, i - 1)["pos"], F.lit(-1)) - 1
+        twice = F.raise_error(F.lit("a source point is given twice for a step")).cast("int")
+        return F.concat(F.array_repeat(nothing, F.when(gap < 0, twice).otherwise(gap).cast("int")), F.array(e))
+
+    tail = F.array_repeat(nothing, (F.col("_n") - 1 - F.element_at(found, -1)["pos"]).cast("int"))
+    filled = F.concat(F.flatten(F.transform(found, with_gap)), tail)
     complete = F.col("_found")["pos"] == positions
     return packed.select(*keys, "tile", F.when(complete, F.col("_found")).otherwise(filled).alias("_s"))
 

@@ -49,7 +49,16 @@ def keep_dates(
 
 
 def keep_period(cube: DataFrame, start: dt.datetime, end: dt.datetime, time: str = "time") -> DataFrame:
-    return cube.filter(F.col(time).between(ntz(F.lit(start)), ntz(F.lit(end))))
+    """Rows from ``start`` to the end of the second ``end``."""
+    after = end.replace(microsecond=0) + dt.timedelta(seconds=1)
+    return cube.filter((F.col(time) >= ntz(F.lit(start))) & (F.col(time) < ntz(F.lit(after))))
+
+
+def slice_labels(cube: DataFrame, start: str | None = None, end: str | None = None, time: str = "time") -> DataFrame:
+    """Rows between two labels, the whole day, hour or second of the last included."""
+    first = parse_date_value(start) if start is not None else dt.datetime(1, 1, 1)
+    last = parse_date_value(end, end_of_period=True) if end is not None else dt.datetime(9999, 12, 31, 23, 59, 58)
+    return keep_period(cube, first, last, time)
 
 
 # --- position of a step on the time axis --------------------------------------------------------

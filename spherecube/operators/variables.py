@@ -80,12 +80,14 @@ def _spatial(x: str, y: str | None) -> Column:
 
 
 def passthrough_table(cube: DataFrame, names: list[str], key: str = "level") -> DataFrame:
-    """Side table of variables that depend on ``key`` only: one row per key value."""
+    """Side table of variables that depend on ``key`` only: one row per key value. Others are an error."""
     missing = [n for n in names if n not in cube.columns]
     if missing:
         log.warning("passthrough variables not in the data: %s", missing)
     present = [n for n in names if n in cube.columns and n != key]
-    return cube.groupBy(key).agg(*[F.any_value(n, ignoreNulls=True).alias(n) for n in present])
+    varies = F.raise_error(F.lit(f"a passthrough variable varies within {key}"))
+    one = {n: F.when(F.min(n) != F.max(n), varies).otherwise(F.max(n)) for n in present}
+    return cube.groupBy(key).agg(*[c.alias(n) for n, c in one.items()])
 
 
 def attach_passthrough(cube: DataFrame, side: DataFrame, key: str = "level") -> DataFrame:

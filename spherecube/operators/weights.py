@@ -13,8 +13,8 @@ from spherecube.operators.grids import axis_intervals, axis_table
 
 # cells this close (degrees) outside the outermost grid lines count as lying on them
 EDGE = 1e-9
-# an axis longer than this is not a grid axis; it is the broadcast bound of the interval tables
-MAX_AXIS = 100_000
+# interval tables of axes up to this length are broadcast, longer ones are joined by shuffle
+BROADCAST_AXIS = 100_000
 
 
 def longitude_frame(lon: Column, start: float) -> Column:
@@ -36,7 +36,7 @@ def _bucketed(intervals: DataFrame, origin: float, width: float) -> DataFrame:
     return intervals.withColumn("_bucket", F.explode(F.sequence(first, last)))
 
 
-def _locate(targets: DataFrame, intervals: DataFrame, value: Column, axis: str, bounds) -> DataFrame:
+def _locate(targets: DataFrame, intervals: DataFrame, value: Column, axis: str, bounds, small: bool) -> DataFrame:
     """Equi-join targets to the axis interval that holds them, and keep the fraction inside it.
 
     A value on a shared edge belongs to the upper interval, the last edge to the last interval.
@@ -49,7 +49,7 @@ def _locate(targets: DataFrame, intervals: DataFrame, value: Column, axis: str,
     inside = (value >= lo) & ((value < hi) | ((value == hi) & (hi == F.lit(end))))
     return (
         targets.withColumn("_bucket", F.floor((value - origin) / width))
-        .join(F.broadcast(table), "_bucket")
+        .join(F.broadcast(table) if small else table, "_bucket")
         .filter(inside)
         .withColumn(f"_{axis}_f", (value - lo) / (hi - lo))
         .drop("_bucket", f"_{axis}_lo", f"_{axis}_hi")
@@ -63,18 +63,19 @@ def regular_weights(
 
     The four corners of a grid rectangle lie on one circle, so either diagonal is a Delaunay
     edge; the south-west to north-east one is used throughout. Locating a cell is a lookup in the
-    two axis tables (broadcast; their length is checked), so nothing as large as the grid or the
-    cells is shuffled. ``wrap=None`` closes the circle when the longitudes plus one spacing span
-    360 degrees. Cells outside the grid get no rows.
+    two axis tables, broadcast up to ``BROADCAST_AXIS`` values. ``src_idx`` is the points' own: where it is
+    a linear function of the positions it is computed, so that nothing as large as the grid or the cells is
+    shuffled; otherwise vertices look it up by position. ``wrap=None`` closes the circle when the longitudes
+    plus one spacing span 360 degrees. Cells outside the grid get no rows.
     """
     spark = points.sparkSession
+    points = points.withColumns({c: F.col(c).cast("double") for c in ("lon", "lat")})
     lat_axis, lon_axis = axis_table(points, "iy", "lat"), axis_table(points, "ix", "lon")
     lat_stats, lon_stats = [
         axis.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count("*").alias("n")).first()
         for axis, v in ((lat_axis, "lat"), (lon_axis, "lon"))
     ]
-    if max(lat_stats.n, lon_stats.n) > MAX_AXIS:
-        raise ValueError("axis too long for a regular grid; use triangulated_weights")
+    small = max(lat_stats.n, lon_stats.n) <= BROADCAST_AXIS
     if min(lat_stats.n, lon_stats.n) < 2:
         raise ValueError("a regular grid needs two values on each axis")
     dlat = (lat_stats.hi - lat_stats.lo) / (lat_stats.n - 1)
@@ -102,22 +103,43 @@ def regular_weights(
         _snap(F.col("lat"), lat_stats.lo, lat_stats.hi).alias("lat"),
         (lon_in_frame if wrap else _snap(lon_in_frame, lon_stats.lo, lon_stats.hi)).alias("lon"),
     )
-    found = _locate(targets, lon_steps, F.col("lon"), "x", (lon_stats.lo, lon_end, dlon))
-    found = _locate(found, lat_steps, F.col("lat"), "y", (lat_stats.lo, lat_stats.hi, dlat))
+    found = _locate(targets, lon_steps, F.col("lon"), "x", (lon_stats.lo, lon_end, dlon), small)
+    found = _locate(found, lat_steps, F.col("lat"), "y", (lat_stats.lo, lat_stats.hi, dlat), small)
 
     u, v = F.col("_x_f"), F.col("_y_f")
 
     def corner(k: int, y: str, x: str, w: Column) -> Column:
-        index = F.col(f"_y_pos_{y}") * F.lit(lon_stats.n) + F.col(f"_x_pos_{x}")
-        return F.struct(F.lit(k).alias("k"), index.cast("bigint").alias("src_idx"), w.alias("w"))
+        place = [F.col(f"_y_pos_{y}").cast("bigint").alias("iy"), F.col(f"_x_pos_{x}").cast("bigint").alias("ix")]
+        return F.struct(F.lit(k).alias("k"), *place, w.alias("w"))
 
     lower = F.array(corner(0, "lo", "lo", 1 - u), corner(1, "lo", "hi", u - v), corner(2, "hi", "hi", v))
     upper = F.array(corner(0, "lo", "lo", 1 - v), corner(1, "hi", "lo", v - u), corner(2, "hi", "hi", u))
-    return found.select("cell", F.inline(F.when(v <= u, lower).otherwise(upper))).select(
+    vertices = found.select("cell", F.inline(F.when(v <= u, lower).otherwise(upper)))
+    linear = _linear_index(points)
+    if linear is not None:
+        vertices = vertices.withColumn("src_idx", F.col("iy") * F.lit(linear[0]) + F.col("ix") + F.lit(linear[1]))
+    else:
+        own = points.select(F.col("iy").cast("bigint").alias("iy"), F.col("ix").cast("bigint").alias("ix"), "src_idx")
+        vertices = vertices.join(own, ["iy", "ix"], "left")
+    return vertices.select(
         F.lit(grid_id).alias("grid_id"), F.lit(zoom).alias("zoom"), "cell", "k", "src_idx", "w"
     )
 
 
+def _linear_index(points: DataFrame) -> tuple[int, int] | None:
+    """(stride, start) with src_idx = iy * stride + ix + start for every point, if there are such numbers."""
+    place = F.struct("src_idx", "iy", "ix")
+    ends = points.agg(F.min_by(place, "iy").alias("low"), F.max_by(place, "iy").alias("high")).first()
+    rows = ends.high.iy - ends.low.iy
+    rise = (ends.high.src_idx - ends.high.ix) - (ends.low.src_idx - ends.low.ix)
+    if not rows or rise % rows:
+        return None
+    stride = rise // rows
+    start = ends.low.src_idx - ends.low.ix - ends.low.iy * stride
+    odd = points.filter(~F.col("src_idx").eqNullSafe(F.col("iy") * F.lit(stride) + F.col("ix") + F.lit(start)))
+    return (int(stride), int(start)) if odd.isEmpty() else None
+
+
 def grid_fingerprint(points: DataFrame) -> str:
     """Identifier of a grid from its points, independent of row order."""
     row = points.agg(
@@ -127,17 +149,26 @@ def grid_fingerprint(points: DataFrame) -> str:
 
 
 def weights_fit_grid(weights: DataFrame, points: DataFrame) -> DataFrame:
-    """Size check before a remap: grid points against the highest index the weights use."""
+    """Check before a remap: three weights a cell, each on a point that the grid has. One row, ``fits`` never NULL."""
     n_points = points.agg(F.count("*").alias("n")).scalar()
     used = weights.agg(
         F.max("src_idx").alias("max_src_idx"),
         F.countDistinct("cell").alias("valid_cells"),
         F.count("*").alias("weight_rows"),
     )
-    return used.withColumn("n_points", n_points).withColumn(
-        "fits",
-        (F.col("max_src_idx") < F.col("n_points")) & (F.col("weight_rows") == 3 * F.col("valid_cells")),
-    )
+    unknown = weights.select("src_idx").distinct().join(points.select("src_idx"), weights["src_idx"] == points["src_idx"], "left_anti")
+    n_unknown = unknown.agg(F.count("*").alias("n")).scalar()
+    return used.withColumn("n_points", n_points).withColumn("_unknown", n_unknown).withColumn(
+        "fits", (F.col("_unknown") == 0) & (F.col("weight_rows") == 3 * F.col("valid_cells")),
+    ).drop("_unknown")
+
+
+def require_fit(weights: DataFrame, points: DataFrame) -> DataFrame:
+    """Raise where :func:`weights_fit_grid` says no; one row reaches the driver."""
+    row = weights_fit_grid(weights, points).first()
+    if not row.fits:
+        raise ValueError(f"weights do not fit the grid: {row.weight_rows} weights of {row.valid_cells} cells on {row.n_points} points")
+    return weights
 
 
 def one_per_location(points: DataFrame) -> DataFrame:

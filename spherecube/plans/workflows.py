@@ -17,7 +17,7 @@ from spherecube.functions.times import parse_date_value
 from spherecube.operators import coarsen as co
 from spherecube.operators import combine, grids, levels, remap, timeops, variables
 from spherecube.operators.triangulation import triangulated_weights
-from spherecube.operators.weights import grid_fingerprint, regular_weights
+from spherecube.operators.weights import grid_fingerprint, regular_weights, require_fit
 from spherecube.sources import catalog, cubes, stores
 
 log = logging.getLogger(__name__)
@@ -46,9 +46,9 @@ def apply_steps(
 
 
 def build_weights(points: DataFrame, zoom: int, grid_type: str, grid_id: str) -> DataFrame:
-    """Weights by grid type; ``auto`` takes a table with axis positions for a regular grid."""
+    """Weights by grid type; ``auto`` finds the type from the points."""
     if grid_type == "auto":
-        grid_type = grids.LATLON_1D if {"iy", "ix"} <= set(points.columns) else grids.UNSTRUCTURED
+        grid_type = grids.detect_kind(points)
     if grid_type == grids.LATLON_1D:
         return regular_weights(points, zoom, grid_id)
     if grid_type in (grids.LATLON_2D, grids.UNSTRUCTURED):
@@ -87,14 +87,19 @@ def remap_cube(
     cube = variables.drop_skipped_columns(cube, config.get("skip_variables"))
     renames = config.get("remap_variables")
     through = [v for v in config.get("passthrough_variables") or [] if v in cube.columns and v != "level"]
-    side = variables.passthrough_table(cube, through) if through and "level" in cube.columns else None
+    axis = "level" if "level" in cube.columns else "time"
+    side = variables.passthrough_table(cube, through, axis) if through else None
+    if side is not None and axis == "time":
+        side = timeops.temporal_average(side, config.get("time_average"), [], fill=config.get("fill", True))
     if renames:
         cube = variables.select_rename(cube, renames)
-    keys = [c for c in ("level", "src_idx") if c in cube.columns]
+    if side is not None:
+        cube = cube.drop(*through)
+    keys = [c for c in ("level", "level_order", "src_idx") if c in cube.columns]
     cube = timeops.temporal_average(cube, config.get("time_average"), keys, fill=config.get("fill", True))
     out = remap.apply_weights(cube, weights, zoom)
     if side is not None:
-        out = variables.attach_passthrough(out, side)
+        out = variables.attach_passthrough(out, side, axis)
     return remap.densify(out, zoom) if config.get("dense") else out
 
 
@@ -109,7 +114,7 @@ def preset_steps(config: dict) -> tuple[list[Step], list[dict]]:
         funcs.append(timeops.every_interval)
         kwargs.append({"time_subset": subset})
     if config.get("level_subset"):
-        funcs.append(levels.keep_levels)
+        funcs.append(levels.keep_levels_checked)
         kwargs.append({"wanted": config["level_subset"]})
     return funcs, kwargs
 
@@ -164,6 +169,7 @@ def process_to_cells(
     if funcs is None:
         funcs, kwargs = preset_steps(config)
     weights = weights_for(points, zoom, config.get("grid_type", "auto"), weights_cache, config.get("force_recompute", False))
+    require_fit(weights, points)
     out = remap_cube(cube, weights, zoom, config, funcs or None, kwargs)
     stores.write_store(out, output, zoom, config.get("time_chunk", 48), "overwrite" if overwrite else "error")
     return stores.read_store(spark, output)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spherecube.functions import healpix
 from spherecube.operators import grids, remap, stats, triangulation, variables, weights
 from spherecube.operators.timeops import keep_minute
 from spherecube.plans import workflows
@@ -93,15 +94,79 @@ def c8(spark, sf_dir):
 # --- weights ------------------------------------------------------------------------------------
 
 
+def _positions_back(w, points, spread: bool = False):
+    """What the weights make of the points' own positions, cell by cell."""
+    out = w.join(points.select("src_idx", "lon", "lat"), "src_idx").groupBy("cell").agg(
+        F.count("*").cast("int").alias("vertices"), F.sum("w").alias("weight_sum"), F.sum(F.col("w") * F.col("lon")).alias("lon_back"),
+        F.sum(F.col("w") * F.col("lat")).alias("lat_back"), (F.max("lon") - F.min("lon")).alias("spread"))
+    out = rounded(out, "weight_sum", "lon_back", "lat_back")
+    return out if spread else out.drop("spread")
+
+
 @query(
     "J1_weights_regular",
-    f"""SELECT 'orders' AS grid_id, 8 AS zoom, cell, k, src_idx, round(w, 6) AS w
-    FROM {fx.regular_weights_sql(8, f"(SELECT DISTINCT cell FROM {fx.hp_events_sql(8)})")}""",
+    f"""SELECT 'orders' AS grid_id, 7 AS zoom, cell, k, src_idx, round(w, 6) AS w FROM {fx.regular_weights_sql(7)}""",
 )
 def j1(spark, sf_dir):
-    """Weights of the 10-degree grid for the cells that events fall on."""
-    cells = _cells_in_use(spark, sf_dir, 8)
-    return rounded(weights.regular_weights(fx.grid_orders(spark, sf_dir), 8, "orders", cells=cells), "w")
+    """Weights of the 10-degree grid for every cell of zoom 7."""
+    return rounded(weights.regular_weights(fx.grid_orders(spark, sf_dir), 7, "orders"), "w")
+
+
+@query(
+    "J1_F7_region_remap",
+    f"""SELECT time, w.cell AS cell, round(CASE WHEN count(pr) = 3 THEN sum(pr * w) END, 3) AS pr
+    FROM {OBS} o JOIN {fx.regular_weights_sql(Z)} w ON o.src_idx = w.src_idx
+    JOIN (SELECT cell FROM {fx.cells_sql(Z, fx.all_cells_sql(Z))} WHERE lon BETWEEN 115 AND 215 AND lat BETWEEN 5 AND 45) c ON c.cell = w.cell
+    GROUP BY time, w.cell""",
+)
+def j1_region(spark, sf_dir):
+    """A region cut from the grid keeps its own point numbers: weights and remap of the subset."""
+    box = (F.col("lon").between(110, 220)) & (F.col("lat").between(0, 50))
+    points = fx.grid_orders(spark, sf_dir).filter(box)
+    w = workflows.weights_for(points, Z)
+    obs = fx.obs_orders(spark, sf_dir).filter(box).select("time", "src_idx", "pr")
+    return rounded(remap.apply_weights(obs, weights.require_fit(w, points), Z), "pr", digits=3)
+
+
+@query(
+    "J4_apply_weights_sparse",
+    f"""SELECT time, CASE WHEN src_idx_in % 10 = 0 THEN 2.0 ELSE 1.0 END::DOUBLE AS level, cell, round(CASE WHEN count(pr) = 3 THEN sum(pr * w) END, 3) AS pr
+    FROM (SELECT time, src_idx, src_idx AS src_idx_in, pr FROM {OBS}) o JOIN {fx.regular_weights_sql(Z)} w ON o.src_idx = w.src_idx GROUP BY 1, 2, 3""",
+)
+def j4_sparse(spark, sf_dir):
+    """Slices with a tenth, and with nine tenths, of their points absent as rows."""
+    obs = fx.obs_orders(spark, sf_dir)
+    level = F.when(F.col("src_idx") % 10 == 0, 2.0).otherwise(1.0)
+    return rounded(remap.apply_weights(obs.select("time", level.alias("level"), "src_idx", "pr"), _weights(spark, sf_dir), Z), "pr", digits=3)
+
+
+@query(
+    "J1_weights_curvilinear",
+    f"""SELECT cell, 3 AS vertices, round(CAST(1 AS DOUBLE), 6) AS weight_sum, round(lon, 6) AS lon_back, round(lat, 6) AS lat_back
+    FROM {fx.cells_sql(Z, fx.all_cells_sql(Z))}
+    WHERE (3 * (lon - 100) + 0.4 * (lat + 30)) / 6.16 BETWEEN 0 AND {fx.NX - 1} AND (2 * (lat + 30) - 0.4 * (lon - 100)) / 6.16 BETWEEN 0 AND {fx.NY - 1}""",
+)
+def j1_curvilinear(spark, sf_dir):
+    """A sheared and turned lattice, recognised as curvilinear: cells inside it get their own position back."""
+    place = fx.grid_orders(spark, sf_dir).select(
+        "iy", "ix", (F.lit(100.0) + 2.0 * F.col("ix") - 0.4 * F.col("iy")).alias("lon"), (F.lit(-30.0) + 3.0 * F.col("iy") + 0.4 * F.col("ix")).alias("lat"))
+    points = grids.points_from_2d(place, fx.NX)
+    return _positions_back(workflows.weights_for(points, Z), points)
+
+
+@query(
+    "J1_weights_auto_unstructured",
+    f"""SELECT cell, 3 AS vertices, round(CAST(1 AS DOUBLE), 6) AS weight_sum, round(lat, 6) AS lat_back, true AS lon_fits
+    FROM {fx.cells_sql(Z, fx.all_cells_sql(Z))}
+    WHERE lat BETWEEN (SELECT min(lat) FROM {fx.points_customers_sql()}) AND (SELECT max(lat) FROM {fx.points_customers_sql()})""",
+)
+def j1_auto(spark, sf_dir):
+    """Scattered points through ``auto``; longitudes are compared where a triangle does not cross the seam."""
+    points = grids.points_from_columns(fx.points_customers(spark, sf_dir), "src_idx")
+    back = _positions_back(workflows.weights_for(points, Z), points, spread=True)
+    here = healpix.with_cell_centers(back, Z)
+    fits = (F.col("spread") > 180) | (F.abs(F.col("lon_back") - F.col("lon")) < 1e-5)
+    return here.select("cell", "vertices", "weight_sum", "lat_back", fits.alias("lon_fits"))
 
 
 @query(

@@ -163,11 +163,11 @@ def f9(spark, sf_dir):
 @query(
     "F10_time_slice",
     f"""SELECT event_id, time, value FROM {fx.hp_events_sql(Z)}
-    WHERE time >= TIMESTAMP '2024-01-03 06:00:00' AND time <= TIMESTAMP '2024-01-09 23:59:59'""",
+    WHERE time >= TIMESTAMP '2024-01-03 06:00:00' AND time < TIMESTAMP '2024-01-10 00:00:00'""",
 )
 def f10(spark, sf_dir):
     e = fx.hp_events(spark, sf_dir, Z)
-    return timeops.keep_dates(e, "2024-01-03T06", "2024-01-09T23").select("event_id", "time", "value")
+    return timeops.slice_labels(e, "2024-01-03T06", "2024-01-09T23").select("event_id", "time", "value")
 
 
 @query(

@@ -68,7 +68,8 @@ def merge_variables(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
 
     A column already given by an earlier part is not taken from a later one. One union and one
     aggregation on the keys replace a chain of outer joins: a single shuffle for any number of
-    variables, with partial aggregation before it.
+    variables, with partial aggregation before it. Two values of one variable under one key are an
+    error: merged rows could hold only one of them.
     """
     taken: set[str] = set(keys)
     pieces = []
@@ -81,7 +82,8 @@ def merge_variables(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
         pieces.append(part.select(*keys, *fresh))
     stacked = concat_time(pieces)
     fields = [c for c in stacked.columns if c not in keys]
-    return stacked.groupBy(*keys).agg(*[F.any_value(c, ignoreNulls=True).alias(c) for c in fields])
+    twice = F.raise_error(F.lit("a variable has several values under one key"))
+    return stacked.groupBy(*keys).agg(*[F.when(F.count(c) > 1, twice).otherwise(F.any_value(c, ignoreNulls=True)).alias(c) for c in fields])
 
 
 def read_variables(

@@ -175,7 +175,7 @@ def test_user_steps(spark):
 def test_presets(spark):
     assert set(presets.PRESETS) == {"imerg", "ir_imerg", "era5_2d", "era5_3d", "scream_1h", "scream_3h", "scream_1m"}
     funcs, kwargs = workflows.preset_steps(presets.ERA5_LEVELS)
-    assert funcs == [timeops.every_interval, levels.keep_levels] and len(kwargs[1]["wanted"]) == 15
+    assert funcs == [timeops.every_interval, levels.keep_levels_checked] and len(kwargs[1]["wanted"]) == 15
     assert [len(presets.PRESETS[p]["remap_variables"]) for p in ("era5_2d", "era5_3d", "scream_1h", "scream_3h", "scream_1m")] == [10, 7, 3, 17, 28]
     kept = variables.filter_specs(presets.ERA5_LEVELS["variables"], ["T", "NOPE"])
     assert [v["var_name"] for v in kept] == ["T"]
