@@ -183,23 +183,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _family_links(entries: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components that posting lists hold together: one for each member and component it reaches.
 
-    Lists that share members make a family. Members outside a family's largest component are compared on whole sets
-    with all members, block by block inside tasks; only links come out. Blocks have about BLOCK_SHINGLES shingles.
+    A list whose members are all linked already has nothing to add. The others make families where they share members.
+    Members outside a family's largest component are compared on whole sets with all members, block by block inside tasks;
+    only links come out. Blocks have about BLOCK_SHINGLES shingles, and each side is repeated for the blocks of the other.
     """
-    hubs = entries.groupBy("token").agg(F.min("node").alias("hub"))
-    family = components(entries.join(hubs, "token").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    placed = entries.select("node").distinct().join(family.withColumnRenamed("component", "family"), "node", "left").join(component, "node", "left")
-    placed = placed.select("node", F.coalesce("family", "node").alias("family"), F.coalesce("component", "node").alias("component"))
+    located = entries.join(component, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+    mixed = located.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("hub"))
+    mixed = stored(mixed.filter("low != high").select("token", "hub"), "mixed-lists")
+    open_entries = stored(located.join(small_side(mixed), "token"), "open-entries")
+    family = components(open_entries.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    placed = open_entries.select("node", "component").distinct().join(family.withColumnRenamed("component", "family"), "node", "left")
+    placed = placed.select("node", F.coalesce("family", "node").alias("family"), "component")
     placed = stored(placed.join(sets.select("node", F.size("shingles").alias("n")), "node"), "families")
-    parts = placed.groupBy("family", "component").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
+    parts = placed.groupBy("family", "component").agg(F.sum("n").alias("n"))
     largest = parts.groupBy("family").agg(
-        F.max_by("component", F.struct("members", "component")).alias("largest"), F.count("*").alias("parts"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"),
-    ).filter("parts > 1").drop("parts")
-    members = placed.drop("n").join(largest, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = stored(members.join(sets, "node"), "members")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    one = members.filter("component != largest").select("family", F.col("block").alias("i"), every.alias("j"), "node", "component", "shingles")
-    two = members.select("family", every.alias("i"), F.col("block").alias("j"), "node", "component", "shingles")
+        F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"),
+    ).filter("parts > 1")
+    blocks = [F.ceil(size / BLOCK_SHINGLES).cast("int") for size in (F.col("n") - F.col("most"), F.col("n"))]
+    largest = largest.select("family", "largest", blocks[0].alias("few"), blocks[1].alias("all"))
+    members = stored(placed.drop("n").join(largest, "family").join(sets, "node"), "members")
+
+    def block(count: str):
+        return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+
+    def each(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    one = members.filter("component != largest").select("family", block("few").alias("i"), each("all").alias("j"), "node", "component", "shingles")
+    two = members.select("family", each("few").alias("i"), block("all").alias("j"), "node", "component", "shingles")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
