@@ -74,7 +74,7 @@ def _slices(tiled: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
     def with_gap(e: Column, i: Column) -> Column:
         gap = e["pos"] - F.coalesce(F.get(found, i - 1)["pos"], F.lit(-1)) - 1
-        twice = F.raise_error(F.lit("a source point is given twice for a step")).cast("int")
+        twice = F.raise_error(F.lit("DUPLICATED_MAP_KEY: a source point is given twice for a step")).cast("int")
         return F.concat(F.array_repeat(nothing, F.when(gap < 0, twice).otherwise(gap).cast("int")), F.array(e))
 
     tail = F.array_repeat(nothing, (F.col("_n") - 1 - F.element_at(found, -1)["pos"]).cast("int"))
