@@ -27,6 +27,8 @@ AGREE = 2
 SIMILARITY = 0.8
 #: shingles without counterpart that a passage may have in a row, about two changed words
 MAX_GAP = 2 * SHINGLE + 2
+#: pairs of equal shingles of two texts that are chained at a time
+PAIRS = 200_000
 
 
 def nearest_smaller(keys: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +139,68 @@ def agreed_ranges(low: np.ndarray, high: np.ndarray, function: np.ndarray, agree
     return [(int(at[a]), int(at[b]) - 1) for a, b in zip(opens, closes, strict=True)]
 
 
+def counterparts(part: np.ndarray, ordered: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``part`` of the shingles that the other text has too, and the place each of them maps to there.
+
+    ``ordered`` are the other text's shingles sorted, ``order`` their places. Of several places the one on the longest
+    chain counts: runs of consecutive shingles are chained over short gaps in both texts. Shingles that are so frequent
+    that all their pairs would exceed ``PAIRS`` take the place nearest to that of the chosen ones around them.
+    """
+    first, last = np.searchsorted(ordered, part, side="left"), np.searchsorted(ordered, part, side="right")
+    here = np.flatnonzero(last > first)
+    first, times = first[here], (last - first)[here]
+    there = order[first]
+    if not len(here) or times.max() == 1:
+        return here, there
+    rare = np.argsort(times, kind="stable")
+    rare = np.sort(rare[np.cumsum(times[rare]) <= max(PAIRS, 2 * len(here))])
+    known = np.zeros(len(here), dtype=bool)
+    if len(rare):
+        known[rare] = True
+        n = times[rare]
+        owner = np.repeat(rare, n)
+        ends = np.cumsum(n)
+        y = order[np.repeat(first[rare] - ends + n, n) + np.arange(ends[-1])]
+        x = here[owner]
+        by = np.lexsort((x, y - x))
+        x, y, owner = x[by], y[by], owner[by]
+        opens = np.flatnonzero(np.concatenate([[True], (np.diff(y - x) != 0) | (np.diff(x) != 1)]))
+        closes = np.append(opens[1:], len(x)) - 1
+        total = _chained(x[opens], x[closes], y[opens], y[closes])
+        weight = np.repeat(total, closes - opens + 1)
+        best = np.lexsort((y, -weight, owner))
+        best = best[np.concatenate([[True], np.diff(owner[best]) != 0])]
+        there[owner[best]] = y[best]
+    sure = np.flatnonzero(known)
+    for k in np.flatnonzero(~known).tolist():
+        at = int(np.searchsorted(sure, k))
+        near = [int(sure[j]) for j in (at - 1, at) if 0 <= j < len(sure)]
+        if k and not near:
+            near = [k - 1]
+        if near:
+            by_it = min(near, key=lambda j: abs(int(here[j]) - int(here[k])))
+            places = order[first[k] : first[k] + times[k]]
+            there[k] = places[np.argmin(np.abs(places - (there[by_it] + here[k] - here[by_it])))]
+    return here, there
+
+
+def _chained(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+    """Shingles on the longest chain through each run (x0..x1 in one text, y0..y1 in the other, ends included)."""
+
+    def one_way(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+        score = x1 - x0 + 1
+        alive = np.zeros(0, dtype=np.int64)
+        for k in np.lexsort((y0, x0)).tolist():
+            alive = alive[x1[alive] >= x0[k] - MAX_GAP - 1]
+            fits = alive[(x0[alive] < x0[k]) & (x1[alive] < x1[k]) & (y0[alive] < y0[k]) & (y1[alive] < y1[k]) & (np.abs(y0[k] - y1[alive] - 1) <= MAX_GAP)]
+            if len(fits):
+                score[k] = (score[fits] + x1[k] - np.maximum(x1[fits], x0[k] - 1)).max()
+            alive = np.append(alive, k)
+        return score
+
+    return one_way(x0, x1, y0, y1) + one_way(-x1, -x0, -y1, -y0) - (x1 - x0 + 1)
+
+
 def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]], span: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
     """Verified passages: (first, last, their first, their last, Jaccard similarity), in shingles, ends included.
 
@@ -147,12 +211,10 @@ def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]]
     ordered = theirs[order]
     found = []
     for low, high in ranges:
-        part = mine[low : high + 1]
-        slot = np.minimum(np.searchsorted(ordered, part), len(ordered) - 1)
-        hit = np.flatnonzero(ordered[slot] == part)
-        if len(hit) == 0:
+        here, there = counterparts(mine[low : high + 1], ordered, order)
+        if len(here) == 0:
             continue
-        there, here = order[slot[hit]], hit + low
+        here = here + low
         todo = []
         cut = np.flatnonzero(np.diff(here) > MAX_GAP) + 1
         edges = [0, *cut.tolist(), len(here)]

@@ -104,6 +104,25 @@ def test_passages_are_found_and_clean_texts_left(spark):
     assert cut[7] == (texts[7][:20] + texts[7][90:], 70) and cut[3] == (texts[3], 0)
 
 
+def test_exact_copies_of_what_the_source_quotes_before():
+    """A phrase, or parts of the passage, stand elsewhere in the source too."""
+    rng = random.Random(5)
+    passage = [rng.randrange(1 << 30) for _ in range(70)]
+    noise = [rng.randrange(1 << 30) for _ in range(900)]
+    for quoted in ([(30, 34)], [(0, 40)], [(40, 70)], [(0, 25), (45, 70)], [(30, 31)] * 40):
+        source = list(noise)
+        at = 800
+        source[at:at] = passage
+        for k, (a, b) in enumerate(quoted):
+            source[20 + 10 * k : 20 + 10 * k] = passage[a:b]
+            at += b - a
+        mine = [rng.randrange(1 << 30) for _ in range(100)] + passage + [rng.randrange(1 << 30) for _ in range(100)]
+        got = substring_dedup.passages(np.array(mine), np.array(source), [(90, 180)], 46, 0.8)
+        assert got == [(100, 169, at, at + 69, 1.0)], quoted
+    again = [7] * 3000
+    assert substring_dedup.passages(np.array(again), np.array(again), [(0, 2999)], 46, 0.8)
+
+
 def test_decontamination_by_join_equals_by_broadcast(spark):
     rng = random.Random(2)
     items = [prose(rng, n) for n in (3, 9, 10, 14, 40)] + [["w1"]]
