@@ -5,7 +5,8 @@ passages of ``width`` words or more that share their minimum into compact window
 windows for every ``width`` shingles. Windows of different documents with the same minimum meet in a join; passages for
 which enough functions agree are fetched and verified on their whole shingle sets.
 
-A minimum that many documents share links each of them with the one of the smallest id only.
+A minimum that many documents share first links each of them with the one of the smallest id. Windows whose minimum is in
+no passage verified that way are then joined with all other holders of smaller id.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def compact_windows(value: np.ndarray, row: np.ndarray, span: int) -> tuple[np.n
 
 
 def windows(docs: DataFrame, width: int, shingle: int, functions: int) -> DataFrame:
-    """key (function and shingle), doc_id, low, high: compact windows as ranges of shingles of their document."""
+    """key (function and shingle), doc_id, low, high, at: compact windows as ranges of shingles of their document, and the minimum's place."""
     span = width - shingle + 1
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,12 +111,12 @@ def windows(docs: DataFrame, width: int, shingle: int, functions: int) -> DataFr
                 at, low = at[begin], left[begin]
                 key = (tx.signed(mapped[at]) & ~np.int64(15)) | np.int64(f)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), part.column("doc_id").take(pa.array(row[at])), pa.array((position[low] - start[at]).astype(np.int32)), pa.array((position[high] - start[at]).astype(np.int32))],
-                    names=["key", "doc_id", "low", "high"],
+                    [pa.array(key), part.column("doc_id").take(pa.array(row[at])), pa.array((position[low] - start[at]).astype(np.int32)), pa.array((position[high] - start[at]).astype(np.int32)), pa.array((position[at] - start[at]).astype(np.int32))],
+                    names=["key", "doc_id", "low", "high", "at"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(compute, f"key bigint, doc_id {kind}, low int, high int")
+    return docs.mapInArrow(compute, f"key bigint, doc_id {kind}, low int, high int, at int")
 
 
 def agreed_ranges(low: np.ndarray, high: np.ndarray, function: np.ndarray, agree: int) -> list[tuple[int, int]]:
@@ -267,15 +268,45 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     docs = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
     span = width - shingle + 1
-    # taken twice from the texts rather than stored: most windows are met once only
+    # taken again from the texts rather than stored: most windows are met once only
     found = windows(docs, width, shingle, functions)
-    leads = found.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead")
-    hits = found.join(leads, "key").filter("doc_id != lead")
+    leads = found.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("other")).filter("lead != other").select("key", "lead")
+    shared = stored(found.join(leads, "key"), "shared-windows")
+    pairs = _agreeing(shared.filter("doc_id != lead"), agree)
+    verified = stored(_verified(docs, pairs, span, shingle, agree, similarity), "verified")
+
+    # what no passage covers meets every holder of its key, the lead too: two keys of a pair may have had different leads
+    unsettled = stored(_unsettled(shared, verified, shingle), "unsettled")
+    holders = shared.join(small_side(stored(unsettled.select("key").distinct(), "unsettled-keys")), "key", "left_semi").select("key", F.col("doc_id").alias("lead")).distinct()
+    more = _agreeing(unsettled.join(holders, "key").filter("doc_id > lead"), agree)
+    more = more.join(pairs.select("doc_id", "lead", F.size("ranges").alias("before")), ["doc_id", "lead"], "left").filter("before is null or size(ranges) > before").drop("before")
+    rest = _verified(docs, more, span, shingle, agree, similarity)
+    # a passage that several holders have is reported with the first
+    where = ["doc_id", "start", "end"]
+    rest = rest.join(verified.select(*where).distinct(), where, "left_anti").groupBy(*where).agg(
+        F.min(F.struct("source_doc_id", "source_start", "source_end", "similarity")).alias("source")).select(*where, "source.*")
+    return verified.union(rest)
+
+
+def _agreeing(hits: DataFrame, agree: int) -> DataFrame:
+    """doc_id, lead, ranges of the pairs that meet in windows of at least ``agree`` functions."""
     pairs = hits.groupBy("doc_id", "lead").agg(
         F.collect_list(F.struct("low", "high", F.col("key").bitwiseAND(15).cast("int").alias("f"))).alias("ranges"),
         F.bit_or(F.expr("shiftleft(1, cast(key & 15 as int))")).alias("mask"),
     )
-    pairs = stored(pairs.filter(F.bit_count("mask") >= agree).drop("mask"), "pairs")
+    return stored(pairs.filter(F.bit_count("mask") >= agree).drop("mask"), "pairs")
+
+
+def _unsettled(shared: DataFrame, verified: DataFrame, shingle: int) -> DataFrame:
+    """key, doc_id, low, high of the windows whose minimum lies in no verified passage of their document."""
+    spans = stored(verified.groupBy("doc_id").agg(F.collect_set(F.struct("start", (F.col("end") - shingle).alias("last"))).alias("spans")), "settled")
+    joined = shared.filter("doc_id != lead").join(small_side(spans, 100_000), "doc_id", "left")
+    covered = F.exists("spans", lambda p: (p["start"] <= F.col("at")) & (F.col("at") <= p["last"]))
+    return joined.filter(F.col("spans").isNull() | ~covered).select("key", "doc_id", "low", "high")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, agree: int, similarity: float) -> DataFrame:
+    """The passages of ``pairs`` that hold on whole shingle sets."""
     ids = stored(pairs.select("doc_id").union(pairs.select("lead")).distinct(), "pair-ids")
     arrays = stored(_shingles(docs.join(small_side(ids), "doc_id", "left_semi"), shingle).filter(F.size("shingles") >= span), "shingles")
     both = pairs.join(arrays.withColumnRenamed("shingles", "mine"), "doc_id").join(

@@ -123,6 +123,23 @@ def test_exact_copies_of_what_the_source_quotes_before():
     assert substring_dedup.passages(np.array(again), np.array(again), [(0, 2999)], 46, 0.8)
 
 
+def test_exact_copies_behind_looser_variants_of_smaller_ids(spark):
+    """Variants below the threshold hold the passage's minima, yet the copies among later documents are found."""
+    rng = random.Random(12)
+    texts, wanted = [], []
+    for _ in range(12):
+        passage = prose(rng, 60, 10**6)
+        for k in range(4):
+            # every 15th word is changed: no stretch of 50 words is similar enough
+            texts.append(prose(rng, 80, 10**6) + [f"e{rng.randrange(10**9)}" if j % 15 == 3 * k else w for j, w in enumerate(passage)] + prose(rng, 80, 10**6))
+        for _ in range(2):
+            texts.append(prose(rng, 80, 10**6) + passage + prose(rng, 80, 10**6))
+        wanted.append((len(texts) - 1, 80, 140, len(texts) - 2, 80, 140))
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.start, r.end, r.source_doc_id, r.source_start, r.source_end) for r in substring_dedup.repeated_passages(docs).collect()}
+    assert set(wanted) <= got
+
+
 def test_decontamination_by_join_equals_by_broadcast(spark):
     rng = random.Random(2)
     items = [prose(rng, n) for n in (3, 9, 10, 14, 40)] + [["w1"]]
