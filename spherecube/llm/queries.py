@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherecube.llm import decontaminate, html_text, license_scan, near_dup, packing, quality_model, quality_rules, substring_dedup, toxicity, warc
+from spherecube.llm import decontaminate, hard_negatives, html_text, license_scan, near_dup, packing, quality_model, quality_rules, secrets, substring_dedup
+from spherecube.llm import token_alignment, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,10 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -146,3 +147,84 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_license_scan")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+NEGATIVES_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER w::INTEGER AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _secrets_sql() -> str:
+    base = ((secrets.ASSIGN, 2, 12), (secrets.ACCESS, 0, 18), (secrets.HEX, 0, 16))
+    matches = " UNION ALL ".join(
+        f"SELECT k, {rank} AS rank, unnest(range(1, len(h) + 1)) AS i, h, g, n FROM (SELECT k, regexp_extract_all(t, {_sql_text(p)}) AS h, "
+        f"string_split_regex(t, {_sql_text(p)}) AS g, regexp_extract_all(t, {_sql_text(p)}, {group}) AS n FROM d)"
+        for rank, (p, group, _) in enumerate([*base, (secrets.CANDIDATE, 0, 0)])
+    )
+    least = "[" + ", ".join(str(n) for _, _, n in base) + ", 0]"
+    allowed = " AND ".join(f"NOT regexp_matches(hit, {_sql_text(p)})" for p in secrets.ALLOWED)
+    kinds = ", ".join(_sql_text(k) for k in (*secrets.BASE, *(c.kind for c in secrets.CLASSES)))
+    costs, total = [], 0
+    for step in secrets.STEPS:
+        costs.append(total := total + step)
+    more = " UNION ALL ".join(
+        f"SELECT k, {len(secrets.BASE) + n} AS rank, s, e FROM c JOIN least_cost USING (k, s) WHERE cost <= {secrets.limit_of(c.bits)} AND "
+        + " AND ".join(f"regexp_matches(hit, {_sql_text(p)})" for p in c.needs)
+        for n, c in enumerate(secrets.CLASSES)
+    )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+m AS (
+  SELECT k, rank, list_sum(list_transform(g[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: len(x))), 0) AS s, h[i] AS hit
+  FROM ({matches}) WHERE len(n[i]) >= {least}[rank + 1]
+), spans AS (SELECT k, rank, s::BIGINT AS s, (s + len(hit))::BIGINT AS e, hit FROM m),
+base AS (SELECT * FROM spans WHERE rank < 3),
+c AS (SELECT * FROM spans x WHERE rank = 3 AND {allowed} AND NOT EXISTS (SELECT 1 FROM base b WHERE b.k = x.k AND b.s < x.e AND b.e > x.s)),
+letters AS (
+  SELECT k, s, i, hit[j] AS letter, count(*) AS n
+  FROM (SELECT k, s, hit, i, unnest(range(i, i + {secrets.WINDOW})) AS j FROM (SELECT k, s, hit, unnest(range(1, len(hit) - {secrets.WINDOW} + 2)) AS i FROM c)) GROUP BY ALL
+), costs AS (SELECT k, s, i, sum({costs}[n]) AS cost FROM letters GROUP BY ALL),
+least_cost AS (SELECT k, s, min(cost) AS cost FROM costs GROUP BY ALL),
+every AS (SELECT k, rank, s, e FROM base UNION ALL {more}),
+told AS (SELECT *, [{kinds}][rank + 1] || ':' || s || ':' || e AS x FROM every)
+SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+  sha256(coalesce(string_agg(x, ',' ORDER BY s, rank) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(x, ',' ORDER BY s, rank), '') AS spans
+FROM d LEFT JOIN told USING (k) GROUP BY k, doc_id
+"""
+
+
+@query("op12_secret_scan", _secrets_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda s: s["rank"] < len(secrets.BASE))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, secrets.BASE), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("secrets")).alias("spans"),
+    )
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = token_alignment.aligned_and_scored(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), with_groups=False)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
