@@ -6,24 +6,26 @@ target therefore only needs its current best triangle; any source point below th
 triangle (inside its circumcircle) improves it, and when there is none anywhere the triangle is the
 Delaunay one.
 
-Spark does the spatial work. Source points are range-partitioned along a Z-order curve into leaves
-of similar size. Every target starts from a triangle of leaf representatives, visits the leaves
-its circumcircle touches, and takes the best triangle found. Targets that no visited leaf
-improved are finished; the others go round again. Groups are (leaf, salt) pairs, so neither many
-points nor many targets in one area meet in one task.
+Spark does the spatial work. Points fall into quadtree blocks of similar size (see :mod:`blocks`); a block also gets the
+points of a halo around it. In one grouped pass every target looks at its nearest points, then at more of them, then at
+all points of its block. A target is settled when its circumcircle holds no place whose points it hasn't seen. Only
+targets whose circle leaves the halo go round again: they visit the blocks their circle touches, until none improves them.
+Groups are pairs of a block and a run of cells, so neither many points nor many targets in one area meet in one task.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
+from spherecube.operators.blocks import Blocks, BoxIndex, PointGrid, split_nodes
 from spherecube.operators.grids import shifted_copies
 from spherecube.operators.weights import longitude_frame, one_per_location
 from spherecube.session import cut_lineage
@@ -36,14 +38,22 @@ NEW_IDS, NEW_XS, NEW_YS = ["j0", "j1", "j2"], ["u0", "u1", "u2"], ["v0", "v1", "
 STATE_SCHEMA = "cell bigint, x double, y double, " + ", ".join(
     [f"{c} bigint" for c in IDS] + [f"{c} double" for c in XS + YS]
 )
-VISIT_SCHEMA = STATE_SCHEMA + ", leaf int"
+VISIT_SCHEMA = STATE_SCHEMA + ", leaf bigint"
 SEARCH_SCHEMA = STATE_SCHEMA + ", changed boolean, " + ", ".join(
     [f"{c} bigint" for c in NEW_IDS] + [f"{c} double" for c in NEW_XS + NEW_YS]
 )
 N_DIRECTIONS = 8
 TARGETS_PER_GROUP = 20_000
 MATRIX_ELEMENTS = 4_000_000
-Z_BITS = 16
+#: part of its size that a block sees around itself
+HALO = 0.25
+#: (cells to either side, nearest points) a target looks at before all points of its block
+NEAR = ((1, 24), (4, 128))
+#: cells of one group at most, a run of consecutive numbers
+CELLS_PER_GROUP = 65_536
+#: blocks the driver keeps track of; larger grids get larger blocks
+MAX_BLOCKS = 100_000
+FRAME_POINTS = 2_048
 
 
 # --- the small solver used inside tasks ---------------------------------------------------------
@@ -137,66 +147,94 @@ def _with_basis(pdf, ids, vx, vy):
 # --- Spark stages -------------------------------------------------------------------------------
 
 
-def _spread_bits(value: Column) -> Column:
-    total = None
-    for b in range(Z_BITS):
-        bit = F.shiftleft(F.shiftright(value, b).bitwiseAND(F.lit(1)), 2 * b)
-        total = bit if total is None else total + bit
-    return total
-
-
-def _z_order(points: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
-    x_lo, x_hi, y_lo, y_hi = box
-    top = 2**Z_BITS - 1
-    sx = F.floor((F.col("px") - x_lo) / max(x_hi - x_lo, 1e-12) * top)
-    sy = F.floor((F.col("py") - y_lo) / max(y_hi - y_lo, 1e-12) * top)
-    placed = points.withColumns({"_sx": sx, "_sy": sy})
-    return placed.withColumn("z", _spread_bits(F.col("_sx")) + F.shiftleft(_spread_bits(F.col("_sy")), 1)).drop(
-        "_sx", "_sy"
-    )
-
-
-def _extremes(points: DataFrame):
-    """Farthest point in a fixed set of directions: one row, whatever the number of points."""
+def _leaf_facts(leaf_points: DataFrame) -> tuple[np.ndarray, list[float], list, dict]:
+    """Per leaf its bounding box; over all points the farthest in a fixed set of directions; some points as a frame."""
     angles = [2 * math.pi * i / N_DIRECTIONS for i in range(N_DIRECTIONS)]
     reach = [
         F.max(F.struct((F.col("px") * math.cos(t) + F.col("py") * math.sin(t)).alias("d"), "pid", "px", "py")).alias(f"e{i}")
         for i, t in enumerate(angles)
     ]
-    row = points.agg(*reach).first()
-    return angles, [row[f"e{i}"] for i in range(N_DIRECTIONS)]
-
-
-def _leaf_points(points: DataFrame, box, n_leaves: int) -> DataFrame:
-    """Points with their leaf number, fixed by a checkpoint (range bounds come from a sample)."""
-    ranged = _z_order(points, box).repartitionByRange(n_leaves, "z", "px", "py")
-    return cut_lineage(ranged.withColumn("leaf", F.spark_partition_id()))
-
-
-def _touched_leaves(boxes: np.ndarray):
+    leaves = leaf_points.groupBy("leaf").agg(
+        F.min("px").alias("x_lo"), F.max("px").alias("x_hi"), F.min("py").alias("y_lo"), F.max("py").alias("y_hi"),
+        F.min(F.struct("pid", "px", "py")).alias("rep"), *reach,
+    ).collect()
+    boxes = np.array([[r.leaf, r.x_lo, r.x_hi, r.y_lo, r.y_hi] for r in leaves], dtype=object)
+    extremes = [max((r[f"e{i}"] for r in leaves), key=lambda e: (e.d, e.pid)) for i in range(N_DIRECTIONS)]
+    some = sorted(leaves, key=lambda r: r.leaf)[:: -(-len(leaves) // FRAME_POINTS)]
+    return boxes, angles, extremes, {r.pid: (r.px, r.py) for r in [*extremes, *[leaf.rep for leaf in some]]}
+
+
+def _reach(state: tuple) -> np.ndarray:
+    """How far from its target a circumcircle reaches at most; endless while no circle encloses the target."""
+    _, _, _, _, outside, a, b, c, _ = state
+    with np.errstate(invalid="ignore"):
+        reach = np.hypot(b / 2, c / 2) + np.sqrt(np.maximum(a + (b * b + c * c) / 4, 0.0))
+    return np.where(outside | ~np.isfinite(reach), np.inf, reach * (1 + 1e-9))
+
+
+def _search_block(blocks: Blocks, corner_x: np.ndarray, corner_y: np.ndarray) -> Callable:
+    """cogroup function: the targets of a group with the best triangle that the points around them allow, and whether
+    no other point can improve it."""
+
+    def search(key: tuple, targets: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        n = len(targets)
+        qx, qy = targets["x"].to_numpy(dtype=float), targets["y"].to_numpy(dtype=float)
+        ids, vx, vy = np.tile(np.array([-1, -2, -3]), (n, 1)), np.tile(corner_x, (n, 1)), np.tile(corner_y, (n, 1))
+        x_lo, x_hi, y_lo, y_hi = blocks.known(int(key[0]), HALO)
+        seen = np.minimum(np.minimum(qx - x_lo, x_hi - qx), np.minimum(qy - y_lo, y_hi - qy))
+        settled = np.zeros(n, dtype=bool)
+        if n and len(points):
+            pid, px, py = points["pid"].to_numpy(), points["px"].to_numpy(), points["py"].to_numpy()
+            grid = PointGrid(pid, px, py)
+            for ring, most in NEAR:
+                if most >= len(pid):
+                    break
+                todo = np.flatnonzero(~settled)
+                for lo in range(0, len(todo), MATRIX_ELEMENTS // most):
+                    t = todo[lo : lo + MATRIX_ELEMENTS // most]
+                    cid, cx, cy, radius = grid.nearest(qx[t], qy[t], ring, most, MATRIX_ELEMENTS)
+                    ids[t], vx[t], vy[t] = improve(qx[t], qy[t], ids[t], vx[t], vy[t], cid, cx, cy)
+                    settled[t] = _reach(_plane(qx[t], qy[t], ids[t], vx[t], vy[t])) <= np.minimum(radius, seen[t])
+            todo = np.flatnonzero(~settled)
+            step = max(1, MATRIX_ELEMENTS // len(pid))
+            for lo in range(0, len(todo), step):
+                t = todo[lo : lo + step]
+                ids[t], vx[t], vy[t] = improve(qx[t], qy[t], ids[t], vx[t], vy[t], pid, px, py)
+                settled[t] = _reach(_plane(qx[t], qy[t], ids[t], vx[t], vy[t])) <= seen[t]
+        out = _with_basis(targets, ids, vx, vy)
+        out["settled"] = settled
+        return out
+
+    return search
+
+
+def _touched_leaves(boxes: np.ndarray) -> Callable:
     """mapInPandas function: one row per target and leaf that may hold a better vertex.
 
     ``boxes`` has one (leaf, x_lo, x_hi, y_lo, y_hi) row per leaf. A target that touches no leaf
     comes out once with a NULL leaf.
     """
+    order = np.argsort(boxes[:, 0])
+    leaf, index = boxes[order, 0].astype("int64"), BoxIndex(boxes[order, 1:].astype(float))
 
-    def expand(batches):
-        leaf = boxes[:, 0].astype("int64")
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = max(1, MATRIX_ELEMENTS // (4 * len(index.supers)))
         for pdf in batches:
-            block = max(1, MATRIX_ELEMENTS // max(1, len(leaf)))
             for lo in range(0, len(pdf), block):
                 part = pdf.iloc[lo : lo + block]
                 qx, qy = part["x"].to_numpy(), part["y"].to_numpy()
                 _, _, _, _, outside, a, b, c, tol = _plane(
                     qx, qy, part[IDS].to_numpy(), part[XS].to_numpy(), part[YS].to_numpy()
                 )
-                x_lo, x_hi = boxes[None, :, 1] - qx[:, None], boxes[None, :, 2] - qx[:, None]
-                y_lo, y_hi = boxes[None, :, 3] - qy[:, None], boxes[None, :, 4] - qy[:, None]
-                A, B, C, tl = a[:, None], b[:, None], c[:, None], tol[:, None]
-                beyond = A + np.maximum(B * x_lo, B * x_hi) + np.maximum(C * y_lo, C * y_hi) > tl
-                near_x, near_y = np.clip(B / 2, x_lo, x_hi), np.clip(C / 2, y_lo, y_hi)
-                in_circle = near_x**2 + near_y**2 - (A + B * near_x + C * near_y) < -tl
-                t, l = np.nonzero(np.where(outside[:, None], beyond, in_circle))
+
+                def may_improve(t: np.ndarray, box: np.ndarray) -> np.ndarray:
+                    x_lo, x_hi, y_lo, y_hi = (box[:, k] - q[t] for k, q in enumerate((qx, qx, qy, qy)))
+                    beyond = a[t] + np.maximum(b[t] * x_lo, b[t] * x_hi) + np.maximum(c[t] * y_lo, c[t] * y_hi) > tol[t]
+                    near_x, near_y = np.clip(b[t] / 2, x_lo, x_hi), np.clip(c[t] / 2, y_lo, y_hi)
+                    in_circle = near_x**2 + near_y**2 - (a[t] + b[t] * near_x + c[t] * near_y) < -tol[t]
+                    return np.where(outside[t], beyond, in_circle)
+
+                t, l = index.hits(len(part), may_improve)
                 none = np.setdiff1d(np.arange(len(part)), t)
                 rows = part[STATE].iloc[np.concatenate([t, none])].copy()
                 rows["leaf"] = pd.array(
@@ -322,14 +360,14 @@ def triangulated_weights(
     grid_id: str,
     wrap: bool | None = None,
     cells: DataFrame | None = None,
-    points_per_leaf: int = 256,
-    max_leaves: int = 8192,
+    points_per_leaf: int = 4096,
 ) -> DataFrame:
     """Weights from any set of points ``(src_idx, lon, lat)`` to the cells of ``zoom``.
 
     Planar longitude/latitude degrees are the metric. With ``wrap`` (default: longitudes span at
     least 359 degrees) points are repeated one turn to either side. Cells outside the convex hull
-    get no rows. The driver sees one row per leaf (``max_leaves`` at most) and one row of extremes.
+    get no rows. The driver sees the quadtree and one row per block, ``MAX_BLOCKS`` or so for any number of
+    points, and one row of extremes.
     """
     spark = points.sparkSession
     unique = one_per_location(points)
@@ -346,23 +384,30 @@ def triangulated_weights(
     )
     pad = 360.0 if wrap else 0.0
     box = (stats.x_lo - pad, stats.x_hi + pad, stats.y_lo, stats.y_hi)
-    n_leaves = max(1, min(max_leaves, math.ceil(stats.n * (3 if wrap else 1) / points_per_leaf)))
+    n_placed = stats.n * (3 if wrap else 1)
+    blocks = split_nodes(placed, box, n_placed, max(points_per_leaf, n_placed // MAX_BLOCKS))
 
-    leaf_points = _leaf_points(placed, box, n_leaves)
-    angles, extremes = _extremes(leaf_points)
-    leaves = leaf_points.groupBy("leaf").agg(
-        F.min("px").alias("x_lo"), F.max("px").alias("x_hi"), F.min("py").alias("y_lo"), F.max("py").alias("y_hi"),
-        F.min_by(F.struct("pid", "px", "py"), "z").alias("rep"),
-    ).collect()
-    boxes = np.array([[r.leaf, r.x_lo, r.x_hi, r.y_lo, r.y_hi] for r in leaves], dtype=float)
-    frame = {r.pid: (r.px, r.py) for r in [*extremes, *[leaf.rep for leaf in leaves]]}
+    def in_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(leaf=blocks.locate(pdf["px"].to_numpy(), pdf["py"].to_numpy()))
+
+    def in_halos(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            row, leaf = blocks.around(pdf["px"].to_numpy(), pdf["py"].to_numpy(), HALO)
+            yield pdf.iloc[row].assign(leaf=leaf)
+
+    point_schema = "pid bigint, px double, py double, leaf bigint"
+    leaf_points = cut_lineage(placed.mapInPandas(in_leaves, point_schema))
+    boxes, angles, extremes, frame = _leaf_facts(leaf_points)
     frame_id = np.array(sorted(frame), dtype="int64")
     frame_x = np.array([frame[i][0] for i in frame_id])
     frame_y = np.array([frame[i][1] for i in frame_id])
 
     targets = healpix.with_cell_centers(cells if cells is not None else healpix.all_cells(spark, zoom), zoom)
     x = F.col("lon") if wrap else longitude_frame(F.col("lon"), stats.x_lo)
-    targets = targets.select("cell", x.alias("x"), F.col("lat").alias("y"))
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    run = min(CELLS_PER_GROUP, max(256, healpix.npix(zoom) // (2 * tasks)))
+    targets = targets.select("cell", x.alias("x"), F.col("lat").alias("y"), F.floor(F.col("cell") / run).alias("run"))
     # no point lies beyond the farthest one in a direction, so neither does a covered target
     turn = np.array([[math.cos(t), math.sin(t)] for t in angles]).T
     reach = np.array([far.d + 1e-9 * max(1.0, abs(far.d)) for far in extremes])
@@ -373,30 +418,39 @@ def triangulated_weights(
     corner_x = np.array([mid_x - size, mid_x + size, mid_x])
     corner_y = np.array([mid_y - size, mid_y - size, mid_y + size])
 
-    def start(batches):
+    def covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[(pdf[["x", "y"]].to_numpy() @ turn <= reach).all(axis=1)]
-            n = len(pdf)
-            if not n:
-                continue
-            seeded = _with_basis(
-                pdf, np.tile(np.array([-1, -2, -3]), (n, 1)), np.tile(corner_x, (n, 1)), np.tile(corner_y, (n, 1))
-            )
-            yield _with_basis(seeded, *_improve_blocks(seeded, frame_id, frame_x, frame_y))
-
-    tasks = max(2 * spark.sparkContext.defaultParallelism, n_leaves // 16)
-    seeded = targets.mapInPandas(start, STATE_SCHEMA)
-    visits = cut_lineage(seeded.mapInPandas(_touched_leaves(boxes), VISIT_SCHEMA))
-    finished, rounds = [], 0
-    while not visits.isEmpty():
-        rounds += 1
-        done, visits = _one_round(visits, leaf_points, boxes, tasks)
-        finished.append(done)
-        if rounds > 200:
-            raise RuntimeError("triangle search does not settle")
+            yield pdf.assign(leaf=blocks.locate(pdf["x"].to_numpy(), pdf["y"].to_numpy()))
+
+    def from_frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield _with_basis(pdf, *_improve_blocks(pdf, frame_id, frame_x, frame_y))
+
+    targets = cut_lineage(targets.mapInPandas(covered, "cell bigint, x double, y double, run bigint, leaf bigint"))
+    groups = targets.select(F.col("leaf").alias("leaf"), F.col("run").alias("run")).distinct()
+    tasks = max(tasks, groups.count())
+    near = leaf_points.drop("leaf").mapInPandas(in_halos, point_schema).join(groups, "leaf")
+    searched = cut_lineage(
+        targets.repartition(tasks, "leaf", "run").groupBy("leaf", "run")
+        .cogroup(near.repartition(tasks, "leaf", "run").groupBy("leaf", "run"))
+        .applyInPandas(_search_block(blocks, corner_x, corner_y), STATE_SCHEMA + ", settled boolean")
+    )
+    finished, rounds = [searched.filter("settled").select(STATE)], 0
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    left = searched.filter("not settled").select(STATE)
+    # where the only block sees all points, what is left lies outside the grid
+    if blocks.depth and not left.isEmpty():
+        left = left.repartition(tasks, "cell").mapInPandas(from_frame, STATE_SCHEMA)
+        visits = cut_lineage(left.mapInPandas(_touched_leaves(boxes), VISIT_SCHEMA))
+        while not visits.isEmpty():
+            rounds += 1
+            done, visits = _one_round(visits, leaf_points, boxes, tasks)
+            finished.append(done)
+            if rounds > 200:
+                raise RuntimeError("triangle search does not settle")
     log.info("triangulated %s points in %s rounds", stats.n, rounds)
-    if not finished:
-        raise ValueError("no cell lies inside the grid")
     done = finished[0]
     for more in finished[1:]:
         done = done.unionByName(more)

@@ -137,6 +137,24 @@ def points_customers_sql() -> str:
         CAST(-88 AS DOUBLE) + CAST(176 AS DOUBLE) * ({rise} - floor{rise}) AS lat, c_acctbal FROM customer)"""
 
 
+#: fixed values: corners of a window below 359 degrees that the first four customers are moved to
+WINDOW_CORNERS = ((100.0, -60.0), (260.0, -60.0), (260.0, 60.0), (100.0, 60.0))
+
+
+def points_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scattered points that span 359.9 degrees at every size of the tables."""
+    pinned = F.when(F.col("src_idx") == 1, 0.0).when(F.col("src_idx") == 2, 359.9).otherwise(F.col("lon") * 359.0 / 360.0)
+    return points_customers(spark, sf_dir).withColumn("lon", pinned)
+
+
+def points_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scattered points inside a window, whose corners are points too."""
+    points = points_customers(spark, sf_dir).withColumns({"lon": 100.0 + F.col("lon") * 160.0 / 360.0, "lat": F.col("lat") * 60.0 / 88.0})
+    for k, corner in enumerate(WINDOW_CORNERS, 1):
+        points = points.withColumns({c: F.when(F.col("src_idx") == k, v).otherwise(F.col(c)) for c, v in zip(("lon", "lat"), corner, strict=True)})
+    return points
+
+
 def cells_sql(zoom: int, source: str) -> str:
     """Centre of every cell in ``source`` (a subquery with a ``cell`` column), all columns kept."""
     n = 1 << zoom

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
@@ -94,13 +96,12 @@ def c8(spark, sf_dir):
 # --- weights ------------------------------------------------------------------------------------
 
 
-def _positions_back(w, points, spread: bool = False):
+def _positions_back(w, points):
     """What the weights make of the points' own positions, cell by cell."""
     out = w.join(points.select("src_idx", "lon", "lat"), "src_idx").groupBy("cell").agg(
         F.count("*").cast("int").alias("vertices"), F.sum("w").alias("weight_sum"), F.sum(F.col("w") * F.col("lon")).alias("lon_back"),
-        F.sum(F.col("w") * F.col("lat")).alias("lat_back"), (F.max("lon") - F.min("lon")).alias("spread"))
-    out = rounded(out, "weight_sum", "lon_back", "lat_back")
-    return out if spread else out.drop("spread")
+        F.sum(F.col("w") * F.col("lat")).alias("lat_back"))
+    return rounded(out, "weight_sum", "lon_back", "lat_back")
 
 
 @query(
@@ -161,14 +162,27 @@ def j1_curvilinear(spark, sf_dir):
     WHERE lat BETWEEN (SELECT min(lat) FROM {fx.points_customers_sql()}) AND (SELECT max(lat) FROM {fx.points_customers_sql()})""",
 )
 def j1_auto(spark, sf_dir):
-    """Scattered points through ``auto``; longitudes are compared where a triangle does not cross the seam."""
-    points = grids.points_from_columns(fx.points_customers(spark, sf_dir), "src_idx")
-    back = _positions_back(workflows.weights_for(points, Z), points, spread=True)
-    here = healpix.with_cell_centers(back, Z)
-    fits = (F.col("spread") > 180) | (F.abs(F.col("lon_back") - F.col("lon")) < 1e-5)
+    """Scattered points all round, through ``auto``; a vertex may stand one turn to either side of its point."""
+    points = grids.points_from_columns(fx.points_round(spark, sf_dir), "src_idx")
+    w = workflows.weights_for(points, Z)
+    turns = F.array(*[F.array(*map(F.lit, t)) for t in itertools.product((-360.0, 0.0, 360.0), repeat=3)])
+    shares = w.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("k", "w")))["w"].alias("_w"))
+    here = healpix.with_cell_centers(_positions_back(w, points), Z).join(shares, "cell")
+    fits = F.exists(turns, lambda t: F.abs(F.col("lon_back") + sum(F.col("_w")[k] * t[k] for k in range(3)) - F.col("lon")) < 1e-5)
     return here.select("cell", "vertices", "weight_sum", "lat_back", fits.alias("lon_fits"))
 
 
+@query(
+    "J1_weights_auto_gap",
+    f"""SELECT cell, 3 AS vertices, round(CAST(1 AS DOUBLE), 6) AS weight_sum, round(lon, 6) AS lon_back, round(lat, 6) AS lat_back
+    FROM {fx.cells_sql(Z, fx.all_cells_sql(Z))} WHERE lon BETWEEN 100 AND 260 AND lat BETWEEN -60 AND 60""",
+)
+def j1_gap(spark, sf_dir):
+    """Scattered points that don't go round: ``auto`` closes no circle, and cells outside their hull get no weights."""
+    points = grids.points_from_columns(fx.points_window(spark, sf_dir), "src_idx")
+    return _positions_back(workflows.weights_for(points, Z), points)
+
+
 @query(
     "J1_weights_unstructured",
     f"""SELECT cell, 3 AS vertices, round(CAST(1 AS DOUBLE), 6) AS weight_sum, round(lat, 6) AS lat_back

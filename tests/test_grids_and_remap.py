@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
-from spherecube.operators import grids, remap
+from spherecube.operators import blocks, grids, remap
 from spherecube.operators.triangulation import triangulated_weights
 from spherecube.operators.weights import regular_weights, weights_fit_grid
 from spherecube.plans import workflows
@@ -86,12 +86,13 @@ def brute_delaunay(xy):
     return out
 
 
-def test_scattered_points_match_brute_force(spark):
+@pytest.mark.parametrize("points_per_leaf", [4, 9, 4096])
+def test_scattered_points_match_brute_force(spark, points_per_leaf):
     rng = np.random.default_rng(7)
     # two thirds of the points crowd into one corner
     xy = np.concatenate([rng.uniform([100, -40], [200, 40], (25, 2)), rng.uniform([110, 0], [118, 8], (45, 2))])
     points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "src_idx bigint, lon double, lat double")
-    got = triangulated_weights(points, 4, "s", points_per_leaf=9).orderBy("cell", "k").toPandas()
+    got = triangulated_weights(points, 4, "s", points_per_leaf=points_per_leaf).orderBy("cell", "k").toPandas()
     targets = healpix.with_cell_centers(healpix.all_cells(spark, 4), 4).toPandas()
     expected = {}
     for tri in brute_delaunay(xy):
@@ -103,6 +104,45 @@ def test_scattered_points_match_brute_force(spark):
     assert np.allclose(got.groupby("cell").w.sum(), 1)
 
 
+def test_blocks_hold_their_points_and_halos(spark):
+    rng = np.random.default_rng(3)
+    xy = np.concatenate([rng.uniform(0, 100, (3000, 2)), rng.normal(20, 0.5, (3000, 2))])
+    points = spark.createDataFrame([(float(x), float(y)) for x, y in xy], "px double, py double")
+    found = blocks.split_nodes(points, (0.0, 100.0, 0.0, 100.0), len(xy), 50)
+    own = found.locate(xy[:, 0], xy[:, 1])
+    assert np.unique(own, return_counts=True)[1].max() <= 50 and len(np.unique(own)) < len(xy) / 5
+    row, near = found.around(xy[:, 0], xy[:, 1], 0.25)
+    pairs = set(zip(row.tolist(), near.tolist(), strict=True))
+    assert len(pairs) == len(row) and set(enumerate(own.tolist())) <= pairs
+    for block in np.unique(own).tolist():
+        x_lo, x_hi, y_lo, y_hi = found.known(block, 0.25)
+        inside = np.flatnonzero((xy[:, 0] > x_lo) & (xy[:, 0] < x_hi) & (xy[:, 1] > y_lo) & (xy[:, 1] < y_hi))
+        assert {(int(k), block) for k in inside} <= pairs
+
+
+def test_point_grid_radius_is_safe():
+    rng = np.random.default_rng(4)
+    xy, at = rng.normal(0, 1, (800, 2)), rng.uniform(-3, 3, (300, 2))
+    grid = blocks.PointGrid(np.arange(800), xy[:, 0], xy[:, 1])
+    for ring, most in ((1, 8), (3, 60)):
+        ids, x, y, radius = grid.nearest(at[:, 0], at[:, 1], ring, most, 5000)
+        for k, place in enumerate(at):
+            within = np.flatnonzero(np.hypot(*(xy - place).T) < radius[k])
+            assert set(within) <= set(ids[k])
+            real = ids[k] >= 0
+            assert np.array_equal(np.column_stack([x[k][real], y[k][real]]), xy[ids[k][real]]) and np.isnan(x[k][~real]).all()
+
+
+def test_box_index_finds_every_box():
+    rng = np.random.default_rng(5)
+    low = rng.uniform(0, 90, (200, 2))
+    boxes = np.column_stack([low[:, 0], low[:, 0] + 5, low[:, 1], low[:, 1] + 5])
+    x, y = rng.uniform(0, 100, (2, 500))
+    t, b = blocks.BoxIndex(boxes).hits(500, lambda t, box: (box[:, 0] <= x[t]) & (x[t] <= box[:, 1]) & (box[:, 2] <= y[t]) & (y[t] <= box[:, 3]))
+    every = (boxes[:, 0] <= x[:, None]) & (x[:, None] <= boxes[:, 1]) & (boxes[:, 2] <= y[:, None]) & (y[:, None] <= boxes[:, 3])
+    assert set(zip(t.tolist(), b.tolist(), strict=True)) == set(zip(*map(list, np.nonzero(every)), strict=True))
+
+
 def test_curvilinear_lattice_reproduces_linear_field(spark):
     n = 20 * 30
     grid = spark.range(n).select((F.col("id") % 30).alias("ix"), F.floor(F.col("id") / 30).alias("iy"))
