@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spherecube.functions.fields import value_columns
-from spherecube.operators.remap import BROADCAST_CELLS
+from spherecube.operators.gather import BROADCAST_CELLS
 from spherecube.session import broadcast_if_small
 
 

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
 from spherecube.functions.fields import value_columns
-
-# 12 * 4**zoom bounds the cells, so the zoom alone decides whether weights may be broadcast:
-# zoom 9 has 3.1 million cells of about 60 bytes.
-BROADCAST_CELLS = 4_000_000
-# rows of the source lookup that may be broadcast; checked by a count where the zoom cannot tell
-BROADCAST_LOOKUP = 3_000_000
-TILE_LEVELS = 6
+from spherecube.operators.gather import Layout, gather_layout
 
 
 def step_keys(cube: DataFrame) -> list[str]:
@@ -32,26 +26,6 @@ def with_step_id(cube: DataFrame, file: str = "source_file") -> DataFrame:
     return cube.withColumn("step_id", F.xxhash64(file, "time"))
 
 
-def gather_tables(weights: DataFrame, tile_levels: int) -> tuple[DataFrame, DataFrame]:
-    """Weights arranged by tiles of ``4**tile_levels`` neighbouring cells.
-
-    First: which source points a tile needs, at which position, and how many there are
-    ``(src_idx, tile, pos, n)``. Second: one row per cell with the positions and weights of its
-    three vertices. A tile has a bounded number of cells, so the window that numbers its points is
-    bounded; both groupings keep the window's partitioning.
-    """
-    tiled = weights.select(F.shiftright("cell", 2 * tile_levels).alias("tile"), "cell", "k", "src_idx", "w")
-    rank = F.dense_rank().over(Window.partitionBy("tile").orderBy("src_idx"))
-    placed = tiled.withColumn("pos", rank - 1)
-    placed = placed.withColumn("n", F.max("pos").over(Window.partitionBy("tile")) + 1)
-    lookup = placed.select("tile", "src_idx", "pos", "n").distinct()
-    per_vertex = {"p": "pos", "w": "w"}
-    cells = placed.groupBy("tile", "cell").agg(
-        *[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{name}{k}") for name, c in per_vertex.items() for k in range(3)]
-    )
-    return lookup, cells
-
-
 def _tasks(cube: DataFrame) -> int:
     """Partitions for the arrays: a fixed number, because each small array turns into thousands of
     rows and adaptive execution, judging by bytes, would merge them into too few tasks."""
@@ -63,55 +37,76 @@ def _slices(tiled: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """One array per step and tile whose element ``pos`` holds the values of that source point.
 
     A complete slice only needs sorting. One with missing points is filled up in one pass: before each entry
-    come as many NULLs as positions lie between it and the one before. Points given twice are an error.
+    come as many NULLs as positions lie between it and the one before. Points given twice are an error. Rows with
+    a NULL position only make sure that their step and tile has an array.
     """
-    entry = F.struct("pos", *values)
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", *values))
     packed = tiled.groupBy(*keys, "tile").agg(
         F.sort_array(F.collect_list(entry)).alias("_found"), F.max("n").alias("_n")
     )
-    positions = F.sequence(F.lit(0), F.col("_n") - 1)
     found, nothing = F.col("_found"), F.get("_found", F.lit(-1))
 
     def with_gap(e: Column, i: Column) -> Column:
         gap = e["pos"] - F.coalesce(F.get(found, i - 1)["pos"], F.lit(-1)) - 1
-        twice = F.raise_error(F.lit("DUPLICATED_MAP_KEY: a source point is given twice for a step")).cast("int")
+        twice = F.raise_error(F.lit("a source point is given twice for a step")).cast("int")
         return F.concat(F.array_repeat(nothing, F.when(gap < 0, twice).otherwise(gap).cast("int")), F.array(e))
 
-    tail = F.array_repeat(nothing, (F.col("_n") - 1 - F.element_at(found, -1)["pos"]).cast("int"))
+    last = F.coalesce(F.get(found, F.size(found) - 1)["pos"], F.lit(-1))
+    tail = F.array_repeat(nothing, (F.col("_n") - 1 - last).cast("int"))
     filled = F.concat(F.flatten(F.transform(found, with_gap)), tail)
-    complete = F.col("_found")["pos"] == positions
-    return packed.select(*keys, "tile", F.when(complete, F.col("_found")).otherwise(filled).alias("_s"))
+    whole = found["pos"] == F.sequence(F.lit(0), F.col("_n") - 1)
+    return packed.select(*keys, "tile", F.when(whole, found).otherwise(filled).alias("_s"))
+
+
+def _routed(cube: DataFrame, layout: Layout, keys: list[str], values: list[str]) -> DataFrame:
+    """A row per source value and tile that needs it, with its position there and the tile's number of positions."""
+    rows = cube.select(*keys, "src_idx", *values)
+    extra = F.broadcast(layout.lookup) if layout.lookup_is_small else layout.lookup
+    if layout.numbering is None:
+        return rows.join(extra, "src_idx").select(*keys, "tile", "pos", "n", *values)
+    tile, pos = layout.numbering.place(F.col("src_idx"))
+    rows = rows.join(extra, "src_idx", "left")
+    home = F.struct(tile.alias("tile"), pos.alias("pos"), F.lit(True).alias("home"))
+    rows = rows.select(*keys, *values, F.inline(F.concat(F.array(home), F.coalesce("places", F.array().cast("array<struct<tile:bigint,pos:int,home:boolean>>")))))
+    sized = rows.join(F.broadcast(layout.sizes), "tile").filter(~F.col("home") | (F.col("pos") < F.col("n_home")))
+    return sized.select(*keys, "tile", "pos", "n", *values)
 
 
 def apply_weights(
     cube: DataFrame,
-    weights: DataFrame,
+    weights: DataFrame | Layout,
     zoom: int,
     values: list[str] | None = None,
-    tile_levels: int = TILE_LEVELS,
+    tile_levels: int | None = None,
     time_groups: int = 16,
     broadcast: bool | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """Interpolate every field of ``cube`` (time[, level], src_idx, values) to cells.
 
-    The cube is shuffled once, by step and tile of cells, into arrays of the source values each tile
-    needs; cells then read their three vertices from the array by position. The many output rows are
-    made by a hash join on the tile and are neither grouped nor shuffled. A missing vertex makes
-    the cell NULL; a cell has a row when at least one vertex has one.
+    The cube is shuffled once, by step and tile, into arrays of the source values each tile needs; cells then read
+    their three vertices from the array by position. The many output rows are made by a hash join on the tile and are
+    neither grouped nor shuffled. A missing vertex makes the cell NULL; a cell has a row when at least one vertex has
+    one. With ``dense`` every step of the cube has a row for every cell of the sphere, out of the same join: the cell
+    table then carries the cells outside the grid without positions.
 
-    Weights are broadcast up to ``BROADCAST_CELLS``. Beyond that they are repeated for
+    ``weights`` is a weights table or its stored gather layout (:func:`stores.cached_layout`), which saves arranging
+    the weights again. Cell tables are broadcast up to ``gather.BROADCAST_CELLS`` rows. Beyond that they are repeated for
     ``time_groups`` groups of steps and meet the arrays per (group, tile), where those already lie.
     """
     keys = step_keys(cube)
     values = values or value_columns(cube)
-    tile_levels = min(tile_levels, zoom)
-    lookup, cells = gather_tables(weights, tile_levels)
+    layout = weights if isinstance(weights, Layout) else gather_layout(weights, zoom, tile_levels)
+    tiled = _routed(cube, layout, keys, values)
+    cells = layout.cells
+    if dense:
+        outside, tiles = layout.outside()
+        cells = cells.unionByName(outside, allowMissingColumns=True)
+        # steps times tiles: one row for each array to come
+        marks = cube.select(*keys).distinct().crossJoin(F.broadcast(tiles))
+        tiled = tiled.unionByName(marks, allowMissingColumns=True)
     if broadcast is None:
-        broadcast = healpix.npix(zoom) <= BROADCAST_CELLS
-    small_lookup = 3 * healpix.npix(zoom) <= BROADCAST_LOOKUP or (broadcast and lookup.count() <= BROADCAST_LOOKUP)
-    tiled = cube.select(*keys, "src_idx", *values).join(
-        F.broadcast(lookup) if broadcast and small_lookup else lookup, "src_idx"
-    )
+        broadcast = healpix.npix(zoom) <= layout.broadcast_cells
     tasks = _tasks(cube)
     if broadcast:
         slices = _slices(tiled.repartition(tasks, *keys, "tile"), keys, values)
@@ -127,15 +122,7 @@ def apply_weights(
     def weighted(v: str) -> Column:
         return vertices[0][v] * F.col("w0") + vertices[1][v] * F.col("w1") + vertices[2][v] * F.col("w2")
 
-    return met.filter(present).select(*keys, "cell", *[weighted(v).alias(v) for v in values])
-
-
-def densify(remapped: DataFrame, zoom: int) -> DataFrame:
-    """One row per step and cell of the sphere; cells without a value are NULL."""
-    keys = step_keys(remapped)
-    steps = remapped.select(*keys).distinct()
-    every = steps.select(*keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(healpix.npix(zoom) - 1))).alias("cell"))
-    return every.join(remapped, [*keys, "cell"], "left")
+    return (met if dense else met.filter(present)).select(*keys, "cell", *[weighted(v).alias(v) for v in values])
 
 
 def invalid_cells(weights: DataFrame, zoom: int) -> DataFrame:

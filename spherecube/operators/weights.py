@@ -115,7 +115,7 @@ def regular_weights(
     lower = F.array(corner(0, "lo", "lo", 1 - u), corner(1, "lo", "hi", u - v), corner(2, "hi", "hi", v))
     upper = F.array(corner(0, "lo", "lo", 1 - v), corner(1, "hi", "lo", v - u), corner(2, "hi", "hi", u))
     vertices = found.select("cell", F.inline(F.when(v <= u, lower).otherwise(upper)))
-    linear = _linear_index(points)
+    linear = linear_index(points)
     if linear is not None:
         vertices = vertices.withColumn("src_idx", F.col("iy") * F.lit(linear[0]) + F.col("ix") + F.lit(linear[1]))
     else:
@@ -126,7 +126,7 @@ def regular_weights(
     )
 
 
-def _linear_index(points: DataFrame) -> tuple[int, int] | None:
+def linear_index(points: DataFrame) -> tuple[int, int] | None:
     """(stride, start) with src_idx = iy * stride + ix + start for every point, if there are such numbers."""
     place = F.struct("src_idx", "iy", "ix")
     ends = points.agg(F.min_by(place, "iy").alias("low"), F.max_by(place, "iy").alias("high")).first()

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from spherecube.functions.times import parse_date_value
 from spherecube.operators import coarsen as co
-from spherecube.operators import combine, grids, levels, remap, timeops, variables
+from spherecube.operators import combine, gather, grids, levels, remap, timeops, variables
 from spherecube.operators.triangulation import triangulated_weights
-from spherecube.operators.weights import grid_fingerprint, regular_weights, require_fit
+from spherecube.operators.weights import grid_fingerprint, linear_index, regular_weights, require_fit
 from spherecube.sources import catalog, cubes, stores
 
 log = logging.getLogger(__name__)
@@ -71,7 +71,7 @@ def weights_for(
 
 def remap_cube(
     cube: DataFrame,
-    weights: DataFrame,
+    weights: DataFrame | gather.Layout,
     zoom: int,
     config: dict | None = None,
     funcs: Step | list[Step] | None = None,
@@ -97,10 +97,10 @@ def remap_cube(
         cube = cube.drop(*through)
     keys = [c for c in ("level", "level_order", "src_idx") if c in cube.columns]
     cube = timeops.temporal_average(cube, config.get("time_average"), keys, fill=config.get("fill", True))
-    out = remap.apply_weights(cube, weights, zoom)
+    out = remap.apply_weights(cube, weights, zoom, dense=bool(config.get("dense")))
     if side is not None:
         out = variables.attach_passthrough(out, side, axis)
-    return remap.densify(out, zoom) if config.get("dense") else out
+    return out
 
 
 def preset_steps(config: dict) -> tuple[list[Step], list[dict]]:
@@ -170,6 +170,12 @@ def process_to_cells(
         funcs, kwargs = preset_steps(config)
     weights = weights_for(points, zoom, config.get("grid_type", "auto"), weights_cache, config.get("force_recompute", False))
     require_fit(weights, points)
+    if weights_cache is not None:
+        linear = linear_index(points) if {"iy", "ix"} <= set(points.columns) else None
+        weights = stores.cached_layout(
+            spark, f"{weights_cache.rstrip('/')}-layouts", grid_fingerprint(points), zoom, weights,
+            gather.Numbering(*linear) if linear else None, config.get("force_recompute", False),
+        )
     out = remap_cube(cube, weights, zoom, config, funcs or None, kwargs)
     stores.write_store(out, output, zoom, config.get("time_chunk", 48), "overwrite" if overwrite else "error")
     return stores.read_store(spark, output)

@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
-from spherecube.operators import grids, remap, stats, triangulation, variables, weights
+from spherecube.operators import gather, grids, remap, stats, triangulation, variables, weights
 from spherecube.operators.timeops import keep_minute
 from spherecube.plans import workflows
 from spherecube.queries import fixtures as fx
@@ -276,7 +276,22 @@ def j4_levels(spark, sf_dir):
     FROM (SELECT DISTINCT time FROM {_REMAP_SQL}) t, {fx.all_cells_sql(Z)} c LEFT JOIN {_REMAP_SQL} r ON r.time = t.time AND r.cell = c.cell""",
 )
 def j5(spark, sf_dir):
-    return rounded(remap.densify(_remapped(spark, sf_dir), Z), "pr", "lin", digits=3)
+    return rounded(_remapped(spark, sf_dir, dense=True), "pr", "lin", digits=3)
+
+
+@query(
+    "J4_gather_by_points",
+    f"SELECT time, cell, round(pr, 3) AS pr, round(lin, 3) AS lin FROM {_REMAP_SQL}",
+)
+def j4_by_points(spark, sf_dir):
+    """The layout for grids with many points, built once, stored, and read back: tiles of 8 by 8 source points."""
+    points = fx.grid_orders(spark, sf_dir)
+    numbering = gather.Numbering(*weights.linear_index(points), side=8)
+    path, w = scratch_path(spark, "layout"), _weights(spark, sf_dir)
+    for _ in range(2):
+        layout = stores.cached_layout(spark, path, "orders", Z, w, numbering, lookup_limit=100)
+    obs = fx.obs_orders(spark, sf_dir).select("time", "src_idx", "pr", "lin")
+    return rounded(remap.apply_weights(obs, layout, Z), "pr", "lin", digits=3)
 
 
 @query(

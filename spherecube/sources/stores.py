@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
 from spherecube.functions.fields import to_storage_types, value_columns
+from spherecube.operators import gather
 
 log = logging.getLogger(__name__)
 
@@ -112,6 +113,32 @@ def cached_weights(
     return entry()
 
 
+def cached_layout(
+    spark: SparkSession, path: str, grid_id: str, zoom: int, weights: DataFrame, numbering: gather.Numbering | None = None,
+    force: bool = False, lookup_limit: int = gather.BROADCAST_LOOKUP,
+) -> gather.Layout:
+    """Gather layout of (grid_id, zoom) below ``path``, arranged from ``weights`` and written there first where it is absent.
+
+    One row of facts is written last and marks the entry as whole; it also says what may be broadcast, so that no job
+    has to count anything.
+    """
+    root = f"{path}/{grid_id}/zoom={zoom}"
+    if force or not path_exists(spark, f"{root}/facts/_SUCCESS"):
+        layout = gather.gather_layout(weights, zoom, numbering=numbering, lookup_limit=lookup_limit)
+        layout.cells.repartition("tile").sortWithinPartitions("tile", "cell").write.mode("overwrite").parquet(f"{root}/cells")
+        layout.lookup.write.mode("overwrite").parquet(f"{root}/lookup")
+        if layout.sizes is not None:
+            layout.sizes.coalesce(1).write.mode("overwrite").parquet(f"{root}/sizes")
+        by = layout.numbering
+        facts = [(layout.lookup_is_small, layout.tile_levels, *((by.stride, by.start, by.side) if by else (None, None, None)))]
+        schema = "lookup_is_small boolean, tile_levels int, stride bigint, start bigint, side int"
+        spark.createDataFrame(facts, schema).coalesce(1).write.mode("overwrite").parquet(f"{root}/facts")
+    fact = spark.read.parquet(f"{root}/facts").first()
+    by = None if fact.side is None else gather.Numbering(fact.stride, fact.start, fact.side)
+    cells, lookup = (spark.read.parquet(f"{root}/{name}") for name in ("cells", "lookup"))
+    return gather.Layout(zoom, cells, lookup, fact.lookup_is_small, by, spark.read.parquet(f"{root}/sizes") if by else None, fact.tile_levels)
+
+
 def with_attributes(datasets: DataFrame, zoom: int, original_grid: str, **extra: str) -> DataFrame:
     """Attribute row of each data set in a ``(dataset, ...)`` table, kept beside its store."""
     attrs = {

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import itertools
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
-from spherecube.operators import blocks, grids, remap
+from spherecube.operators import blocks, gather, grids, remap
 from spherecube.operators.triangulation import triangulated_weights
 from spherecube.operators.weights import regular_weights, weights_fit_grid
 from spherecube.plans import workflows
@@ -174,7 +175,7 @@ def test_missing_vertex_blanks_the_cell(spark, broadcast):
     cube = spark.createDataFrame([(T0, i, None if i == 5 else float(i), 2.0) for i in range(6)], "time timestamp_ntz, src_idx bigint, a double, b double")
     out = {r.cell: r for r in remap.apply_weights(cube, weights, 1, broadcast=broadcast, tile_levels=0, time_groups=3).collect()}
     assert out[0].a == 0.5 and out[1].a is None and out[1].b == 2.0
-    dense = remap.densify(remap.apply_weights(cube, weights, 1), 1)
+    dense = remap.apply_weights(cube, weights, 1, dense=True, broadcast=broadcast)
     assert dense.count() == 48 and dense.filter("b is not null").count() == 2
 
 
@@ -183,7 +184,7 @@ def test_repeated_steps_need_a_step_id(spark):
     rows = [(T0, i, float(f), f) for f in ("1", "2") for i in range(3)]
     cube = spark.createDataFrame(rows, "time timestamp_ntz, src_idx bigint, v double, source_file string")
     assert remap.repeated_points(cube).count() == 3
-    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+    with pytest.raises(Exception, match="given twice"):
         remap.apply_weights(cube, weights, 1).collect()
     told_apart = remap.apply_weights(remap.with_step_id(cube), weights, 1)
     assert sorted(round(r.v, 9) for r in told_apart.collect()) == [1.0, 2.0]
@@ -207,6 +208,55 @@ def test_remap_plans(spark, tmp_path):
     assert "ReadSchema: struct<time:timestamp_ntz,src_idx:bigint,v:double>" in plan
 
 
+def _remap_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("numbering", [None, (36, 0)])
+def test_cube_is_exchanged_once_for_grids_with_many_points(spark, tmp_path, numbering):
+    """With tiles of source points only the exchange by step and tile moves the cube; every other table is broadcast."""
+    points = regular(spark, np.arange(-85, 90, 10.0), np.arange(5, 360, 10.0))
+    points.select(F.lit(T0).cast("timestamp_ntz").alias("time"), "src_idx", F.col("lat").alias("v")).write.parquet(str(tmp_path / "cube"))
+    cube = spark.read.parquet(str(tmp_path / "cube"))
+    w = regular_weights(points, 3, "g")
+    by = gather.Numbering(*(numbering or (0, 0)), side=4)
+    layout = stores.cached_layout(spark, str(tmp_path / "layout"), "g", 3, w, by, lookup_limit=10_000)
+    assert layout.numbering is None  # few points: tiles of cells
+    layout = stores.cached_layout(spark, str(tmp_path / "layout"), "g", 3, w, by, force=True, lookup_limit=600)
+    if numbering is None:
+        layout = dataclasses.replace(layout, lookup_is_small=True)
+    assert layout.numbering == by and layout.lookup_is_small
+    for dense in (False, True):
+        out = remap.apply_weights(cube, layout, 3, dense=dense)
+        plan = _remap_plan(out)
+        above, below = plan[: plan.index("BroadcastHashJoin")], plan[plan.index("BroadcastHashJoin"):]
+        assert "Exchange" not in above and below.count("REPARTITION_BY_NUM") == 1
+        if not dense:
+            assert below.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in below
+        got = out.orderBy("cell").toPandas()
+        want = remap.apply_weights(cube, w, 3, dense=dense).orderBy("cell").toPandas()
+        assert (got.cell == want.cell).all() and np.allclose(got.v, want.v, equal_nan=True)
+    assert len(got) == 768
+
+
+def test_places_of_source_points(spark):
+    for by in (gather.Numbering(10, 3, 4), gather.Numbering(0, 0, 3)):
+        tile, pos = by.place(F.col("id"))
+        rows = spark.range(3, 3 + 70).select("id", tile.alias("tile"), pos.alias("pos")).collect()
+        assert len({(r.tile, r.pos) for r in rows}) == 70
+        for t in {r.tile for r in rows}:
+            places = sorted(r.pos for r in rows if r.tile == t)
+            assert by.stride == 0 or places == list(range(len(places)))
+
+
+def test_dense_steps_without_points(spark):
+    weights = spark.createDataFrame([(c, k, 3 * c + k, w) for c in range(2) for k, w in enumerate((0.5, 0.5, 0.0))], "cell bigint, k int, src_idx bigint, w double")
+    rows = [(T0, 0, 1.0), (T0, 1, 3.0), (T0, 2, 5.0), (T0 + dt.timedelta(hours=1), 4, 7.0)]
+    cube = spark.createDataFrame(rows, "time timestamp_ntz, src_idx bigint, v double")
+    out = remap.apply_weights(cube, weights, 1, dense=True).toPandas()
+    assert len(out) == 96 and out.v.notna().sum() == 1 and out.groupby("time").cell.nunique().eq(48).all()
+
+
 def test_tile_sizes_do_not_change_values(spark):
     points = regular(spark, np.arange(-85, 90, 10.0), np.arange(5, 360, 10.0))
     weights = regular_weights(points, 3, "g")
