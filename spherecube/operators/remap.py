@@ -33,14 +33,16 @@ def _tasks(cube: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
-def _slices(tiled: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def _slices(tiled: DataFrame, keys: list[str], values: list[str], marked: bool = False) -> DataFrame:
     """One array per step and tile whose element ``pos`` holds the values of that source point.
 
     A complete slice only needs sorting. One with missing points is filled up in one pass: before each entry
-    come as many NULLs as positions lie between it and the one before. Points given twice are an error. Rows with
-    a NULL position only make sure that their step and tile has an array.
+    come as many NULLs as positions lie between it and the one before. Points given twice are an error. ``marked`` rows
+    with a NULL position only make sure that their step and tile has an array.
     """
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", *values))
+    entry = F.struct("pos", *values)
+    if marked:
+        entry = F.when(F.col("pos").isNotNull(), entry)
     packed = tiled.groupBy(*keys, "tile").agg(
         F.sort_array(F.collect_list(entry)).alias("_found"), F.max("n").alias("_n")
     )
@@ -65,9 +67,9 @@ def _routed(cube: DataFrame, layout: Layout, keys: list[str], values: list[str])
     if layout.numbering is None:
         return rows.join(extra, "src_idx").select(*keys, "tile", "pos", "n", *values)
     tile, pos = layout.numbering.place(F.col("src_idx"))
-    rows = rows.join(extra, "src_idx", "left")
-    home = F.struct(tile.alias("tile"), pos.alias("pos"), F.lit(True).alias("home"))
-    rows = rows.select(*keys, *values, F.inline(F.concat(F.array(home), F.coalesce("places", F.array().cast("array<struct<tile:bigint,pos:int,home:boolean>>")))))
+    used = F.inline(F.coalesce("places", F.array().cast("array<struct<tile:bigint,pos:int,home:boolean>>")))
+    away = cube.select(*keys, "src_idx", *values).join(extra, "src_idx").select(*keys, *values, used)
+    rows = rows.select(*keys, *values, tile.alias("tile"), pos.alias("pos"), F.lit(True).alias("home")).unionByName(away)
     sized = rows.join(F.broadcast(layout.sizes), "tile").filter(~F.col("home") | (F.col("pos") < F.col("n_home")))
     return sized.select(*keys, "tile", "pos", "n", *values)
 
@@ -109,12 +111,12 @@ def apply_weights(
         broadcast = healpix.npix(zoom) <= layout.broadcast_cells
     tasks = _tasks(cube)
     if broadcast:
-        slices = _slices(tiled.repartition(tasks, *keys, "tile"), keys, values)
+        slices = _slices(tiled.repartition(tasks, *keys, "tile"), keys, values, dense)
         met = slices.join(F.broadcast(cells), "tile")
     else:
         tiled = tiled.withColumn("_group", F.pmod(F.xxhash64("time"), F.lit(time_groups)).cast("int"))
         cells = cells.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(time_groups - 1))))
-        slices = _slices(tiled.repartition(tasks, "_group", "tile"), [*keys, "_group"], values)
+        slices = _slices(tiled.repartition(tasks, "_group", "tile"), [*keys, "_group"], values, dense)
         met = slices.join(cells.repartition(tasks, "_group", "tile").hint("shuffle_hash"), ["_group", "tile"])
     vertices = [F.get("_s", F.col(f"p{k}")) for k in range(3)]
     present = vertices[0].isNotNull() | vertices[1].isNotNull() | vertices[2].isNotNull()

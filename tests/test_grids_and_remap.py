@@ -230,7 +230,7 @@ def test_cube_is_exchanged_once_for_grids_with_many_points(spark, tmp_path, numb
         out = remap.apply_weights(cube, layout, 3, dense=dense)
         plan = _remap_plan(out)
         above, below = plan[: plan.index("BroadcastHashJoin")], plan[plan.index("BroadcastHashJoin"):]
-        assert "Exchange" not in above and below.count("REPARTITION_BY_NUM") == 1
+        assert "Exchange" not in above and plan.count("REPARTITION_BY_NUM") == 1
         if not dense:
             assert below.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in below
         got = out.orderBy("cell").toPandas()
