@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spherecube.functions.fields import value_columns
 from spherecube.functions.times import seconds_between
-from spherecube.operators.timeops import with_previous
+from spherecube.operators.timeops import with_previous_in_ranges
 
 MIN_STORE_BYTES = 1024 * 1024
 COMMIT_MARKER = "_SUCCESS"
@@ -78,16 +78,24 @@ def daily_tasks(days: DataFrame, zoom: int, factor: int) -> DataFrame:
 # --- time axis ----------------------------------------------------------------------------------
 
 
-def time_order_report(steps: DataFrame, order: str, bucket: Column, time: str = "time") -> DataFrame:
+def time_order_report(steps: DataFrame, order: str | list[str], time: str = "time") -> DataFrame:
     """Steps in stored order: how many go backwards and how many repeat an earlier time."""
-    walked = with_previous(steps.select(order, time), order, time, bucket, "_previous")
+    order = [order] if isinstance(order, str) else order
+    walked = with_previous_in_ranges(steps.select(*dict.fromkeys([*order, time])), order, time, "_previous")
     backwards = F.sum(F.when(F.col(time) < F.col("_previous"), 1).otherwise(0))
     distinct = steps.select(time).distinct().agg(F.count("*").alias("n")).scalar()
-    return walked.agg(F.count("*").alias("steps"), backwards.alias("backward_steps")).select(
+    return walked.agg(F.count("*").alias("steps"), F.coalesce(backwards, F.lit(0)).alias("backward_steps")).select(
         "steps", "backward_steps", (F.col("steps") - distinct).alias("repeated_steps")
     )
 
 
+def not_increasing(cube: DataFrame, order: str, store: str = "store", time: str = "time") -> DataFrame:
+    """Stores whose steps, taken as they first come in ``order``, don't rise strictly: (store, n_not_increasing)."""
+    per_step = cube.groupBy(store, time).agg(F.min(order).alias("_at"))
+    later = F.lag(time).over(Window.partitionBy(store).orderBy("_at", time)) >= F.col(time)
+    return per_step.withColumn("_back", later).filter("_back").groupBy(store).agg(F.count("*").alias("n_not_increasing"))
+
+
 # --- store contents -----------------------------------------------------------------------------
 
 
@@ -135,8 +143,12 @@ def store_issues(
     expected_sizes: dict[str, int],
     step_hours: float = 3.0,
     store: str = "store",
+    order: str | None = None,
 ) -> DataFrame:
-    """Rows ``(store, severity, message)``; stores without findings have none."""
+    """Rows ``(store, severity, message)``; stores without findings have none.
+
+    ``order`` names a column with the stored order of the rows, by which steps have to rise.
+    """
     values = [v for v in required if v in cube.columns]
     absent = [v for v in required if v not in cube.columns]
     profile = store_profile(cube, values, store)
@@ -162,6 +174,10 @@ def store_issues(
         found.append(_issue(~first_empty & unbounded, "error", F.lit(f"{v}: infinite values")))
     uneven = (F.abs(F.col("gap_min") - step_hours) > 0.1) | (F.abs(F.col("gap_max") - step_hours) > 0.1)
     found.append(_issue(uneven, "warning", F.format_string("uneven time steps, mean %.2f h", F.bround("gap_mean", 2))))
+    if order is not None:
+        profile = profile.join(not_increasing(cube, order, store), store, "left")
+        back = F.coalesce("n_not_increasing", F.lit(0))
+        found.append(_issue(back > 0, "error", F.format_string("time not increasing at %d steps", back)))
     issues = F.filter(F.array(*found), lambda i: i.isNotNull())
     return profile.select(store, F.inline(issues))
 

@@ -16,7 +16,7 @@ from spherecube.functions.times import (
     parse_date_value,
     seconds_between,
 )
-from spherecube.session import broadcast_if_small
+from spherecube.session import broadcast_if_small, cut_lineage
 
 log = logging.getLogger(__name__)
 
@@ -162,28 +162,25 @@ def resample_mean(
     means = binned.groupBy(F.col("_bin").alias(time), *keys).agg(*[F.avg(v).alias(v) for v in values])
     if not fill:
         return means
-    return means.unionByName(
-        empty_bins(binned.select(F.col("_bin").alias(time), *keys), seconds, time), allowMissingColumns=True
-    )
+    # written once: the axis, the keys and the result are all taken from the means, and the cube is read once
+    means = cut_lineage(means)
+    return means.unionByName(empty_bins(means.select(time, *keys), seconds, time), allowMissingColumns=True)
 
 
 def empty_bins(binned: DataFrame, seconds: int, time: str = "time") -> DataFrame:
     """Key rows for every bin between the first and last that no row fell into.
 
-    The gaps of the axis come from a scan of the time column alone; they reach the key rows as
-    one scalar array (an axis is at most as long as the record has steps), so keys are expanded by
-    a generator and no data row is joined.
+    Each bin that is there knows the one before it, and a generator makes the bins between the two. They meet the keys
+    where the rows are made; a gap list is broadcast after it has been counted.
     """
     keys = [c for c in binned.columns if c != time]
-    present = binned.select(time).distinct()
-    axis = present.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).filter("lo is not null")
-    axis = axis.select(
-        F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {seconds} SECONDS"))).alias(time)
-    )
-    gaps = axis.join(present, time, "left_anti").agg(F.collect_list(time).alias("gaps"))
+    step = F.expr(f"INTERVAL {seconds} SECONDS")
+    walked = with_previous(binned.select(time).distinct(), time, time, F.to_date(time), "_previous")
+    holes = walked.filter(F.col("_previous") + step < F.col(time))
+    gaps = holes.select(F.explode(F.sequence(F.col("_previous") + step, F.col(time) - step, step)).alias(time))
     if not keys:
-        return gaps.select(F.explode("gaps").alias(time))
-    return binned.select(*keys).distinct().select(F.explode(gaps.scalar()).alias(time), *keys)
+        return gaps
+    return binned.select(*keys).distinct().crossJoin(broadcast_if_small(gaps, BROADCAST_STEPS)).select(time, *keys)
 
 
 def temporal_average(
@@ -228,7 +225,7 @@ def block_mean(
     )
 
 
-def with_previous(rows: DataFrame, order: str, value: str, bucket: Column, name: str) -> DataFrame:
+def with_previous(rows: DataFrame, order: str | Column, value: str, bucket: Column, name: str) -> DataFrame:
     """Add the ``value`` of the row before in ``order``, across the whole table.
 
     The window runs inside ``bucket`` (any non-decreasing function of ``order``); the first row of a
@@ -246,6 +243,16 @@ def with_previous(rows: DataFrame, order: str, value: str, bucket: Column, name:
     )
 
 
+def with_previous_in_ranges(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """:func:`with_previous` for any order: range partitions carry their last value over to the next.
+
+    The table is sorted into ranges of rows by a sample and fixed there. Windows run inside a range; the only ungrouped one
+    is over a row per range, as many as the session has shuffle partitions, however long the table is.
+    """
+    ranged = cut_lineage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    return with_previous(ranged, F.struct(*order), value, F.col("_range"), name).drop("_range")
+
+
 def step_spacing(cube: DataFrame, time: str = "time") -> DataFrame:
     """Seconds between consecutive distinct steps (NULL for the first)."""
     steps = cube.select(F.col(time).alias("time")).distinct()

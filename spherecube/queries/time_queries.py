@@ -194,7 +194,7 @@ def a1(spark, sf_dir):
 
 @query(
     "A1_uneven_bins_filled",
-    f"""WITH e AS (SELECT * FROM {fx.hp_events_sql(2)} WHERE minute(time) BETWEEN 25 AND 27),
+    f"""WITH e AS (SELECT time_bucket(INTERVAL 2 HOUR, time) + to_minutes(minute(time) % 40) AS time, cell, value FROM {fx.hp_events_sql(2)}),
     b AS (SELECT o + to_seconds(CAST(floor(date_diff('second', o, time) / 2400) * 2400 AS BIGINT)) AS time, cell, value FROM e,
       (SELECT date_trunc('day', min(time)) AS o FROM e)),
     m AS (SELECT time, cell, avg(value) AS value FROM b GROUP BY 1, 2),
@@ -204,8 +204,9 @@ def a1(spark, sf_dir):
     UNION ALL SELECT g.time, k.cell, NULL FROM g, (SELECT DISTINCT cell FROM b) k""",
 )
 def a1_fill(spark, sf_dir):
-    """Forty-minute bins, of which every other one is empty: empty bins come out as NULL rows."""
-    e = fx.hp_events(spark, sf_dir, 2).filter(F.minute("time").between(25, 27))
+    """Forty-minute bins, of which two in three are empty: empty bins come out as NULL rows."""
+    moved = F.window("time", "2 hours")["start"] + F.make_dt_interval(mins=(F.minute("time") % 40).cast("int"))
+    e = fx.hp_events(spark, sf_dir, 2).withColumn("time", moved)
     return rounded(timeops.resample_mean(e, "40min", ["cell"], values=["value"], fill=True), "value")
 
 
