@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spherecube.functions.times import parse_date_value
 from spherecube.operators import coarsen as co
-from spherecube.operators import combine, gather, grids, levels, remap, timeops, variables
+from spherecube.operators import combine, gather, grids, levels, quality, remap, timeops, variables
 from spherecube.operators.triangulation import triangulated_weights
 from spherecube.operators.weights import grid_fingerprint, linear_index, regular_weights, require_fit
 from spherecube.sources import catalog, cubes, stores
@@ -140,6 +140,10 @@ def open_source(spark: SparkSession, config: dict, start: dt.datetime, end: dt.d
             config.get("year_subdirs", True), config.get("file_glob", "*"),
         )
         files = catalog.path_list(found)
+    if config.get("check_load", True):
+        for paths in files.values() if isinstance(files, dict) else [files]:
+            if paths:
+                cubes.require_complete_files(spark, paths)
     if isinstance(files, dict):
         keys = ["time", "src_idx"] + (["level"] if config.get("level_subset") else [])
         cube = cubes.read_variables(spark, files, keys)
@@ -178,6 +182,10 @@ def process_to_cells(
         )
     out = remap_cube(cube, weights, zoom, config, funcs or None, kwargs)
     stores.write_store(out, output, zoom, config.get("time_chunk", 48), "overwrite" if overwrite else "error")
+    stores.save_attributes(spark, output, stores.attributes(
+        zoom, config.get("grid_type", "auto"), grid_id=grid_fingerprint(points), time_average=config.get("time_average"),
+        time_subset=config.get("time_subset"), start=begin.isoformat(), end=finish.isoformat(),
+    ))
     return stores.read_store(spark, output)
 
 
@@ -203,7 +211,14 @@ def coarsen_store(
     if (start_date or end_date) and cube.isEmpty():
         raise ValueError(f"no data between {start_date} and {end_date}")
     cube = co.coarsen_time(cube, target_hours, subsample, temporal_factor)
-    return co.write_pyramid(cube, start_zoom, target_zoom, root, direct, overwrite)
+    written = co.write_pyramid(cube, start_zoom, target_zoom, root, direct, overwrite)
+    before = stores.stored_attributes(spark, source)
+    temporal = f"hours {target_hours}" if target_hours else f"every {subsample} steps" if subsample > 1 else f"means of {temporal_factor} steps" if temporal_factor > 1 else None
+    for z in written:
+        done = {"coarsened_from": start_zoom if direct else z + 1, "source": source, "temporal_coarsening": temporal}
+        kept = {k: v for k, v in before.items() if k not in stores.attributes(z, "")}
+        stores.save_attributes(spark, f"{root}/zoom={z}", stores.attributes(z, before.get("original_grid", "healpix"), **kept, **done))
+    return written
 
 
 def combine_days(
@@ -220,9 +235,21 @@ def combine_days(
         raise FileNotFoundError(f"no daily stores in {folder}")
     days = cubes.read_cube(spark, paths, recursive=True).drop("tile")
     stores.write_store(days, output, zoom, mode="overwrite" if overwrite else "error")
+    order = stored_order(spark, paths).first()
+    if order.backward_steps or order.repeated_steps:
+        log.warning("%s: %d steps go backwards, %d repeat an earlier one", output, order.backward_steps, order.repeated_steps)
+    first = stores.stored_attributes(spark, paths[0])
+    stores.save_attributes(spark, output, {**stores.attributes(zoom, "healpix"), **first, "combined_from": str(len(paths))})
     return stores.read_store(spark, output)
 
 
+def stored_order(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Order of the steps over a sequence of stores, taken by name: how many go backwards, how many are repeated."""
+    steps = cubes.steps_of_files(spark, paths, recursive=True)
+    store = F.regexp_extract("source_file", r"([^/]*_\d{8}_\d{8}[^/]*)/", 1)
+    return quality.time_order_report(steps.select(store.alias("store"), "time").distinct(), ["store", "time"])
+
+
 def merge_stores(
     spark: SparkSession, surface: str, level: str, output: str, zoom: int, validate: bool = True,
     overwrite: bool = False, partition_by: tuple[str, ...] = ("day",),
@@ -233,10 +260,13 @@ def merge_stores(
         combine.require_mergeable(sfc, lev)
     merged = combine.merge_surface_levels(sfc, lev)
     stores.write_store(merged, output, zoom, mode="overwrite" if overwrite else "error", partition_by=partition_by)
+    kept = {**stores.stored_attributes(spark, level), **stores.stored_attributes(spark, surface)}
+    stores.save_attributes(spark, output, {**stores.attributes(zoom, "healpix"), **kept, "merged_from": f"{surface}, {level}"})
     return stores.read_store(spark, output)
 
 
 def write_by_month(cube: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Month folders for long records."""
-    dated = cube.withColumns({"year": F.year("time"), "month": F.month("time"), "_day": F.to_date("time")})
-    dated.repartition("year", "month", "_day").drop("_day").write.mode(mode).partitionBy("year", "month").parquet(path)
+    """Month folders for long records. Partitions are balanced by size: a month with much data is written by several tasks,
+    months with little share one."""
+    dated = cube.withColumns({"year": F.year("time"), "month": F.month("time")})
+    dated.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").parquet(path)

@@ -7,10 +7,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from spherecube.functions import names
+from spherecube.functions.healpix import npix
 from spherecube.operators import quality, variables
 from spherecube.queries import fixtures as fx
 from spherecube.queries.registry import query, rounded
-from spherecube.sources import catalog, cubes
+from spherecube.session import scratch_path
+from spherecube.sources import catalog, cubes, stores
 
 START, END = dt.datetime(1996, 3, 1), dt.datetime(1997, 10, 31)
 RANGE_SQL = "TIMESTAMP '1996-03-01' AND TIMESTAMP '1997-10-31'"
@@ -93,6 +95,40 @@ def s5(spark, sf_dir):
     return cubes.load_report(cube)
 
 
+@query(
+    "S5_files_read",
+    """SELECT CAST(sum(n) AS BIGINT) AS steps, count(*) AS files,
+      CASE WHEN sum(n) < count(*) THEN 'incomplete' WHEN sum(n) > count(*) THEN 'more_steps_than_files' ELSE 'complete' END AS verdict
+    FROM (SELECT CAST(ts AS DATE) AS f, count(DISTINCT time_bucket(INTERVAL 1 HOUR, ts)) AS n FROM events GROUP BY 1)""",
+)
+def s5_files(spark, sf_dir):
+    """Steps against files of a record with one file a day, told apart by the reader's own file metadata."""
+    e = fx.table(spark, sf_dir, "events")
+    path = scratch_path(spark, "daily")
+    e.select(F.window("ts", "1 hour").start.alias("time"), "value", F.to_date("ts").alias("day")).repartition("day").write.partitionBy("day").parquet(path)
+    files = catalog.path_list(catalog.list_files(spark, [path], "*.parquet", recursive=True))
+    return cubes.file_report(spark, files)
+
+
+@query(
+    "S7_catalog_requests",
+    """SELECT 'click' AS dataset, 9 AS zoom, CAST(ts AS DATE) AS day, count(*) AS n, round(sum(CAST(value AS FLOAT)), 2) AS total
+    FROM events WHERE event_type = 'click' AND day(ts) % 2 = 0 GROUP BY 3""",
+)
+def s7_requests(spark, sf_dir):
+    """A catalog written by data set, resolution, zoom and day, pruned by a table of requested days."""
+    e = fx.table(spark, sf_dir, "events")
+    cube = e.select(F.col("ts").alias("time"), F.pmod("user_id", F.lit(npix(9))).alias("cell"), "value", "event_type")
+    root = scratch_path(spark, "catalog")
+    for zoom in (9, 8):
+        stores.write_catalog(cube.withColumnRenamed("event_type", "kind"), root, F.col("kind"), "1H", zoom)
+    asked = e.select(F.col("event_type").alias("dataset"), F.lit(9).alias("zoom"), F.to_date("ts").alias("day"))
+    asked = asked.filter((F.col("dataset") == "click") & (F.day("day") % 2 == 0)).distinct()
+    rows = cubes.scan_requests(spark, root, asked)
+    total = F.round(F.sum(F.col("value").cast("double")), 2)
+    return rows.groupBy("dataset", "zoom", "day").agg(F.count("*").alias("n"), total.alias("total"))
+
+
 @query(
     "S7_catalog_scan",
     """SELECT event_id, ts, value FROM events WHERE event_type = 'click' AND user_id % 3 + 5 = 6
@@ -112,8 +148,8 @@ def s7(spark, sf_dir):
     FROM {fx.store_names_sql()} WHERE try_strptime(nullif(regexp_extract(name, '_(\\d{{8}})_', 1), ''), '%Y%m%d') BETWEEN {RANGE_SQL}""",
 )
 def s9(spark, sf_dir):
-    stores = fx.store_names(spark, sf_dir).drop("made")
-    return catalog.daily_stores(stores, START, END)
+    named = fx.store_names(spark, sf_dir).drop("made")
+    return catalog.daily_stores(named, START, END)
 
 
 @query(

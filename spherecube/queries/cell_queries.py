@@ -310,6 +310,26 @@ def k8(spark, sf_dir):
     )
 
 
+@query(
+    "K8_stored_attributes",
+    """SELECT CAST(z AS INTEGER) AS zoom, CAST(1 << z AS VARCHAR) AS nside, CAST(12 * (1 << (2 * z)) AS VARCHAR) AS npix, 'latlon_1d' AS original_grid,
+      CAST(z + 1 AS VARCHAR) AS coarsened_from, 'means of 2 steps' AS temporal, (SELECT CAST(count(DISTINCT time_bucket(INTERVAL 1 HOUR, ts)) AS VARCHAR) FROM events) AS n_steps
+    FROM generate_series(2, 4) t(z)""",
+)
+def k8_stored(spark, sf_dir):
+    """Attributes of a store, handed on by the job that coarsens it and read back from beside each level."""
+    source, root = scratch_path(spark, "fine"), scratch_path(spark, "levels")
+    hourly = fx.hp_hourly(spark, sf_dir, Z)
+    stores.write_store(hourly, source, Z)
+    n_steps = hourly.select("time").distinct().count()
+    for _ in range(2):  # saved again, not twice
+        stores.save_attributes(spark, source, stores.attributes(Z, "latlon_1d", n_steps=n_steps))
+    written = workflows.coarsen_store(spark, source, 2, root, start_zoom=Z, temporal_factor=2)
+    found = [stores.load_attributes(spark, f"{root}/zoom={z}").withColumn("zoom", F.lit(z)) for z in written]
+    names = {"healpix_nside": "nside", "healpix_npix": "npix", "original_grid": "original_grid", "coarsened_from": "coarsened_from", "temporal_coarsening": "temporal", "n_steps": "n_steps"}
+    return cubes.concat_time(found).groupBy("zoom").pivot("key", list(names)).agg(F.first("value")).withColumnsRenamed(names)
+
+
 _STORED_SQL = f"""WITH z4 AS (SELECT time, cell >> 2 AS cell, CAST(avg(CAST(value AS FLOAT)) AS FLOAT) AS value FROM {fx.hp_hourly_sql(Z)} GROUP BY 1, 2),
     z3 AS (SELECT time, cell >> 2 AS cell, CAST(avg(value) AS FLOAT) AS value FROM z4 GROUP BY 1, 2),
     z2 AS (SELECT time, cell >> 2 AS cell, CAST(avg(value) AS FLOAT) AS value FROM z3 GROUP BY 1, 2)
@@ -357,6 +377,21 @@ def v3(spark, sf_dir):
     return quality.time_order_report(steps, "event_id")
 
 
+@query(
+    "V4_order_issues",
+    f"""WITH s AS (SELECT event_type AS store, {{t}} AS time, min(event_id) AS first FROM events GROUP BY 1, 2),
+    w AS (SELECT store, lag(time) OVER (PARTITION BY store ORDER BY first, time) >= time AS back FROM s)
+    SELECT store, count(*) FILTER (back) AS n_not_increasing FROM w GROUP BY 1 HAVING count(*) FILTER (back) > 0""".replace(
+        "{t}", "date_trunc('minute', ts) - CASE WHEN event_id % 50 = 0 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END"),
+)
+def v4_order(spark, sf_dir):
+    """Stores whose steps don't rise in the order they are stored in."""
+    e = fx.table(spark, sf_dir, "events")
+    minute = F.window("ts", "1 minute").start
+    shifted = F.when(F.col("event_id") % 50 == 0, minute - F.expr("INTERVAL 2 HOURS")).otherwise(minute)
+    return quality.not_increasing(e.select(F.col("event_type").alias("store"), shifted.alias("time"), "event_id"), "event_id")
+
+
 _V4_CUBE_SQL = f"""(SELECT 'day_' || strftime(time_bucket(INTERVAL 3 HOUR, time), '%d') AS store, time_bucket(INTERVAL 3 HOUR, time) AS time, cell,
       CASE WHEN day(min(time)) % 9 = 0 AND hour(min(time)) < 3 THEN NULL ELSE avg(value) END AS ta,
       CASE WHEN day(min(time)) % 10 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE max(quality) END AS pr

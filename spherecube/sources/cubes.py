@@ -38,6 +38,10 @@ def concat_time(cubes: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cubes)
 
 
+def _verdict(steps, files):
+    return F.when(steps < files, "incomplete").when(steps > files, "more_steps_than_files").otherwise("complete")
+
+
 def load_report(cube: DataFrame, file: str = "source_file") -> DataFrame:
     """Number of time steps against number of files, and the verdict on the read.
 
@@ -45,24 +49,40 @@ def load_report(cube: DataFrame, file: str = "source_file") -> DataFrame:
     """
     per_file = cube.groupBy(file).agg(F.countDistinct("time").alias("n"))
     counts = per_file.agg(F.sum("n").cast("bigint").alias("steps"), F.count("*").alias("files"))
-    verdict = (
-        F.when(F.col("steps") < F.col("files"), "incomplete")
-        .when(F.col("steps") > F.col("files"), "more_steps_than_files")
-        .otherwise("complete")
-    )
-    return counts.withColumn("verdict", verdict)
+    return counts.withColumn("verdict", _verdict(F.col("steps"), F.col("files")))
 
 
-def require_complete(cube: DataFrame, file: str = "source_file") -> DataFrame:
-    """Raise when the load report finds fewer steps than files; one row reaches the driver."""
-    row = load_report(cube, file).first()
+def steps_of_files(spark: SparkSession, paths: list[str], recursive: bool = False) -> DataFrame:
+    """(source_file, time) of every step of every file: the files are told apart by Spark's own file metadata, and the
+    time column is all that is read of them."""
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    return reader.parquet(*paths).select(F.col("_metadata.file_path").alias("source_file"), "time").distinct()
+
+
+def file_report(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """:func:`load_report` for files on storage. Files without a single row count as files too."""
+    found = steps_of_files(spark, paths).agg(F.count("*").alias("steps"))
+    return found.select("steps", F.lit(len(paths)).cast("bigint").alias("files")).withColumn("verdict", _verdict(F.col("steps"), F.col("files")))
+
+
+def _refuse_incomplete(row) -> None:
     if row.verdict == "incomplete":
         raise ValueError(f"read only {row.steps} time steps from {row.files} files")
     if row.verdict != "complete":
         log.warning("%s time steps from %s files", row.steps, row.files)
+
+
+def require_complete(cube: DataFrame, file: str = "source_file") -> DataFrame:
+    """Raise when the load report finds fewer steps than files; one row reaches the driver."""
+    _refuse_incomplete(load_report(cube, file).first())
     return cube
 
 
+def require_complete_files(spark: SparkSession, paths: list[str]) -> None:
+    """Raise before any work is done when the files hold fewer steps than there are files."""
+    _refuse_incomplete(file_report(spark, paths).first())
+
+
 def merge_variables(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     """Outer merge of per-variable cubes on their keys.
 
@@ -112,3 +132,16 @@ def scan_catalog(
     spark: SparkSession, root: str, dataset: str, zoom: int | None = None, time_res: str | None = None
 ) -> DataFrame:
     return scan_catalog_table(spark.read.parquet(root), dataset, zoom, time_res)
+
+
+def scan_requests(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
+    """Rows of a stored catalog that a table of requests asks for, by any of (dataset, time_res, zoom, day).
+
+    Requests are few and broadcast; their values prune the partitions of the scan at run time.
+    """
+    table = spark.read.parquet(root)
+    keys = [c for c in ("dataset", "time_res", "zoom", "day") if c in requests.columns]
+    # comparisons, true of every key that is there, tell the optimizer that the requests are a selection
+    least = {"dataset": "''", "time_res": "''", "zoom": "0", "day": "date'0001-01-01'"}
+    wanted = requests.select(*keys).filter(" and ".join(f"{c} >= {least[c]}" for c in keys)).distinct()
+    return table.join(F.broadcast(wanted), keys, "left_semi")

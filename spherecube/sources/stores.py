@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spherecube.functions import healpix
@@ -65,6 +65,13 @@ def write_store(
     )
 
 
+def write_catalog(cube: DataFrame, root: str, dataset: str | Column, time_res: str, zoom: int, time_chunk: int = 48) -> None:
+    """Add a cell cube to a catalog: folders dataset/time_res/zoom/day, of which only those written are replaced."""
+    named = cube.withColumn("dataset", F.lit(dataset) if isinstance(dataset, str) else dataset)
+    named = named.withColumns({"time_res": F.lit(time_res), "zoom": F.lit(zoom)})
+    write_store(named, root, zoom, time_chunk, "overwrite_days", ("dataset", "time_res", "zoom", "day"))
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -139,8 +146,8 @@ def cached_layout(
     return gather.Layout(zoom, cells, lookup, fact.lookup_is_small, by, spark.read.parquet(f"{root}/sizes") if by else None, fact.tile_levels)
 
 
-def with_attributes(datasets: DataFrame, zoom: int, original_grid: str, **extra: str) -> DataFrame:
-    """Attribute row of each data set in a ``(dataset, ...)`` table, kept beside its store."""
+def attributes(zoom: int, original_grid: str, **extra: object) -> dict[str, str]:
+    """What a store says about itself: the cells, the grid they were made from, and what else its job did."""
     attrs = {
         "grid_mapping_name": "healpix",
         "healpix_nside": healpix.nside(zoom),
@@ -149,14 +156,40 @@ def with_attributes(datasets: DataFrame, zoom: int, original_grid: str, **extra:
         "zoom": zoom,
         "original_grid": original_grid,
         "remapping_method": "delaunay_triangulation",
-        **extra,
+        **{k: v for k, v in extra.items() if v is not None},
     }
-    pairs = [F.lit(str(x)) for item in attrs.items() for x in item]
+    return {k: str(v) for k, v in attrs.items()}
+
+
+def with_attributes(datasets: DataFrame, zoom: int, original_grid: str, **extra: str) -> DataFrame:
+    """Attribute row of each data set in a ``(dataset, ...)`` table, kept beside its store."""
+    pairs = [F.lit(x) for item in attributes(zoom, original_grid, **extra).items() for x in item]
     return datasets.withColumns({"zoom": F.lit(zoom), "attrs": F.create_map(*pairs)})
 
 
-def write_attributes(attributes: DataFrame, path: str) -> None:
-    attributes.write.mode("append").parquet(path)
+def _side_table(store: str) -> tuple[str, str]:
+    folder, name = store.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_attributes", name.replace("=", "")
+
+
+def save_attributes(spark: SparkSession, store: str, attrs: dict[str, str]) -> None:
+    """Keep a store's attributes in a side table of its folder; a job that runs again replaces its own."""
+    root, name = _side_table(store)
+    rows = spark.createDataFrame(sorted(attrs.items()), "key string, value string").withColumn("dataset", F.lit(name))
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(root)
+
+
+def load_attributes(spark: SparkSession, store: str) -> DataFrame:
+    """(key, value) of a store; no rows where none were saved."""
+    root, name = _side_table(store)
+    path = f"{root}/dataset={name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "key string, value string")
+    return spark.read.schema("key string, value string").parquet(path)
+
+
+def stored_attributes(spark: SparkSession, store: str) -> dict[str, str]:
+    return {r.key: r.value for r in load_attributes(spark, store).collect()}
 
 
 def size_report(cube: DataFrame, zoom: int, time_chunk: int = 48) -> DataFrame:
