@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spherecube.functions import fields, healpix
+from spherecube.functions.healpix import npix
 from spherecube.operators import combine, quality, stats, timeops
 from spherecube.operators import coarsen as co
 from spherecube.plans import workflows
@@ -220,16 +221,19 @@ def j8(spark, sf_dir):
 @query(
     "S6_merge_variables",
     f"""WITH a AS (SELECT time, cell, avg(value) AS pr FROM {fx.hp_hourly_sql(4)} GROUP BY 1, 2),
-    b AS (SELECT time_bucket(INTERVAL 1 HOUR, time) AS time, cell, max(quality) AS qc FROM {fx.hp_events_sql(4)} WHERE event_id % 3 <> 0 GROUP BY 1, 2),
-    c AS (SELECT time_bucket(INTERVAL 1 HOUR, time) AS time, cell, count(*) AS n FROM {fx.hp_events_sql(4)} WHERE event_id % 2 = 0 GROUP BY 1, 2)
+    b AS (SELECT time_bucket(INTERVAL 1 HOUR, time) + to_hours(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS time, cell, max(quality) AS qc FROM {fx.hp_events_sql(4)} GROUP BY 1, 2),
+    c AS (SELECT time_bucket(INTERVAL 1 HOUR, time) AS time, (cell + event_id % 2) % {npix(4)} AS cell, count(*) AS n FROM {fx.hp_events_sql(4)} GROUP BY 1, 2)
     SELECT time, cell, round(pr, 6) AS pr, qc, CAST(n AS DOUBLE) AS n FROM a FULL JOIN b USING (time, cell) FULL JOIN c USING (time, cell)""",
 )
 def s6(spark, sf_dir):
+    """Three variables whose keys are alike in part only."""
     e = fx.hp_events(spark, sf_dir, 4).withColumn("time", F.window("time", "1 hour").start)
+    later = F.col("time") + F.make_dt_interval(hours=F.when(F.col("event_id") % 3 == 0, 1).otherwise(0))
+    beside = F.pmod(F.col("cell") + F.col("event_id") % 2, F.lit(npix(4)))
     parts = {
         "pr": fx.hp_hourly(spark, sf_dir, 4).withColumnRenamed("value", "pr"),
-        "qc": e.filter("event_id % 3 <> 0").groupBy("time", "cell").agg(F.max("quality").alias("qc")),
-        "n": e.filter("event_id % 2 = 0").groupBy("time", "cell").agg(F.count("*").cast("double").alias("n"), F.max("quality").alias("qc")),
+        "qc": e.groupBy(later.alias("time"), "cell").agg(F.max("quality").alias("qc")),
+        "n": e.groupBy("time", beside.alias("cell")).agg(F.count("*").cast("double").alias("n"), F.max("quality").alias("qc")),
         "nothing": None,
     }
     return rounded(cubes.merge_variables(parts, ["time", "cell"]), "pr")
@@ -247,22 +251,24 @@ def u1(spark, sf_dir):
     return cubes.concat_time([early, late])
 
 
-@query(
-    "U2_shared_names",
-    f"SELECT DISTINCT var FROM {fx.cube_long_sql()} WHERE src_idx % 2 = 0 AND var IN (SELECT var FROM {fx.cube_long_sql()} WHERE src_idx % 3 = 0)",
-)
+_OTHER_NAMES_SQL = f"(SELECT CASE WHEN src_idx % 3 = 0 THEN var ELSE var || '_other' END AS var FROM {fx.cube_long_sql()})"
+
+
+def _other_names(long):
+    """Two variables in three go by another name."""
+    return long.withColumn("var", F.when(F.col("src_idx") % 3 == 0, F.col("var")).otherwise(F.concat("var", F.lit("_other"))))
+
+
+@query("U2_shared_names", f"SELECT DISTINCT var FROM {fx.cube_long_sql()} WHERE var IN (SELECT var FROM {_OTHER_NAMES_SQL})")
 def u2(spark, sf_dir):
     long = fx.cube_long(spark, sf_dir)
-    return combine.shared_names(long.filter("src_idx % 2 = 0"), long.filter("src_idx % 3 = 0"))
+    return combine.shared_names(long, _other_names(long))
 
 
-@query(
-    "U2_absent_names",
-    f"SELECT var FROM (SELECT DISTINCT var FROM {fx.cube_long_sql()}) WHERE var NOT IN (SELECT var FROM {fx.cube_long_sql()} WHERE src_idx % 3 = 0)",
-)
+@query("U2_absent_names", f"SELECT DISTINCT var FROM {fx.cube_long_sql()} WHERE var NOT IN (SELECT var FROM {_OTHER_NAMES_SQL})")
 def u2_absent(spark, sf_dir):
     long = fx.cube_long(spark, sf_dir)
-    return combine.absent_names(long.select("var").distinct(), long.filter("src_idx % 3 = 0"))
+    return combine.absent_names(long.select("var").distinct(), _other_names(long))
 
 
 # --- stores -------------------------------------------------------------------------------------
@@ -395,11 +401,14 @@ def v4_order(spark, sf_dir):
 _V4_CUBE_SQL = f"""(SELECT 'day_' || strftime(time_bucket(INTERVAL 3 HOUR, time), '%d') AS store, time_bucket(INTERVAL 3 HOUR, time) AS time, cell,
       CASE WHEN day(min(time)) % 9 = 0 AND hour(min(time)) < 3 THEN NULL ELSE avg(value) END AS ta,
       CASE WHEN day(min(time)) % 10 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE max(quality) END AS pr
-    FROM {fx.hp_events_sql(1)} WHERE NOT (day(time) = 12 AND hour(time) BETWEEN 9 AND 11) GROUP BY time_bucket(INTERVAL 3 HOUR, time), cell)"""
+    FROM (SELECT time - to_hours(CASE WHEN day(time) = 12 AND hour(time) BETWEEN 9 AND 11 THEN 3 ELSE 0 END) AS time, cell, value, quality FROM {fx.hp_events_sql(1)})
+    GROUP BY time_bucket(INTERVAL 3 HOUR, time), cell)"""
 
 
 def _v4_cube(spark, sf_dir):
-    e = fx.hp_events(spark, sf_dir, 1).filter("not (day(time) = 12 and hour(time) between 9 and 11)")
+    # one day has no step at nine: what belongs there is counted with the step before
+    moved = F.when((F.dayofmonth("time") == 12) & F.hour("time").between(9, 11), 3).otherwise(0)
+    e = fx.hp_events(spark, sf_dir, 1).withColumn("time", F.col("time") - F.make_dt_interval(hours=moved))
     e = e.withColumn("bin", F.window("time", "3 hours").start)
     day, first_hours = F.dayofmonth("bin"), F.hour("bin") < 3
     cube = e.groupBy("bin", "cell").agg(F.avg("value").alias("ta"), F.max("quality").alias("pr"))

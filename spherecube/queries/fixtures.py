@@ -276,22 +276,22 @@ SPAN_VARIABLES = [
 def day_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one store per event day; some days have no store, a marker or enough bytes."""
     e = table(spark, sf_dir, "events")
-    day = F.to_date("ts")
+    at, own = F.dayofmonth("ts"), F.to_date("ts")
+    # events of the days without a store are in the store of the day before
+    day = F.when(at.between(20, 22), F.date_sub(own, at - 19)).when(at % 7 == 3, F.date_sub(own, 1)).otherwise(own)
     per = e.withColumn("day", day).groupBy("day").agg(F.count("*").alias("n"))
     dom = F.dayofmonth("day")
     stamp = F.date_format("day", "yyyyMMdd")
-    per = per.filter((dom % 7 != 3) & ~dom.between(20, 22)).withColumn(
-        "store", F.concat(F.lit("ev_3H_zoom8_"), stamp, F.lit("_"), stamp)
-    )
+    per = per.withColumn("store", F.concat(F.lit("ev_3H_zoom8_"), stamp, F.lit("_"), stamp))
     data = per.select("day", "store", F.lit("part-0.parquet").alias("name"), F.when(dom % 5 == 0, F.lit(1000).cast("bigint")).otherwise(F.col("n") * 100000).alias("bytes"))
     marks = per.filter(dom % 6 != 1).select("day", "store", F.lit("_SUCCESS").alias("name"), F.lit(0).cast("bigint").alias("bytes"))
     return data.unionByName(marks)
 
 
 def day_stores_sql() -> str:
-    return """(WITH per AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
-        kept AS (SELECT day, n, 'ev_3H_zoom8_' || strftime(day, '%Y%m%d') || '_' || strftime(day, '%Y%m%d') AS store FROM per
-          WHERE day(day) % 7 <> 3 AND NOT day(day) BETWEEN 20 AND 22)
+    return """(WITH per AS (SELECT day, count(*) AS n FROM (SELECT CAST(ts AS DATE) -
+            CASE WHEN day(ts) BETWEEN 20 AND 22 THEN CAST(day(ts) - 19 AS INTEGER) WHEN day(ts) % 7 = 3 THEN 1 ELSE 0 END AS day FROM events) GROUP BY 1),
+        kept AS (SELECT day, n, 'ev_3H_zoom8_' || strftime(day, '%Y%m%d') || '_' || strftime(day, '%Y%m%d') AS store FROM per)
         SELECT day, store, 'part-0.parquet' AS name, CASE WHEN day(day) % 5 = 0 THEN 1000 ELSE n * 100000 END AS bytes FROM kept
         UNION ALL SELECT day, store, '_SUCCESS', 0 FROM kept WHERE day(day) % 6 <> 1)"""
 
