@@ -18,12 +18,15 @@ from pyspark.sql import SparkSession, functions as F  # noqa: E402
 
 from spherecube.functions import healpix  # noqa: E402
 from spherecube.operators import coarsen as co  # noqa: E402
-from spherecube.operators import grids, remap, stats, timeops, triangulation, weights  # noqa: E402
+from spherecube.operators import gather, grids, remap, stats, timeops, triangulation, weights  # noqa: E402
 from spherecube.queries import fixtures as fx  # noqa: E402
 from spherecube.session import prepare, scratch_path  # noqa: E402
 from spherecube.sources import cubes, stores  # noqa: E402
 
 
+TENTH_STEPS = 4
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -65,6 +68,11 @@ def main() -> None:
     def written() -> None:
         stores.write_store(hourly, scratch_path(spark, "bench-store"), 9)
 
+    tenth, layout = _tenth_degree(spark, sf_dir)
+
+    def tenth_written() -> None:
+        stores.write_store(remap.apply_weights(tenth, layout, 9), scratch_path(spark, "bench-tenth"), 9)
+
     cases = {
         "A1_hourly_mean": (lambda: run(timeops.resample_mean(events, "1h", ["cell"], values=["value"])), n_events),
         "A3_block_mean": (lambda: run(timeops.block_mean(hourly, 6, ["cell"])), n_hourly),
@@ -75,10 +83,15 @@ def main() -> None:
         "J1_scattered_weights_z4": (
             lambda: run(triangulation.triangulated_weights(fx.points_customers(spark, sf_dir), 4, "bench", wrap=True)), healpix.npix(4)
         ),
+        "J1_scattered_weights_z7": (
+            lambda: run(triangulation.triangulated_weights(fx.points_customers(spark, sf_dir), 7, "bench", wrap=True)), healpix.npix(7)
+        ),
         "J4_remap_z5": (lambda: run(remap_at(5)), n_steps * healpix.npix(5)),
         "J4_remap_z6": (lambda: run(remap_at(6)), n_steps * healpix.npix(6)),
         "J4_remap_z7": (lambda: run(remap_at(7)), n_steps * healpix.npix(7)),
         "J4_remap_z8": (lambda: run(remap_at(8)), n_steps * healpix.npix(8)),
+        # a grid as published runs have it: 6.5 million points, output written
+        "J4_tenth_degree_z9_written": (tenth_written, TENTH_STEPS * healpix.npix(9)),
         "J7_merge": (lambda: run(_merge(spark, sf_dir)), None),
         "K1_write_store": (written, n_hourly),
         "S4_read_concat": (lambda: run(cubes.read_cube(spark, [hourly_path, hourly_path])), 2 * n_hourly),
@@ -102,6 +115,21 @@ def main() -> None:
     )
 
 
+def _tenth_degree(spark, sf_dir):
+    """Some steps of a 0.1-degree grid, stored by step, and its gather layout for zoom 9; built outside the timings."""
+    points = spark.range(1800 * 3600).select(F.col("id").alias("src_idx"), F.floor(F.col("id") / 3600).alias("iy"), (F.col("id") % 3600).alias("ix"))
+    points = points.withColumns({"lat": F.col("iy") * 0.1 - 89.95, "lon": F.col("ix") * 0.1 + 0.05})
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    steps = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(hour.alias("time")).agg(F.avg("value").alias("level_of_step"))
+    steps = steps.orderBy("time").limit(TENTH_STEPS)
+    cube = points.crossJoin(F.broadcast(steps)).select("time", "src_idx", (F.sin("lat") * F.col("level_of_step")).cast("float").alias("pr"))
+    path = scratch_path(spark, "tenth")
+    cube.repartition("time").write.parquet(path)
+    built = weights.regular_weights(points, 9, "tenth")
+    layout = stores.cached_layout(spark, scratch_path(spark, "layouts"), "tenth", 9, built, gather.Numbering(3600, 0))
+    return spark.read.parquet(path), layout
+
+
 def _merge(spark, sf_dir):
     from spherecube.operators.combine import merge_surface_levels
 

@@ -207,13 +207,11 @@ def coarsen_store(
     if start_zoom is None:
         start_zoom = catalog.names.parse_store_name(source.rstrip("/").rsplit("/", 1)[-1])["zoom"]
     cube = stores.read_store(spark, source).drop("day", "tile")
-    cube = timeops.keep_dates(cube, start_date, end_date)
-    if (start_date or end_date) and cube.isEmpty():
-        raise ValueError(f"no data between {start_date} and {end_date}")
+    cube = _in_period(cube, start_date, end_date)
     cube = co.coarsen_time(cube, target_hours, subsample, temporal_factor)
     written = co.write_pyramid(cube, start_zoom, target_zoom, root, direct, overwrite)
     before = stores.stored_attributes(spark, source)
-    temporal = f"hours {target_hours}" if target_hours else f"every {subsample} steps" if subsample > 1 else f"means of {temporal_factor} steps" if temporal_factor > 1 else None
+    temporal = _temporal_text(target_hours, subsample, temporal_factor)
     for z in written:
         done = {"coarsened_from": start_zoom if direct else z + 1, "source": source, "temporal_coarsening": temporal}
         kept = {k: v for k, v in before.items() if k not in stores.attributes(z, "")}
@@ -221,6 +219,56 @@ def coarsen_store(
     return written
 
 
+def coarsen_catalog(
+    spark: SparkSession,
+    catalog_root: str,
+    dataset: str,
+    time_res: str,
+    start_zoom: int,
+    target_zoom: int,
+    root: str,
+    names: dict[str, str],
+    target_hours: list[int] | None = None,
+    subsample: int = 1,
+    temporal_factor: int = 1,
+    overwrite: bool = False,
+    start_date: str | None = None,
+    end_date: str | None = None,
+) -> list[int]:
+    """Coarsen one source of a catalog, found by data set, resolution and zoom; returns the zooms written.
+
+    ``names`` says which variables are taken and what they are called in the output; every one of them must be there.
+    Only the partitions of that source and the columns of those variables are read.
+    """
+    cube = cubes.scan_catalog(spark, catalog_root, dataset, start_zoom, time_res)
+    keys = [c for c in ("time", "level", "cell") if c in cube.columns]
+    cube = cube.select(*keys, *[F.col(f"`{old}`").alias(new) for old, new in names.items()])
+    cube = _in_period(cube, start_date, end_date)
+    cube = co.coarsen_time(cube, target_hours, subsample, temporal_factor)
+    written = co.write_pyramid(cube, start_zoom, target_zoom, root, overwrite=overwrite)
+    for z in written:
+        stores.save_attributes(spark, f"{root}/zoom={z}", stores.attributes(
+            z, "healpix", source=f"{dataset} {time_res} zoom {start_zoom}", coarsened_from=z + 1,
+            temporal_coarsening=_temporal_text(target_hours, subsample, temporal_factor),
+        ))
+    return written
+
+
+def _in_period(cube: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
+    kept = timeops.keep_dates(cube, start_date, end_date)
+    if (start_date or end_date) and kept.isEmpty():
+        raise ValueError(f"no data between {start_date} and {end_date}")
+    return kept
+
+
+def _temporal_text(target_hours: list[int] | None, subsample: int, temporal_factor: int) -> str | None:
+    if target_hours:
+        return f"hours {target_hours}"
+    if subsample > 1:
+        return f"every {subsample} steps"
+    return f"means of {temporal_factor} steps" if temporal_factor > 1 else None
+
+
 def combine_days(
     spark: SparkSession, folder: str, output: str, zoom: int, start: dt.datetime | None = None,
     end: dt.datetime | None = None, overwrite: bool = False,

@@ -8,7 +8,7 @@ from spherecube.functions import fields, healpix
 from spherecube.functions.healpix import npix
 from spherecube.operators import combine, quality, stats, timeops
 from spherecube.operators import coarsen as co
-from spherecube.plans import workflows
+from spherecube.plans import presets, workflows
 from spherecube.queries import fixtures as fx
 from spherecube.queries.registry import query, rounded
 from spherecube.session import scratch_path
@@ -354,6 +354,28 @@ def q3(spark, sf_dir):
     return rounded(out.select("zoom", "time", "cell", F.col("value").cast("double").alias("value")), "value", digits=5)
 
 
+_CATALOG_SQL = f"""WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, time) AS time, cell, CAST(avg(value) AS FLOAT) AS ta, CAST(max(quality) AS FLOAT) AS pr FROM {fx.hp_events_sql(Z)} GROUP BY 1, 2),
+    n AS (SELECT time, dense_rank() OVER (ORDER BY time) - 1 AS i FROM (SELECT DISTINCT time FROM h)),
+    z4 AS (SELECT time, cell >> 2 AS cell, CAST(avg(ta) AS FLOAT) AS ta, CAST(avg(pr) AS FLOAT) AS pr FROM h JOIN n USING (time) WHERE i % 3 = 0 GROUP BY 1, 2),
+    z3 AS (SELECT time, cell >> 2 AS cell, CAST(avg(ta) AS FLOAT) AS ta, CAST(avg(pr) AS FLOAT) AS pr FROM z4 GROUP BY 1, 2)
+    SELECT 4 AS zoom, time, cell, round(CAST(ta AS DOUBLE), 4) AS ta, round(CAST(pr AS DOUBLE), 4) AS pr FROM z4
+    UNION ALL SELECT 3, time, cell, round(CAST(ta AS DOUBLE), 4), round(CAST(pr AS DOUBLE), 4) FROM z3"""
+
+
+@query("Q3_coarsen_catalog_source", _CATALOG_SQL)
+def q3_catalog(spark, sf_dir):
+    """One source of a stored catalog: variables by their model names, every third step, two levels."""
+    e = fx.hp_events(spark, sf_dir, Z).withColumn("time", F.window("time", "1 hour").start)
+    cube = e.groupBy("time", "cell").agg(F.avg("value").alias("t"), F.max("quality").alias("tp"), F.count("*").cast("double").alias("r"))
+    home, root = scratch_path(spark, "catalog"), scratch_path(spark, "levels")
+    stores.write_catalog(cube, home, "ifs", "1H", Z)
+    stores.write_catalog(cube.withColumn("t", F.lit(0.0)), home, "other", "1H", Z)
+    names = {old: presets.IFS_NAMES[old] for old in ("t", "tp")}
+    workflows.coarsen_catalog(spark, home, "ifs", "1H", Z, 3, root, names, subsample=3)
+    out = spark.read.parquet(root)
+    return rounded(out.select("zoom", "time", "cell", F.col("ta").cast("double").alias("ta"), F.col("pr").cast("double").alias("pr")), "ta", "pr", digits=4)
+
+
 @query(
     "Q5_month_folders",
     f"""SELECT CAST(year(time) AS INTEGER) AS year, CAST(month(time) AS INTEGER) AS month, count(*) AS n, min(time) AS first_time, max(time) AS last_time
