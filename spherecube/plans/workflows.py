@@ -119,9 +119,13 @@ def preset_steps(config: dict) -> tuple[list[Step], list[dict]]:
     return funcs, kwargs
 
 
-def open_source(spark: SparkSession, config: dict, start: dt.datetime, end: dt.datetime) -> DataFrame:
-    """Find and read the source files of a preset.
+def open_source(
+    spark: SparkSession, config: dict, start: dt.datetime, end: dt.datetime,
+    funcs: Step | list[Step] | None = None, kwargs: dict | list[dict] | None = None,
+) -> DataFrame:
+    """Find and read the source files of a preset, and run ``funcs``, which select rows, on what was read.
 
+    With several variables the selection comes before their merge.
     Give ``input_files`` (list, or dict of lists per variable) to skip discovery.
     """
     files = config.get("input_files")
@@ -144,14 +148,15 @@ def open_source(spark: SparkSession, config: dict, start: dt.datetime, end: dt.d
         for paths in files.values() if isinstance(files, dict) else [files]:
             if paths:
                 cubes.require_complete_files(spark, paths)
+    def selected(cube: DataFrame) -> DataFrame:
+        if config.get("clip_rows"):
+            cube = timeops.keep_period(cube, start, end)
+        return apply_steps(cube, funcs, kwargs)
+
     if isinstance(files, dict):
         keys = ["time", "src_idx"] + (["level"] if config.get("level_subset") else [])
-        cube = cubes.read_variables(spark, files, keys)
-    else:
-        cube = cubes.read_cube(spark, files)
-    if config.get("clip_rows"):
-        cube = timeops.keep_period(cube, start, end)
-    return cube
+        return cubes.read_variables(spark, files, keys, select=selected)
+    return selected(cubes.read_cube(spark, files))
 
 
 def process_to_cells(
@@ -169,9 +174,8 @@ def process_to_cells(
 ) -> DataFrame:
     """The full job: discover, read, select, average, remap, rename, write. Returns the store."""
     begin, finish = parse_date_value(start), parse_date_value(end, end_of_period=True)
-    cube = open_source(spark, config, begin, finish)
-    if funcs is None:
-        funcs, kwargs = preset_steps(config)
+    chosen, chosen_kwargs = preset_steps(config) if funcs is None else ([], [])
+    cube = open_source(spark, config, begin, finish, chosen or None, chosen_kwargs)
     weights = weights_for(points, zoom, config.get("grid_type", "auto"), weights_cache, config.get("force_recompute", False))
     require_fit(weights, points)
     if weights_cache is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spherecube.functions.healpix import npix
+from spherecube.sources import catalog
 
 # regular 10-degree grid that order keys are laid out on, one slice after the other
 NX, NY = 36, 18
@@ -20,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_one_file(rows: DataFrame, path: str) -> None:
+    """Write a table as one file of a given name, as data providers name theirs."""
+    spark = rows.sparkSession
+    made = f"{path}.made"
+    rows.coalesce(1).write.parquet(made)
+    name = spark.read.parquet(made).select("_metadata.file_path").first()[0]
+    system, place = catalog.file_system(spark, path)
+    system.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name), place)
+    catalog.remove_path(spark, made)
+
+
 # --- cell cubes ---------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from spherecube.functions import healpix
 from spherecube.operators import gather, grids, remap, stats, triangulation, variables, weights
 from spherecube.operators.timeops import keep_minute
-from spherecube.plans import workflows
+from spherecube.plans import presets, workflows
 from spherecube.queries import fixtures as fx
 from spherecube.queries.registry import query, rounded
 from spherecube.session import scratch_path
@@ -399,6 +399,24 @@ def q1(spark, sf_dir):
     return rounded(out, "precipitation", digits=3)
 
 
+@query(
+    "Q2_preset_job",
+    f"""WITH n AS (SELECT time, dense_rank() OVER (ORDER BY time) - 1 AS i FROM (SELECT DISTINCT time FROM {OBS}))
+    SELECT r.time AS time, r.cell AS cell, round(CAST(CAST(pr AS FLOAT) AS DOUBLE), 3) AS tas, round(CAST(CAST(lin AS FLOAT) AS DOUBLE), 3) AS ps
+    FROM {_REMAP_SQL} r JOIN n ON n.time = r.time WHERE i % 6 = 0""",
+)
+def q2(spark, sf_dir):
+    """A preset as it stands, two of its ten variables there: files found by their names, every third hour, remapped, renamed, stored."""
+    obs, points = fx.obs_orders(spark, sf_dir), fx.grid_orders(spark, sf_dir)
+    base = scratch_path(spark, "reanalysis")
+    for code, name, column in (("128_167_2t", "VAR_2T", "pr"), ("128_134_sp", "SP", "lin")):
+        rows = obs.select("time", "src_idx", F.col(column).alias(name))
+        fx.write_one_file(rows, f"{base}/202001/e5.oper.an.sfc.{code}.ll025sc.2020010100_2020013123.nc")
+    config = {**presets.ERA5_SURFACE, "input_base_dir": base}
+    store = workflows.process_to_cells(spark, "2020-01-01", "2020-01-31", Z, scratch_path(spark, "store"), points, config)
+    return rounded(store.select("time", "cell", F.col("tas").cast("double").alias("tas"), F.col("ps").cast("double").alias("ps")), "tas", "ps", digits=3)
+
+
 @query(
     "Q4_combine_and_merge",
     f"""SELECT coalesce(s.time, l.time) AS time, coalesce(s.cell, l.cell) AS cell, l.level, round(CAST(s.ps AS FLOAT), 1) AS ps, round(CAST(l.ta AS FLOAT), 3) AS ta

@@ -54,20 +54,21 @@ def list_files(spark: SparkSession, folders: list[str], glob: str = "*", recursi
     )
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder and what is in it, if it is there."""
-    system, place = _file_system(spark, path)
+    system, place = file_system(spark, path)
     system.delete(place, True)
 
 
 def touch(spark: SparkSession, path: str) -> None:
     """Leave an empty file, such as the marker of a finished write."""
-    system, place = _file_system(spark, path)
+    system, place = file_system(spark, path)
     system.create(place, True).close()
 
 

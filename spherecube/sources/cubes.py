@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,12 +108,18 @@ def merge_variables(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
 
 
 def read_variables(
-    spark: SparkSession, files: dict[str, list[str]], keys: list[str], combine: bool = True
+    spark: SparkSession, files: dict[str, list[str]], keys: list[str], combine: bool = True,
+    select: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Read one file list per variable and merge them."""
+    """Read one file list per variable and merge them.
+
+    ``select`` picks rows of each variable by itself, so that the merge shuffles only what is kept.
+    """
     if not combine:
         raise ValueError("several file lists given; pass combine=True to merge their variables")
     parts = {v: read_cube(spark, paths) if paths else None for v, paths in files.items()}
+    if select is not None:
+        parts = {v: part if part is None else select(part) for v, part in parts.items()}
     return merge_variables(parts, keys)
 
 
