@@ -26,6 +26,8 @@ from spherecube.llm.packing import Encoder
 
 #: up to this many linked id pairs (16 bytes each) are sent to every task; more are joined by shuffle
 PAIR_LIMIT = 2_000_000
+#: bytes of text a task takes apart at a time, at about 150 bytes of arrays for each
+CHUNK_BYTES = 1 << 20
 _SPACE = 0x20
 
 
@@ -247,14 +249,14 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
     latter adds that space itself. Group g holds the tokens ``a_ends[g - 1]`` to ``a_ends[g] - 1`` of one side and the like
     of the other. ``link_*`` are the distinct pairs of ids that end together, with how often they do so.
     Null and empty texts, and texts that a tokenizer changes, have no tokens: counts are 0, lists and the digest empty.
-    Repeated rows come as often as they are there. A task holds about 2 MB of text at a time, or one text if that is longer.
+    Repeated rows come as often as they are there. A task takes about 1 MB of text at a time, or one text if that is longer.
     """
     spaced = F.when(F.length("text") > 0, F.concat(F.lit(" "), F.col("text"))).otherwise("")
     rows = id_and_text(docs, id_col, text_col).withColumn("text", spaced)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, other = _encoder(ByteEncoder, a_path), _encoder(PieceEncoder, b_path)
-        for part, texts in tx.chunks(batches, "text"):
+        for part, texts in tx.chunks(batches, "text", CHUNK_BYTES):
             yield _aligned(part, texts, one, other, with_groups)
 
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
