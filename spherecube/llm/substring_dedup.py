@@ -6,7 +6,9 @@ windows for every ``width`` shingles. Windows of different documents with the sa
 which enough functions agree are fetched and verified on their whole shingle sets.
 
 A minimum that many documents share first links each of them with the one of the smallest id. Windows whose minimum is in
-no passage verified that way are then joined with all other holders of smaller id.
+no passage verified that way then meet all other holders of smaller id: equal stretches around the minimum are settled by
+one grouping, and of the different ones that are left each is sent once, cut to a few hundred shingles, and compared in
+blocks inside tasks. Texts and pairs are not shuffled for it.
 """
 
 from __future__ import annotations
@@ -15,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spherecube.llm import texts as tx
-from spherecube.llm.common import id_and_text, schema_with, small_side, stored
+from spherecube.llm.common import BROADCAST_ROWS, id_and_text, schema_with, small_side, stored
 
 WIDTH = 50
 SHINGLE = 5
@@ -30,6 +33,12 @@ SIMILARITY = 0.8
 MAX_GAP = 2 * SHINGLE + 2
 #: pairs of equal shingles of two texts that are chained at a time
 PAIRS = 200_000
+#: functions whose minima bring the rest together, without a second one having to agree: 1 - 0.2 ** 3 = 0.992
+DIRECT = 3
+#: stretches on either side of a minimum that are compared for it, in shortest passages
+REACH = 2
+#: stretches of one minimum that are compared in a task
+BLOCK = 2048
 
 
 def nearest_smaller(keys: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,17 +96,20 @@ def compact_windows(value: np.ndarray, row: np.ndarray, span: int) -> tuple[np.n
 
 
 def windows(docs: DataFrame, width: int, shingle: int, functions: int) -> DataFrame:
-    """key (function and shingle), doc_id, low, high, at: compact windows as ranges of shingles of their document, and the minimum's place."""
+    """key (function and shingle), doc_id, low, high, at, same: compact windows as ranges of shingles of their document, and the minimum's place.
+
+    ``same`` is equal where the shingles of the window within reach of the minimum are.
+    """
     span = width - shingle + 1
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(20231105)
-        flips = random.integers(0, 1 << 63, functions, dtype=np.uint64)
+        flips = _flips(functions)
         for part, texts in tx.chunks(batches, "text"):
             words = texts.words(tx.SPACED, lower=True)
             position, value = words.grams(shingle)
             row = words.row[position]
             start = words.bounds[row]
+            total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(tx.mix(value ^ np.uint64(0xA24BAED4963EE407)), dtype=np.uint64)])
             for f in range(functions):
                 mapped = tx.mix(value ^ flips[f])
                 at, left, right = compact_windows(mapped, row, span)
@@ -109,14 +121,23 @@ def windows(docs: DataFrame, width: int, shingle: int, functions: int) -> DataFr
                     continue
                 high = np.maximum.reduceat(right, begin)
                 at, low = at[begin], left[begin]
-                key = (tx.signed(mapped[at]) & ~np.int64(15)) | np.int64(f)
+                same = total[np.minimum(high, at + REACH * span) + 1] - total[np.maximum(low, at - REACH * span)]
+                places = [pa.array((position[x] - start[at]).astype(np.int32)) for x in (low, high, at)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), part.column("doc_id").take(pa.array(row[at])), pa.array((position[low] - start[at]).astype(np.int32)), pa.array((position[high] - start[at]).astype(np.int32)), pa.array((position[at] - start[at]).astype(np.int32))],
-                    names=["key", "doc_id", "low", "high", "at"],
+                    [pa.array(_key(mapped[at], f)), part.column("doc_id").take(pa.array(row[at])), *places, pa.array(tx.signed(same))],
+                    names=["key", "doc_id", "low", "high", "at", "same"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(compute, f"key bigint, doc_id {kind}, low int, high int, at int")
+    return docs.mapInArrow(compute, f"key bigint, doc_id {kind}, low int, high int, at int, same bigint")
+
+
+def _flips(functions: int) -> np.ndarray:
+    return np.random.default_rng(20231105).integers(0, 1 << 63, functions, dtype=np.uint64)
+
+
+def _key(mapped: np.ndarray, f: int | np.ndarray) -> np.ndarray:
+    return (tx.signed(mapped) & ~np.int64(15)) | np.int64(f)
 
 
 def agreed_ranges(low: np.ndarray, high: np.ndarray, function: np.ndarray, agree: int) -> list[tuple[int, int]]:
@@ -202,13 +223,14 @@ def _chained(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) ->
     return one_way(x0, x1, y0, y1) + one_way(-x1, -x0, -y1, -y0) - (x1 - x0 + 1)
 
 
-def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]], span: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
+def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]], span: int, similarity: float,
+             order: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
     """Verified passages: (first, last, their first, their last, Jaccard similarity), in shingles, ends included.
 
     Shingles with a counterpart are chained over short gaps. A chain is a passage if its shingle set and that of the
-    stretch it maps to are similar enough; otherwise it is cut where it jumps most, and both parts are tried.
+    stretch it maps to are similar enough; otherwise it is cut where it jumps most, and both parts are tried. ``order`` sorts ``theirs``.
     """
-    order = np.argsort(theirs, kind="stable")
+    order = np.argsort(theirs, kind="stable") if order is None else order
     ordered = theirs[order]
     found = []
     for low, high in ranges:
@@ -264,7 +286,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     of anything but ASCII white space, A-Z lower-cased; similarity is that of the sets of word shingles. Null ids, null,
     empty and shorter texts give no rows. Rows that repeat a doc_id are taken as one document's alternatives and are
     not compared with one another; nor are passages within one document. A repeat among many documents is reported once
-    for each of them but the first.
+    for each of them but the first; where parts of it meet different documents first, its rows may overlap.
     """
     docs = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
     span = width - shingle + 1
@@ -277,15 +299,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     # what no passage covers meets every holder of its key, the lead too: two keys of a pair may have had different leads
     unsettled = stored(_unsettled(shared, verified, shingle), "unsettled")
-    holders = shared.join(small_side(stored(unsettled.select("key").distinct(), "unsettled-keys")), "key", "left_semi").select("key", F.col("doc_id").alias("lead")).distinct()
-    more = _agreeing(unsettled.join(holders, "key").filter("doc_id > lead"), agree)
-    more = more.join(pairs.select("doc_id", "lead", F.size("ranges").alias("before")), ["doc_id", "lead"], "left").filter("before is null or size(ranges) > before").drop("before")
-    rest = _verified(docs, more, span, shingle, agree, similarity)
-    # a passage that several holders have is reported with the first
-    where = ["doc_id", "start", "end"]
-    rest = rest.join(verified.select(*where).distinct(), where, "left_anti").groupBy(*where).agg(
-        F.min(F.struct("source_doc_id", "source_start", "source_end", "similarity")).alias("source")).select(*where, "source.*")
-    return verified.union(rest)
+    return verified.union(_among_holders(docs, shared, unsettled, span, shingle, similarity))
 
 
 def _agreeing(hits: DataFrame, agree: int) -> DataFrame:
@@ -298,31 +312,245 @@ def _agreeing(hits: DataFrame, agree: int) -> DataFrame:
 
 
 def _unsettled(shared: DataFrame, verified: DataFrame, shingle: int) -> DataFrame:
-    """key, doc_id, low, high of the windows whose minimum lies in no verified passage of their document."""
+    """key, doc_id, at, same of the windows whose minimum lies in no verified passage of their document."""
     spans = stored(verified.groupBy("doc_id").agg(F.collect_set(F.struct("start", (F.col("end") - shingle).alias("last"))).alias("spans")), "settled")
     joined = shared.filter("doc_id != lead").join(small_side(spans, 100_000), "doc_id", "left")
     covered = F.exists("spans", lambda p: (p["start"] <= F.col("at")) & (F.col("at") <= p["last"]))
-    return joined.filter(F.col("spans").isNull() | ~covered).select("key", "doc_id", "low", "high")
+    return joined.filter(F.col("spans").isNull() | ~covered).select("key", "doc_id", "at", "same")
+
+
+def _among_holders(docs: DataFrame, shared: DataFrame, unsettled: DataFrame, span: int, shingle: int, similarity: float) -> DataFrame:
+    """Passages around the minima of ``unsettled`` windows, each with the first holder of its key that has it."""
+    reach = REACH * span
+    unsettled = unsettled.filter(F.col("key").bitwiseAND(15) < DIRECT)
+    keys = stored(unsettled.select("key").distinct(), "unsettled-keys")
+    place = F.struct("doc_id", "at", F.greatest("low", F.col("at") - reach).alias("start"), F.least("high", F.col("at") + reach).alias("last"))
+    held = shared.join(small_side(keys), "key", "left_semi").select("key", "same", place.alias("p"))
+    # equal stretches: the first holder stands for all
+    first = stored(held.groupBy("key", "same").agg(F.min("p").alias("p")), "stretches")
+    equal = unsettled.join(first, ["key", "same"]).filter("doc_id > p.doc_id")
+    moved = F.col("at") - F.col("p.at")
+    equal = equal.select("doc_id", (F.col("p.start") + moved).cast("bigint").alias("start"), (F.col("p.last") + moved + shingle).cast("bigint").alias("end"),
+                         F.col("p.doc_id").alias("source_doc_id"), F.col("p.start").cast("bigint").alias("source_start"),
+                         (F.col("p.last") + shingle).cast("bigint").alias("source_end"), F.lit(1.0).alias("similarity"))
+
+    # different stretches of a key: those of unsettled windows look for one that is similar
+    opened = unsettled.select("key", "same", "doc_id", "at").distinct().withColumn("open", F.lit(True))
+    marked = first.select("key", "same", "p.*").join(opened, ["key", "same", "doc_id", "at"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    sizes = marked.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any")).filter("n > 1 and any")
+    sizes = stored(sizes.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "stretch-keys")
+    wanted = marked.join(small_side(sizes), "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "same"), "blocks").cast("int"))
+    stretches = stored(_stretches(docs, wanted.select("doc_id", "key", "at", "start", "last", "open", "block", "blocks"), shingle), "stretch-shingles")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = stretches.withColumn("other", other).select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "at", "start", "open", "block", "shingles")
+    cells = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id", "at")
+    kind = dict(docs.dtypes)["doc_id"]
+    schema = f"key bigint, at int, doc_id {kind}, start bigint, end bigint, source_doc_id {kind}, source_start bigint, source_end bigint, similarity double"
+    similar = cells.mapInArrow(_meeting(span, shingle, similarity), schema)
+    source = F.struct("source_doc_id", "source_start", "source_end", "start", "end", "similarity")
+    similar = similar.groupBy("key", "doc_id", "at").agg(F.min(source).alias("s")).select("doc_id", "s.*").select(*equal.columns)
+    return _joined(equal.union(similar).distinct())
+
+
+def _joined(found: DataFrame) -> DataFrame:
+    """Overlapping passages with the same source, moved alike, as one; its similarity is the least of theirs."""
+    pair = Window.partitionBy("doc_id", "source_doc_id").orderBy("start", "end", "source_start", "source_end")
+    before = pair.rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.max("end").over(before).isNull() | (F.col("start") >= F.max("end").over(before)) | ~F.col("source_start").between(
+        F.lag("source_start").over(pair), F.lag("source_end").over(pair))
+    island = found.withColumn("fresh", fresh.cast("int")).withColumn("island", F.sum("fresh").over(pair.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = island.groupBy("doc_id", "source_doc_id", "island").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("source_start").alias("source_start"),
+        F.max("source_end").alias("source_end"), F.min("similarity").alias("similarity"))
+    return merged.select("doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "similarity")
+
+
+def _stretches(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """The rows of ``wanted`` with the hashes of their shingles, 32 bits of each, taken again from the texts."""
+    fields = ["key", "at", "start", "last", "open", "block", "blocks"]
+    wanted = stored(wanted, "wanted-stretches")
+    listed = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
+    # counted by stretches, not by documents: they bound the bytes
+    listed = F.broadcast(listed) if wanted.count() <= BROADCAST_ROWS // 4 else listed
+    flips = _flips(DIRECT)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in tx.chunks(batches, "text"):
+            words = texts.words(tx.SPACED, lower=True)
+            position, value = words.grams(shingle)
+            bounds = np.searchsorted(words.row[position], np.arange(texts.n + 1))
+            lists = part.column("wanted")
+            row = np.repeat(np.arange(texts.n), np.asarray(pc.list_value_length(lists)))
+            asked = lists.flatten()
+            key, at, start, last = (np.asarray(asked.field(c)) for c in fields[:4])
+            # a doc_id may stand for several texts; a stretch belongs to the one that has its minimum there
+            here = np.flatnonzero(last < (bounds[row + 1] - bounds[row]))
+            place = value[bounds[row[here]] + at[here]]
+            f = key[here] & 15
+            here = here[_key(tx.mix(place ^ flips[f]), f) == key[here]]
+            begin, size = bounds[row[here]] + start[here], (last - start + 1)[here].astype(np.int64)
+            ends = np.cumsum(size)
+            flat = np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+            short = (value[flat] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(short))
+            take = pa.array(here)
+            columns = [part.column("doc_id").take(pa.array(row[here])), *(asked.field(c).take(take) for c in fields if c != "last"), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(c for c in fields if c != "last"), "shingles"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    schema = f"doc_id {kind}, key bigint, at int, start int, open boolean, block int, blocks int, shingles array<int>"
+    return docs.join(listed, "doc_id").mapInArrow(compute, schema)
+
+
+def _meeting(span: int, shingle: int, similarity: float):
+    """For sorted rows of cells: the passages around the minima of open rows, each with the first row of a smaller doc_id that has it."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Tables of whole cells."""
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = [np.asarray(batch.column(c)) for c in ("key", "i", "j")]
+            change = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in ids])) + 1
+            head = waiting and any(w.column(c)[w.num_rows - 1].as_py() != batch.column(c)[0].as_py() for w in waiting[-1:] for c in ("key", "i", "j"))
+            if head:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            if len(change):
+                cut = int(change[-1])
+                yield pa.Table.from_batches([*waiting, batch.slice(0, cut)])
+                waiting = []
+                batch = batch.slice(cut)
+            waiting.append(batch)
+        if waiting:
+            yield pa.Table.from_batches(waiting)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in cells(batches):
+            batch = table.combine_chunks().to_batches()[0]
+            ids = batch.column("doc_id")
+            key, i, j, at, start, block = (np.asarray(batch.column(c)) for c in ("key", "i", "j", "at", "start", "block"))
+            opens = np.asarray(batch.column("open").to_numpy(zero_copy_only=False))
+            lists = batch.column("shingles")
+            size = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+            flat = np.asarray(lists.flatten())
+            offset = np.concatenate([[0], np.cumsum(size)])
+            edge = np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+            cell = np.cumsum(edge) - 1
+            same_id = np.asarray(pc.equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)).astype(bool)
+            document = np.cumsum(edge | np.concatenate([[True], ~same_id]))
+            bounds = np.append(np.flatnonzero(edge), len(key))
+            rows, sources, spans, scores = [], [], [], []
+            salted = (np.repeat(cell, size).astype(np.uint64) << np.uint64(32)) | flat.view(np.uint32)
+            known, code = np.unique(salted, return_inverse=True)
+            flag = np.zeros(len(known), dtype=np.int32)
+            for a in np.flatnonzero(opens).tolist():
+                low = int(bounds[cell[a]])
+                high = low + int(np.searchsorted(document[low : a + 1], document[a]))
+                others = np.arange(low, high)
+                if i[a] != j[a]:
+                    others = others[block[others] != block[a]]
+                hit = _first_similar(a, others, code, flat, offset, flag, int(at[a] - start[a]), span, similarity)
+                if hit is not None:
+                    b, (first, last, lo, hi, score) = hit
+                    rows.append(a)
+                    sources.append(b)
+                    spans.append((start[a] + first, start[a] + last + shingle, start[b] + lo, start[b] + hi + shingle))
+                    scores.append(score)
+            take, source = pa.array(rows, pa.int64()), pa.array(sources, pa.int64())
+            spans = np.array(spans, dtype=np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(take), batch.column("at").take(take), ids.take(take), pa.array(spans[:, 0]), pa.array(spans[:, 1]), ids.take(source), pa.array(spans[:, 2]), pa.array(spans[:, 3]), pa.array(scores, pa.float64())],
+                names=["key", "at", "doc_id", "start", "end", "source_doc_id", "source_start", "source_end", "similarity"],
+            )
+
+    return compute
+
+
+def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarray, offset: np.ndarray, flag: np.ndarray, minimum: int,
+                   span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
+    """The first of the rows ``others`` with a verified passage around the minimum of row ``a``, and that passage.
+
+    Rows are ruled out, some at a time, by the number of their shingles that ``a`` has too, and by having no run of
+    ``span`` places in ``a`` around the minimum, or longer, of which enough are theirs. The rest are verified one by one.
+    """
+    own = code[offset[a] : offset[a + 1]]
+    distinct, back = np.unique(own, return_inverse=True)
+    # repeated shingles count once in a set and often in a run, hence some slack
+    share = 0.9 * similarity
+    done, step = 0, 64
+    while done < len(others):
+        some = others[done : done + step]
+        done, step = done + step, 4 * step
+        sizes = (offset[some + 1] - offset[some])
+        ends = np.cumsum(sizes)
+        places = np.repeat(offset[some] - ends + sizes, sizes) + np.arange(ends[-1])
+        flag[distinct] = np.arange(1, len(distinct) + 1)
+        theirs = flag[code[places]]
+        flag[distinct] = 0
+        owner = np.repeat(np.arange(len(some)), sizes)[theirs > 0]
+        grid = np.zeros((len(some), len(distinct)), dtype=bool)
+        grid[owner, theirs[theirs > 0] - 1] = True
+        near = np.flatnonzero(grid.sum(axis=1) >= min(share * span, len(distinct) * share))
+        if not len(near):
+            continue
+        score = np.cumsum(grid[near][:, back] - share, axis=1)
+        score = np.concatenate([np.zeros((len(near), 1)), score], axis=1)
+        # best start at or before the minimum for each end behind it, at least ``span`` places apart
+        best = np.minimum.accumulate(score[:, : minimum + 1], axis=1)
+        stop = np.arange(max(span, minimum + 1), len(own) + 1)
+        good = (score[:, stop] - best[:, np.minimum(stop - span, minimum)] >= -1e-9).any(axis=1)
+        mine = flat[offset[a] : offset[a + 1]]
+        for b in some[near[good]].tolist():
+            for p in passages(mine, flat[offset[b] : offset[b + 1]], [(0, len(mine) - 1)], span, similarity):
+                if p[0] <= minimum <= p[1]:
+                    return b, p
+    return None
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, agree: int, similarity: float) -> DataFrame:
     """The passages of ``pairs`` that hold on whole shingle sets."""
     ids = stored(pairs.select("doc_id").union(pairs.select("lead")).distinct(), "pair-ids")
     arrays = stored(_shingles(docs.join(small_side(ids), "doc_id", "left_semi"), shingle).filter(F.size("shingles") >= span), "shingles")
-    both = pairs.join(arrays.withColumnRenamed("shingles", "mine"), "doc_id").join(
-        arrays.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("theirs")), "lead")
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each text only the ranges that agree go on to its partner."""
+        for batch in batches:
+            lows, parts, ends = [], [], [0]
+            mine, ranges = batch.column("mine"), batch.column("ranges")
+            for k in range(batch.num_rows):
+                shingles, of = np.asarray(mine[k].values), ranges[k].values
+                agreed = agreed_ranges(*(np.asarray(of.field(j)) for j in (0, 1, 2)), agree)
+                agreed = [(low, high) for low, high in agreed if high - low + 1 >= span and low < len(shingles)]
+                lows += [low for low, _ in agreed]
+                parts += [shingles[low : high + 1] for low, high in agreed]
+                ends.append(len(lows))
+            sizes = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            inner = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
+            outer = pa.array(np.array(ends, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("lead"), pa.ListArray.from_arrays(outer, pa.array(lows, pa.int32())), pa.ListArray.from_arrays(outer, inner)],
+                names=["doc_id", "lead", "lows", "mine"],
+            )
+
+    own = pairs.join(arrays.withColumnRenamed("shingles", "mine"), "doc_id").select("doc_id", "lead", "mine", "ranges")
+    own = own.mapInArrow(cut, f"doc_id {kind}, lead {kind}, lows array<int>, mine array<array<int>>").filter(F.size("lows") > 0)
+    both = own.join(arrays.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("theirs")), "lead")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, out = [], []
-            columns = [batch.column(c) for c in ("mine", "theirs", "ranges")]
             for k in range(batch.num_rows):
-                mine, theirs = (np.asarray(columns[j][k].values) for j in (0, 1))
-                ranges = columns[2][k].values
-                low, high, f = (np.asarray(ranges.field(j)) for j in (0, 1, 2))
-                for p in passages(mine, theirs, agreed_ranges(low, high, f, agree), span, similarity):
-                    rows.append(k)
-                    out.append(p)
+                theirs = np.asarray(batch.column("theirs")[k].values)
+                order = np.argsort(theirs, kind="stable")
+                for low, part in zip(batch.column("lows")[k].as_py(), batch.column("mine")[k].values, strict=True):
+                    mine = np.asarray(part.values)
+                    for first, last, *rest in passages(mine, theirs, [(0, len(mine) - 1)], span, similarity, order):
+                        rows.append(k)
+                        out.append((first + low, last + low, *rest))
             take = pa.array(rows, pa.int64())
             spans = np.array([p[:4] for p in out], dtype=np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
@@ -332,7 +560,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, agree:
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, start bigint, end bigint, source_doc_id {kind}, source_start bigint, source_end bigint, similarity double"
-    return both.select("doc_id", "lead", "mine", "theirs", "ranges").mapInArrow(verify, schema).distinct()
+    return both.select("doc_id", "lead", "lows", "mine", "theirs").mapInArrow(verify, schema).distinct()
 
 
 def without_passages(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
