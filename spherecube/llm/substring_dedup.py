@@ -13,6 +13,7 @@ blocks inside tasks. Texts and pairs are not shuffled for it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ AGREE = 2
 SIMILARITY = 0.8
 #: shingles without counterpart that a passage may have in a row, about two changed words
 MAX_GAP = 2 * SHINGLE + 2
+#: places that are looked up together when runs are chained, twice the gap at least
+BIN = 32
 #: pairs of equal shingles of two texts that are chained at a time
 PAIRS = 200_000
 #: functions whose minima bring the rest together, without a second one having to agree: 1 - 0.2 ** 3 = 0.992
@@ -210,19 +213,48 @@ def _chained(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) ->
     """Shingles on the longest chain through each run (x0..x1 in one text, y0..y1 in the other, ends included)."""
 
     def one_way(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
-        score = x1 - x0 + 1
-        alive = np.zeros(0, dtype=np.int64)
+        score = (x1 - x0 + 1).tolist()
+        a0, a1, b0, b1 = (v.tolist() for v in (x0, x1, y0, y1))
+        # runs by where they end in the other text; two neighbouring bins hold all that a run can follow
+        ended: dict[int, list[int]] = {}
         for k in np.lexsort((y0, x0)).tolist():
-            alive = alive[x1[alive] >= x0[k] - MAX_GAP - 1]
-            fits = alive[(x0[alive] < x0[k]) & (x1[alive] < x1[k]) & (y0[alive] < y0[k]) & (y1[alive] < y1[k]) & (np.abs(y0[k] - y1[alive] - 1) <= MAX_GAP)]
-            if len(fits):
-                score[k] = (score[fits] + x1[k] - np.maximum(x1[fits], x0[k] - 1)).max()
-            alive = np.append(alive, k)
-        return score
+            from_x, to_x, from_y, to_y = a0[k], a1[k], b0[k], b1[k]
+            best = score[k]
+            for place in {(from_y - MAX_GAP - 1) // BIN, (from_y + MAX_GAP - 1) // BIN}:
+                alive = ended[place] = [m for m in ended.get(place, ()) if a1[m] >= from_x - MAX_GAP - 1]
+                for m in alive:
+                    if -MAX_GAP <= from_y - b1[m] - 1 <= MAX_GAP and a0[m] < from_x and a1[m] < to_x and b0[m] < from_y and b1[m] < to_y:
+                        best = max(best, score[m] + to_x - max(a1[m], from_x - 1))
+            score[k] = best
+            ended.setdefault(to_y // BIN, []).append(k)
+        return np.array(score)
 
     return one_way(x0, x1, y0, y1) + one_way(-x1, -x0, -y1, -y0) - (x1 - x0 + 1)
 
 
+def may_hold(member: np.ndarray, repeats: int, span: int, similarity: float, through: int | None = None) -> np.ndarray:
+    """Which rows of ``member`` (shingles of a text that another one has) leave room for a passage, through a given place if any.
+
+    Of a passage's different shingles the wanted share is in the other text. A shingle stands at most ``repeats`` times in the
+    row, so what the other text lacks counts for a part of that at least: no row that has a passage is ruled out.
+    """
+    return _best_score(member, 1 - similarity, similarity / repeats, span, through) >= -1e-9
+
+
+def _best_score(member: np.ndarray, gain: float, loss: float, span: int, through: int | None = None) -> np.ndarray:
+    """Highest sum over ``span`` places or more of each row (those through a given place), of gains for members and losses for others."""
+    n = member.shape[1]
+    if n < span:
+        return np.full(len(member), -np.inf)
+    score = np.zeros((len(member), n + 1))
+    np.cumsum(np.where(member, gain, -loss), axis=1, out=score[:, 1:])
+    if through is None:
+        return (score[:, span:] - np.minimum.accumulate(score[:, : n + 1 - span], axis=1)).max(axis=1)
+    best = np.minimum.accumulate(score[:, : through + 1], axis=1)
+    stop = np.arange(max(span, through + 1), n + 1)
+    return (score[:, stop] - best[:, np.minimum(stop - span, through)]).max(axis=1)
+
+
 def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]], span: int, similarity: float,
              order: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
     """Verified passages: (first, last, their first, their last, Jaccard similarity), in shingles, ends included.
@@ -234,7 +266,13 @@ def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]]
     ordered = theirs[order]
     found = []
     for low, high in ranges:
-        here, there = counterparts(mine[low : high + 1], ordered, order)
+        part = mine[low : high + 1]
+        near = np.minimum(np.searchsorted(ordered, part), max(len(ordered) - 1, 0))
+        member = ordered[near] == part if len(ordered) else np.zeros(len(part), dtype=bool)
+        repeats = np.unique(part, return_counts=True)[1].max(initial=1)
+        if not may_hold(member[None], repeats, span, similarity)[0]:
+            continue
+        here, there = counterparts(part, ordered, order)
         if len(here) == 0:
             continue
         here = here + low
@@ -340,7 +378,7 @@ def _among_holders(docs: DataFrame, shared: DataFrame, unsettled: DataFrame, spa
     sizes = marked.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any")).filter("n > 1 and any")
     sizes = stored(sizes.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "stretch-keys")
     wanted = marked.join(small_side(sizes), "key").withColumn("block", F.pmod(F.xxhash64("doc_id", "same"), "blocks").cast("int"))
-    stretches = stored(_stretches(docs, wanted.select("doc_id", "key", "at", "start", "last", "open", "block", "blocks"), shingle), "stretch-shingles")
+    stretches = _stretches(docs, wanted.select("doc_id", "key", "at", "start", "last", "open", "block", "blocks"), shingle)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = stretches.withColumn("other", other).select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "at", "start", "open", "block", "shingles")
@@ -372,7 +410,7 @@ def _stretches(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     wanted = stored(wanted, "wanted-stretches")
     listed = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
     # counted by stretches, not by documents: they bound the bytes
-    listed = F.broadcast(listed) if wanted.count() <= BROADCAST_ROWS // 4 else listed
+    listed = F.broadcast(listed) if wanted.count() <= BROADCAST_ROWS else listed
     flips = _flips(DIRECT)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,15 +482,36 @@ def _meeting(span: int, shingle: int, similarity: float):
             bounds = np.append(np.flatnonzero(edge), len(key))
             rows, sources, spans, scores = [], [], [], []
             salted = (np.repeat(cell, size).astype(np.uint64) << np.uint64(32)) | flat.view(np.uint32)
-            known, code = np.unique(salted, return_inverse=True)
+            known, code, times = np.unique(salted, return_inverse=True, return_counts=True)
+            elsewhere = (times > 1)[code]
+            order = np.argsort(code, kind="stable")
+            holder = np.repeat(np.arange(len(size)), size)[order]
+            # how often a row has its commonest shingle
+            most = np.ones(len(size), dtype=np.int64)
+            opening = np.flatnonzero(np.concatenate([[True], (np.diff(code[order]) != 0) | (np.diff(holder) != 0)]))
+            np.maximum.at(most, holder[opening], np.diff(np.append(opening, len(order))))
+            posted = np.concatenate([[0], np.cumsum(times)])
             flag = np.zeros(len(known), dtype=np.int32)
             for a in np.flatnonzero(opens).tolist():
                 low = int(bounds[cell[a]])
                 high = low + int(np.searchsorted(document[low : a + 1], document[a]))
-                others = np.arange(low, high)
+                # shingles that no row of the cell has besides can't be shared
+                own = slice(offset[a], offset[a + 1])
+                if high == low or np.count_nonzero(elsewhere[own]) == 0:
+                    continue
+                if not may_hold(elsewhere[own][None], int(most[a]), span, similarity, int(at[a] - start[a]))[0]:
+                    continue
+                # a partner shares so many that it has one of the rarest, all but one fewer than those
+                distinct = np.unique(code[own][elsewhere[own]])
+                least = max(1, math.ceil(similarity * span / int(most[a]) - 1e-9))
+                rare = distinct[np.argsort(times[distinct], kind="stable")][: max(0, len(distinct) - least + 1)]
+                if not len(rare):
+                    continue
+                others = np.unique(np.concatenate([holder[posted[c] : posted[c + 1]] for c in rare.tolist()]))
+                others = others[(others >= low) & (others < high)]
                 if i[a] != j[a]:
                     others = others[block[others] != block[a]]
-                hit = _first_similar(a, others, code, flat, offset, flag, int(at[a] - start[a]), span, similarity)
+                hit = _first_similar(a, others, code, flat, offset, flag, most, int(at[a] - start[a]), span, similarity)
                 if hit is not None:
                     b, (first, last, lo, hi, score) = hit
                     rows.append(a)
@@ -469,41 +528,42 @@ def _meeting(span: int, shingle: int, similarity: float):
     return compute
 
 
-def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarray, offset: np.ndarray, flag: np.ndarray, minimum: int,
-                   span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
+def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarray, offset: np.ndarray, flag: np.ndarray, most: np.ndarray,
+                   minimum: int, span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
     """The first of the rows ``others`` with a verified passage around the minimum of row ``a``, and that passage.
 
-    Rows are ruled out, some at a time, by the number of their shingles that ``a`` has too, and by having no run of
-    ``span`` places in ``a`` around the minimum, or longer, of which enough are theirs. The rest are verified one by one.
+    Rows are ruled out, some at a time, by the number of their shingles that ``a`` has too and by :func:`may_hold`, then one by
+    one by what both sides lack: (1 - s) shared >= s (own + theirs), halved between the sides. The rest are verified.
     """
     own = code[offset[a] : offset[a + 1]]
-    distinct, back = np.unique(own, return_inverse=True)
-    # repeated shingles count once in a set and often in a run, hence some slack
-    share = 0.9 * similarity
+    distinct, back, times = np.unique(own, return_inverse=True, return_counts=True)
+    repeats = int(times.max())
+    least = max(1, math.ceil(similarity * span / repeats - 1e-9))
     done, step = 0, 64
     while done < len(others):
         some = others[done : done + step]
         done, step = done + step, 4 * step
-        sizes = (offset[some + 1] - offset[some])
+        sizes = offset[some + 1] - offset[some]
         ends = np.cumsum(sizes)
         places = np.repeat(offset[some] - ends + sizes, sizes) + np.arange(ends[-1])
         flag[distinct] = np.arange(1, len(distinct) + 1)
         theirs = flag[code[places]]
         flag[distinct] = 0
-        owner = np.repeat(np.arange(len(some)), sizes)[theirs > 0]
+        met = np.flatnonzero(theirs)
         grid = np.zeros((len(some), len(distinct)), dtype=bool)
-        grid[owner, theirs[theirs > 0] - 1] = True
-        near = np.flatnonzero(grid.sum(axis=1) >= min(share * span, len(distinct) * share))
+        grid[np.repeat(np.arange(len(some)), sizes)[met], theirs[met] - 1] = True
+        near = np.flatnonzero(grid.sum(axis=1) >= similarity * span / repeats - 1e-9)
         if not len(near):
             continue
-        score = np.cumsum(grid[near][:, back] - share, axis=1)
-        score = np.concatenate([np.zeros((len(near), 1)), score], axis=1)
-        # best start at or before the minimum for each end behind it, at least ``span`` places apart
-        best = np.minimum.accumulate(score[:, : minimum + 1], axis=1)
-        stop = np.arange(max(span, minimum + 1), len(own) + 1)
-        good = (score[:, stop] - best[:, np.minimum(stop - span, minimum)] >= -1e-9).any(axis=1)
+        near = near[may_hold(grid[near][:, back], repeats, span, similarity, minimum)]
+        half = (1 - similarity) / 2
+        ours = _best_score(grid[near][:, back], half, similarity / repeats, span, minimum) if len(near) else []
         mine = flat[offset[a] : offset[a + 1]]
-        for b in some[near[good]].tolist():
+        for k, so_far in zip(near.tolist(), ours, strict=True):
+            b = int(some[k])
+            there = theirs[ends[k] - sizes[k] : ends[k]] > 0
+            if so_far + _best_score(there[None], half, similarity / int(most[b]), least)[0] < -1e-9:
+                continue
             for p in passages(mine, flat[offset[b] : offset[b + 1]], [(0, len(mine) - 1)], span, similarity):
                 if p[0] <= minimum <= p[1]:
                     return b, p
@@ -512,40 +572,53 @@ def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarra
 
 def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, agree: int, similarity: float) -> DataFrame:
     """The passages of ``pairs`` that hold on whole shingle sets."""
-    ids = stored(pairs.select("doc_id").union(pairs.select("lead")).distinct(), "pair-ids")
-    arrays = stored(_shingles(docs.join(small_side(ids), "doc_id", "left_semi"), shingle).filter(F.size("shingles") >= span), "shingles")
     kind = dict(docs.dtypes)["doc_id"]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each text only the ranges that agree go on to its partner."""
-        for batch in batches:
-            lows, parts, ends = [], [], [0]
-            mine, ranges = batch.column("mine"), batch.column("ranges")
-            for k in range(batch.num_rows):
-                shingles, of = np.asarray(mine[k].values), ranges[k].values
-                agreed = agreed_ranges(*(np.asarray(of.field(j)) for j in (0, 1, 2)), agree)
-                agreed = [(low, high) for low, high in agreed if high - low + 1 >= span and low < len(shingles)]
-                lows += [low for low, _ in agreed]
-                parts += [shingles[low : high + 1] for low, high in agreed]
-                ends.append(len(lows))
+    leads = stored(pairs.select(F.col("lead").alias("doc_id")).distinct(), "leads")
+    arrays = _shingles(docs.join(small_side(leads), "doc_id", "left_semi"), shingle).filter(F.size("shingles") >= span)
+    listed = pairs.groupBy("doc_id").agg(F.collect_list(F.struct("lead", "ranges")).alias("pairs"))
+    # counted by ranges, not by documents: they bound the bytes
+    ranges = pairs.agg(F.sum(F.size("ranges"))).first()[0] or 0
+    listed = F.broadcast(listed) if ranges <= BROADCAST_ROWS else listed
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each text the ranges that agree with a partner, once for each of these."""
+        for part, texts in tx.chunks(batches, "text"):
+            words = texts.words(tx.SPACED, lower=True)
+            position, value = words.grams(shingle)
+            value = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            bounds = np.searchsorted(words.row[position], np.arange(texts.n + 1))
+            lists = part.column("pairs")
+            row = np.repeat(np.arange(texts.n), np.asarray(pc.list_value_length(lists)))
+            asked = lists.flatten()
+            of, rows, lows, parts, ends = asked.field("ranges"), [], [], [], [0]
+            for k, r in enumerate(row.tolist()):
+                agreed = agreed_ranges(*(np.asarray(of[k].values.field(j)) for j in (0, 1, 2)), agree)
+                agreed = [(low, high) for low, high in agreed if high - low + 1 >= span and bounds[r] + low < bounds[r + 1]]
+                if agreed:
+                    rows.append(k)
+                    lows += [low for low, _ in agreed]
+                    parts += [value[bounds[r] + low : min(bounds[r] + high + 1, bounds[r + 1])] for low, high in agreed]
+                    ends.append(len(lows))
             sizes = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             inner = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
-            outer = pa.array(np.array(ends, dtype=np.int32))
+            outer, take = pa.array(np.array(ends, dtype=np.int32)), pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lead"), pa.ListArray.from_arrays(outer, pa.array(lows, pa.int32())), pa.ListArray.from_arrays(outer, inner)],
+                [part.column("doc_id").take(pa.array(row[rows].astype(np.int64))), asked.field("lead").take(take), pa.ListArray.from_arrays(outer, pa.array(lows, pa.int32())), pa.ListArray.from_arrays(outer, inner)],
                 names=["doc_id", "lead", "lows", "mine"],
             )
 
-    own = pairs.join(arrays.withColumnRenamed("shingles", "mine"), "doc_id").select("doc_id", "lead", "mine", "ranges")
-    own = own.mapInArrow(cut, f"doc_id {kind}, lead {kind}, lows array<int>, mine array<array<int>>").filter(F.size("lows") > 0)
+    own = docs.join(listed, "doc_id").mapInArrow(pieces, f"doc_id {kind}, lead {kind}, lows array<int>, mine array<array<int>>")
     both = own.join(arrays.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("theirs")), "lead")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, out = [], []
+            theirs, order = None, None
             for k in range(batch.num_rows):
-                theirs = np.asarray(batch.column("theirs")[k].values)
-                order = np.argsort(theirs, kind="stable")
+                other = np.asarray(batch.column("theirs")[k].values)
+                # rows of one lead mostly follow one another
+                if theirs is None or not np.array_equal(other, theirs):
+                    theirs, order = other, np.argsort(other, kind="stable")
                 for low, part in zip(batch.column("lows")[k].as_py(), batch.column("mine")[k].values, strict=True):
                     mine = np.asarray(part.values)
                     for first, last, *rest in passages(mine, theirs, [(0, len(mine) - 1)], span, similarity, order):
