@@ -3,12 +3,13 @@
 Documents with equal shingle sets form classes. Each class is posted under every (coordinate, minimum) pair of its
 MinHash signature. Two sets of the wanted similarity agree in at least ``matches`` coordinates (up to a chance of about one
 in a hundred thousand), so they share a posting among the first ``coordinates - matches + 1`` of each, in order of
-rising frequency; postings behind that prefix, above all the very frequent ones, are skipped. Collisions are then
-counted on whole signatures, and links are confirmed on whole sets.
+rising frequency; postings behind that prefix, above all the very frequent ones, are skipped. Lists are split by size of
+set, since sets of the wanted similarity have sizes in that ratio at least. A posting carries four bits of every
+coordinate; collisions are counted on these, which can only count too many, and links are confirmed on whole sets.
 
 Large groups are never expanded into all pairs: members are first compared with the leader of each posting list, the one
-that shares most with others. What is then still apart within a family of overlapping lists is compared block by block
-inside tasks, which give out one link for each component that a member reaches.
+that shares most with others. What is then still apart, but collides often enough, makes families, which are compared block
+by block inside tasks; these give out one link for each component that a member reaches.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spherecube.llm import texts as tx
@@ -28,6 +29,8 @@ from spherecube.llm.common import id_and_text, small_side, stored
 COORDINATES = 64
 MISS = 1e-5
 BLOCK_SHINGLES = 1_000_000
+#: members of a posting list that are compared with all others of it in one group
+BLOCK_MEMBERS = 4096
 
 
 def least_matches(coordinates: int, similarity: float, miss: float = MISS) -> int:
@@ -154,21 +157,44 @@ def _wanted_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return chosen.mapInArrow(compute, f"node {kind}, shingles array<bigint>").filter(F.size("shingles") > 0).dropDuplicates()
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """Pairs whose signatures collide in ``matches`` coordinates or more."""
+def _digests(classes: DataFrame, coordinates: int) -> DataFrame:
+    """node, n_shingles, digest: the lowest four bits of each minimum, sixteen coordinates to a long."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype="<u4").reshape(-1, coordinates) for c in ("sa", "sb"))
-                keep = np.flatnonzero((a == b).sum(axis=1) >= matches)
-                yield pa.RecordBatch.from_arrays([part.column(c).take(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+                minima = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype="<u4").reshape(part.num_rows, coordinates)
+                nibbles = np.zeros((part.num_rows, -(-coordinates // 16) * 16), dtype=np.uint64)
+                nibbles[:, :coordinates] = minima & np.uint32(15)
+                longs = (nibbles.reshape(part.num_rows, -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+                bounds = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * longs.shape[1])
+                digest = pa.ListArray.from_arrays(bounds, pa.array(tx.signed(longs.ravel())))
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("n_shingles"), digest], names=["node", "n_shingles", "digest"])
 
-    one = classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"), F.col("n_shingles").alias("na"))
-    two = classes.select(F.col("node").alias("b"), F.col("signature").alias("sb"), F.col("n_shingles").alias("nb"))
     kind = dict(classes.dtypes)["node"]
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(compute, f"a {kind}, b {kind}")
+    return classes.select("node", "n_shingles", "signature").mapInArrow(compute, f"node {kind}, n_shingles bigint, digest array<bigint>")
+
+
+def _collide(one: str, two: str, coordinates: int, matches: int, percent: int) -> Column:
+    """Whether two postings, with ``n`` and ``digest``, have sizes in the ratio and agree in ``matches`` coordinates or more."""
+    agree = F.lit(coordinates)
+    for k in range(-(-coordinates // 16)):
+        differ = F.col(f"{one}.digest")[k].bitwiseXOR(F.col(f"{two}.digest")[k])
+        pairs = differ.bitwiseOR(F.shiftright(differ, 1))
+        agree = agree - F.bit_count(pairs.bitwiseOR(F.shiftright(pairs, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+    na, nb = F.col(f"{one}.n"), F.col(f"{two}.n")
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (agree >= matches)
+
+
+def _posted(prefix: DataFrame, digests: DataFrame, percent: int) -> DataFrame:
+    """token, band, node, weight, n, digest: each posting in the list of its size and in that of the next smaller sizes.
+
+    Bands are a little wider than the ratio of sizes, so that of two sets that can be linked both lie in the list of the smaller.
+    """
+    band = F.floor(F.log("n_shingles") / (1.01 * math.log(100 / percent))) if percent < 100 else F.col("n_shingles")
+    placed = digests.select("node", F.col("n_shingles").alias("n"), "digest", band.alias("own"))
+    return prefix.join(placed, "node").select("token", F.explode(F.array("own", F.col("own") - 1)).alias("band"), "node", "weight", "n", "digest")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -180,20 +206,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("shared") * 100 >= (na + nb - F.col("shared")) * percent).select("a", "b")
 
 
-def _family_links(entries: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components that posting lists hold together: one for each member and component it reaches.
+def _candidates(entries: DataFrame, component: DataFrame, coordinates: int, matches: int, percent: int) -> DataFrame:
+    """a, b, ca, cb: members of a posting list in different components ca, cb that collide often enough.
+
+    A list whose members are all linked already has nothing to add. Long lists are compared in blocks of BLOCK_MEMBERS.
+    """
+    located = entries.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    located = stored(located.select("token", "band", "node", "component", "n", "digest"), "located")
+    mixed = located.groupBy("token", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
+    blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int")
+    mixed = stored(mixed.filter("low != high").select("token", "band", blocks.alias("blocks")), "mixed-lists")
+    members = located.join(small_side(mixed), ["token", "band"])
+    one = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).alias("one")
+    two = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("two")
+    same = [F.col(f"one.{c}") == F.col(f"two.{c}") for c in ("token", "band", "block")]
+    apart = (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component"))
+    met = one.join(two.hint("merge"), [*same, apart, _collide("one", "two", coordinates, matches, percent)])
+    return met.select(F.col("one.node").alias("a"), F.col("two.node").alias("b"), F.col("one.component").alias("ca"), F.col("two.component").alias("cb")).distinct()
+
+
+def _family_links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that candidate pairs hold together: one for each member and component it reaches.
 
-    A list whose members are all linked already has nothing to add. The others make families where they share members.
     Members outside a family's largest component are compared on whole sets with all members, block by block inside tasks;
     only links come out. Blocks have about BLOCK_SHINGLES shingles, and each side is repeated for the blocks of the other.
     """
-    located = entries.join(component, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    mixed = located.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("hub"))
-    mixed = stored(mixed.filter("low != high").select("token", "hub"), "mixed-lists")
-    open_entries = stored(located.join(small_side(mixed), "token"), "open-entries")
-    family = components(open_entries.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    placed = open_entries.select("node", "component").distinct().join(family.withColumnRenamed("component", "family"), "node", "left")
-    placed = placed.select("node", F.coalesce("family", "node").alias("family"), "component")
+    family = components(pairs.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    placed = pairs.select(F.col("a").alias("node"), F.col("ca").alias("component")).union(pairs.select("b", "cb")).distinct()
+    placed = placed.join(family.select(F.col("node").alias("component"), F.col("component").alias("family")), "component", "left")
+    placed = stored(placed.select("node", F.coalesce("family", "component").alias("family"), "component"), "placed")
+    sets = stored(_wanted_sets(docs, placed, shingle), "family-sets")
     placed = stored(placed.join(sets.select("node", F.size("shingles").alias("n")), "node"), "families")
     parts = placed.groupBy("family", "component").agg(F.sum("n").alias("n"))
     largest = parts.groupBy("family").agg(
@@ -232,7 +274,7 @@ def _family_links(entries: DataFrame, component: DataFrame, sets: DataFrame, per
                 found += [(node, nodes[k]) for k in hit[first]]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    kind = dict(entries.dtypes)["node"]
+    kind = dict(pairs.dtypes)["a"]
     keys = ["family", "i", "j"]
     return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(meet, f"a {kind}, b {kind}")
 
@@ -252,23 +294,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     of_set = signed.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("node")).filter("node is not null")
     classes = stored(signed.join(of_set, key).filter("doc_id = node").dropDuplicates([*key, "node"]).select("node", *key, "signature"), "classes")
     prefix = stored(_prefixes(_postings(classes, coordinates), coordinates, matches), "prefixes")
-    lists = prefix.groupBy("token").agg(
-        F.count("*").alias("members"), F.max_by("node", F.struct("weight", "node")).alias("first"),
-    ).filter("members > 1")
-    lists = stored(lists, "lists")
-    entries = stored(prefix.join(lists.select("token"), "token").select("token", "node"), "entries")
-
-    wanted = entries.select("node").distinct().join(classes, "node").select("node", *key)
-    sets = stored(_wanted_sets(docs, stored(wanted, "wanted"), shingle), "sets")
-
-    def proven(pairs: DataFrame) -> DataFrame:
-        agreeing = _agreeing(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), classes, coordinates, matches)
-        return stored(_confirmed(agreeing, sets, percent), "links")
-
-    with_leaders = entries.join(lists.select("token", "first"), "token")
-    links = proven(with_leaders.filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")))
-    component = components(links)
-    more = stored(_family_links(entries, component, sets, percent), "family-links")
+    posted = stored(_posted(prefix, _digests(classes, coordinates), percent), "posted")
+    entry = F.struct("node", "n", "digest")
+    lists = posted.groupBy("token", "band").agg(F.count("*").alias("members"), F.max_by(entry, F.struct("weight", "node")).alias("first")).filter("members > 1")
+    lists = stored(lists.select("token", "band", "first"), "lists")
+    with_leaders = posted.select("token", "band", entry.alias("own")).join(lists, ["token", "band"])
+    with_leaders = with_leaders.filter((F.col("own.node") != F.col("first.node")) & _collide("own", "first", coordinates, matches, percent))
+    pairs = with_leaders.select(F.least("own.node", "first.node").alias("a"), F.greatest("own.node", "first.node").alias("b"))
+    pairs = stored(pairs.distinct(), "leader-pairs")
+    sets = stored(_wanted_sets(docs, stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted"), shingle), "sets")
+    component = components(stored(_confirmed(pairs, sets, percent), "links"))
+
+    entries = posted.join(lists.select("token", "band"), ["token", "band"], "left_semi")
+    rest = stored(_candidates(entries, component, coordinates, matches, percent), "candidates")
+    more = stored(_family_links(rest, docs, shingle, percent), "family-links")
     if not more.isEmpty():
         component = components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
