@@ -31,6 +31,8 @@ MISS = 1e-5
 BLOCK_SHINGLES = 1_000_000
 #: members of a posting list that are compared with all others of it in one group
 BLOCK_MEMBERS = 4096
+#: pairs of members that a task holds at a time
+BLOCK_PAIRS = 500_000
 
 
 def least_matches(coordinates: int, similarity: float, miss: float = MISS) -> int:
@@ -206,33 +208,102 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("shared") * 100 >= (na + nb - F.col("shared")) * percent).select("a", "b")
 
 
+def _differing(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Number of four-bit places in which the rows of two digests differ, as :func:`_collide` counts them."""
+    bits = one ^ two
+    bits |= bits >> np.uint64(1)
+    bits |= bits >> np.uint64(2)
+    return np.bitwise_count(bits & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+
+
+def _pairs_within(group: np.ndarray, limit: int = BLOCK_PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (a, b) of rows with the same number in the sorted ``group``, about ``limit`` at a time."""
+    begin = np.searchsorted(group, group, side="left")
+    before = np.arange(len(group)) - begin
+    total = np.cumsum(before)
+    at = 0
+    while at < len(group):
+        done = total[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(total, done + limit, side="right")))
+        size = before[at:stop]
+        b = np.repeat(np.arange(at, stop), size)
+        a = np.arange(len(b)) - np.repeat(np.cumsum(size) - size, size) + begin[b]
+        yield a, b
+        at = stop
+
+
+def _join_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give the numbers that the pairs (a, b) hold together the same root; ``root`` is flat before and after."""
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        open_ = low != high
+        if not open_.any():
+            return
+        a, b = a[open_], b[open_]
+        np.minimum.at(root, high[open_], low[open_])
+        while True:
+            further = root[root]
+            if np.array_equal(further, root):
+                break
+            root[:] = further
+
+
 def _candidates(entries: DataFrame, component: DataFrame, coordinates: int, matches: int, percent: int) -> DataFrame:
-    """a, b, ca, cb: members of a posting list in different components ca, cb that collide often enough.
+    """node, component, other: members of a posting list that collide often enough with one of another component.
 
-    A list whose members are all linked already has nothing to add. Long lists are compared in blocks of BLOCK_MEMBERS.
+    Members whose components hang together by such pairs have the same ``other``, one of these components: a list gives out its
+    members, not its pairs. One whose members are all linked already has nothing to add. Long ones are compared in blocks of BLOCK_MEMBERS.
     """
     located = entries.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     located = stored(located.select("token", "band", "node", "component", "n", "digest"), "located")
     mixed = located.groupBy("token", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int")
     mixed = stored(mixed.filter("low != high").select("token", "band", blocks.alias("blocks")), "mixed-lists")
-    members = located.join(small_side(mixed), ["token", "band"])
-    one = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).alias("one")
-    two = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("two")
-    same = [F.col(f"one.{c}") == F.col(f"two.{c}") for c in ("token", "band", "block")]
-    apart = (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component"))
-    met = one.join(two.hint("merge"), [*same, apart, _collide("one", "two", coordinates, matches, percent)])
-    return met.select(F.col("one.node").alias("a"), F.col("two.node").alias("b"), F.col("one.component").alias("ca"), F.col("two.component").alias("cb")).distinct()
+    members = located.join(small_side(mixed), ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = members.select("token", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "digest")
+    cells = cells.repartition("token", "band", "i", "j").sortWithinPartitions("token", "band", "i", "j")
 
-
-def _family_links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between components that candidate pairs hold together: one for each member and component it reaches.
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, batch in tx.groups(batches, ["token", "band", "i", "j"]):
+            code = batch.column("component").dictionary_encode()
+            root, code = np.arange(len(code.dictionary)), np.asarray(code.indices).astype(np.int64)
+            n, block = np.asarray(batch.column("n")), np.asarray(batch.column("block"))
+            across = np.asarray(batch.column("i")) != np.asarray(batch.column("j"))
+            digest = np.asarray(batch.column("digest").flatten()).view(np.uint64).reshape(batch.num_rows, -1)
+            found = np.zeros(batch.num_rows, dtype=bool)
+            for a, b in _pairs_within(cell):
+                # pairs of one block are left to that block's own cell
+                some = (code[a] != code[b]) & ~(across[a] & (block[a] == block[b]))
+                a, b = a[some], b[some]
+                some = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
+                a, b = a[some], b[some]
+                some = coordinates - _differing(digest[a], digest[b]) >= matches
+                a, b = a[some], b[some]
+                found[a] = found[b] = True
+                _join_roots(root, code[a], code[b])
+            rows = np.flatnonzero(found)
+            first = np.zeros(len(root), dtype=np.int64)
+            first[code[::-1]] = np.arange(batch.num_rows)[::-1]
+            node = np.asarray(batch.column("node").dictionary_encode().indices)[rows]
+            rows = rows[np.unique(node, return_index=True)[1]]
+            component_of = batch.column("component")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(pa.array(rows)), component_of.take(pa.array(rows)), component_of.take(pa.array(first[root[code[rows]]]))],
+                names=["node", "component", "other"])
+
+    kind = dict(entries.dtypes)["node"]
+    return cells.mapInArrow(compute, f"node {kind}, component {kind}, other {kind}").distinct()
+
+
+def _family_links(met: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that colliding members hold together: one for each member and component it reaches.
 
     Members outside a family's largest component are compared on whole sets with all members, block by block inside tasks;
     only links come out. Blocks have about BLOCK_SHINGLES shingles, and each side is repeated for the blocks of the other.
     """
-    family = components(pairs.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    placed = pairs.select(F.col("a").alias("node"), F.col("ca").alias("component")).union(pairs.select("b", "cb")).distinct()
+    family = components(met.select(F.col("component").alias("a"), F.col("other").alias("b")))
+    placed = met.select("node", "component").distinct()
     placed = placed.join(family.select(F.col("node").alias("component"), F.col("component").alias("family")), "component", "left")
     placed = stored(placed.select("node", F.coalesce("family", "component").alias("family"), "component"), "placed")
     sets = stored(_wanted_sets(docs, placed, shingle), "family-sets")
@@ -274,7 +345,7 @@ def _family_links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int)
                 found += [(node, nodes[k]) for k in hit[first]]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    kind = dict(pairs.dtypes)["a"]
+    kind = dict(met.dtypes)["node"]
     keys = ["family", "i", "j"]
     return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(meet, f"a {kind}, b {kind}")
 

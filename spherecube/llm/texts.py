@@ -163,6 +163,34 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             lo = hi
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """Batches of whole groups, from rows sorted by ``keys`` (integers), with the number of each row's group in its batch."""
+
+    def numbered(waiting: list[pa.RecordBatch]) -> tuple[np.ndarray, pa.RecordBatch]:
+        batch = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+        edge = np.zeros(batch.num_rows, dtype=bool)
+        for c in keys:
+            edge[1:] |= np.diff(np.asarray(batch.column(c))) != 0
+        return np.cumsum(edge), batch
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = [np.asarray(batch.column(c)) for c in keys]
+        if waiting and any(waiting[-1].column(c)[-1].as_py() != x[0] for c, x in zip(keys, ids, strict=True)):
+            yield numbered(waiting)
+            waiting = []
+        change = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in ids])) + 1
+        if len(change):
+            cut = int(change[-1])
+            yield numbered([*waiting, batch.slice(0, cut)])
+            waiting, batch = [], batch.slice(cut)
+        waiting.append(batch)
+    if waiting:
+        yield numbered(waiting)
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     """The same bits as Spark's bigint."""
     return values.view(np.int64)

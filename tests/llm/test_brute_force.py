@@ -71,6 +71,25 @@ def test_least_matches():
     assert near_dup.least_matches(64, 1.0) == 64 and 30 < near_dup.least_matches(64, 0.8) < 45
 
 
+@pytest.mark.parametrize("size", [4096, 32])
+def test_lists_give_out_members_rather_than_pairs(spark, monkeypatch, size):
+    """A group that collides in several lists comes out once a member, whole or in blocks."""
+    monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", size)
+    alike = [[0x0123456789ABCDEF] * 4] * 150 + [[0x1032547698BADCFE] * 4] * 10
+    entries = [(token, 0, node, 100, digest) for token in range(6) for node, digest in enumerate(alike)]
+    entries += [(9, 0, 150, 100, alike[150]), (9, 0, 500, 70, alike[150]), (9, 0, 501, 100, [0x1111111111111111] * 4)]
+    entries = spark.createDataFrame(entries, "token bigint, band bigint, node bigint, n bigint, digest array<bigint>")
+    # members 0 to 49 are linked already, 150 and 151 too
+    component = spark.createDataFrame([*((k, 0) for k in range(50)), (150, 150), (151, 150)], "node bigint, component bigint")
+    rows = near_dup._candidates(entries, component, 64, 40, 80).collect()
+    met = {(r.node, r.component) for r in rows}
+    assert met == {(k, 0 if k < 50 else 150 if k == 151 else k) for k in range(160)}
+    assert len(rows) <= 160 * -(-160 // size)
+    root = np.arange(160)
+    near_dup._join_roots(root, np.array([r.component for r in rows]), np.array([r.other for r in rows]))
+    assert {int(root[c]) for _, c in met} == {0, 150}
+
+
 def test_compact_windows_exhaustively():
     rng = np.random.default_rng(1)
     for _ in range(20):
