@@ -101,7 +101,7 @@ def compact_windows(value: np.ndarray, row: np.ndarray, span: int) -> tuple[np.n
 def windows(docs: DataFrame, width: int, shingle: int, functions: int) -> DataFrame:
     """key (function and shingle), doc_id, low, high, at, same: compact windows as ranges of shingles of their document, and the minimum's place.
 
-    ``same`` is equal where the shingles of the window within reach of the minimum are.
+    ``same`` is equal where the shingles of the window within reach of the minimum are; it is 0 for functions beyond DIRECT.
     """
     span = width - shingle + 1
 
@@ -124,7 +124,9 @@ def windows(docs: DataFrame, width: int, shingle: int, functions: int) -> DataFr
                     continue
                 high = np.maximum.reduceat(right, begin)
                 at, low = at[begin], left[begin]
-                same = total[np.minimum(high, at + REACH * span) + 1] - total[np.maximum(low, at - REACH * span)]
+                same = np.zeros(len(at), dtype=np.uint64)
+                if f < DIRECT:
+                    same = total[np.minimum(high, at + REACH * span) + 1] - total[np.maximum(low, at - REACH * span)]
                 places = [pa.array((position[x] - start[at]).astype(np.int32)) for x in (low, high, at)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_key(mapped[at], f)), part.column("doc_id").take(pa.array(row[at])), *places, pa.array(tx.signed(same))],
@@ -232,16 +234,16 @@ def _chained(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) ->
     return one_way(x0, x1, y0, y1) + one_way(-x1, -x0, -y1, -y0) - (x1 - x0 + 1)
 
 
-def may_hold(member: np.ndarray, repeats: int, span: int, similarity: float, through: int | None = None) -> np.ndarray:
+def may_hold(member: np.ndarray, repeats: np.ndarray, span: int, similarity: float, through: int | None = None) -> np.ndarray:
     """Which rows of ``member`` (shingles of a text that another one has) leave room for a passage, through a given place if any.
 
-    Of a passage's different shingles the wanted share is in the other text. A shingle stands at most ``repeats`` times in the
-    row, so what the other text lacks counts for a part of that at least: no row that has a passage is ruled out.
+    Of a passage's different shingles the wanted share is in the other text. The shingle of each place stands ``repeats`` times in
+    the row, so one that the other text lacks counts for a part of that at each: no row that has a passage is ruled out.
     """
     return _best_score(member, 1 - similarity, similarity / repeats, span, through) >= -1e-9
 
 
-def _best_score(member: np.ndarray, gain: float, loss: float, span: int, through: int | None = None) -> np.ndarray:
+def _best_score(member: np.ndarray, gain: float, loss: np.ndarray, span: int, through: int | None = None) -> np.ndarray:
     """Highest sum over ``span`` places or more of each row (those through a given place), of gains for members and losses for others."""
     n = member.shape[1]
     if n < span:
@@ -255,6 +257,14 @@ def _best_score(member: np.ndarray, gain: float, loss: float, span: int, through
     return (score[:, stop] - best[:, np.minimum(stop - span, through)]).max(axis=1)
 
 
+def least_shared(repeats: np.ndarray, span: int, similarity: float, through: int) -> int:
+    """Different shingles that a passage through a place has in common with its partner at least; ``repeats`` as in :func:`may_hold`."""
+    total = np.concatenate([[0.0], np.cumsum(1 / repeats)])
+    first = np.arange(max(0, through - span + 1), min(through, len(repeats) - span) + 1)
+    different = (total[first + span] - total[first]).min(initial=span)
+    return max(1, math.ceil(similarity * different - 1e-9))
+
+
 def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]], span: int, similarity: float,
              order: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
     """Verified passages: (first, last, their first, their last, Jaccard similarity), in shingles, ends included.
@@ -269,8 +279,8 @@ def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]]
         part = mine[low : high + 1]
         near = np.minimum(np.searchsorted(ordered, part), max(len(ordered) - 1, 0))
         member = ordered[near] == part if len(ordered) else np.zeros(len(part), dtype=bool)
-        repeats = np.unique(part, return_counts=True)[1].max(initial=1)
-        if not may_hold(member[None], repeats, span, similarity)[0]:
+        _, back, times = np.unique(part, return_inverse=True, return_counts=True)
+        if not may_hold(member[None], times[back], span, similarity)[0]:
             continue
         here, there = counterparts(part, ordered, order)
         if len(here) == 0:
@@ -328,25 +338,46 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     docs = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
     span = width - shingle + 1
-    # taken again from the texts rather than stored: most windows are met once only
-    found = windows(docs, width, shingle, functions)
-    leads = found.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("other")).filter("lead != other").select("key", "lead")
-    shared = stored(found.join(leads, "key"), "shared-windows")
-    pairs = _agreeing(shared.filter("doc_id != lead"), agree)
-    verified = stored(_verified(docs, pairs, span, shingle, agree, similarity), "verified")
+    # most windows are met once only: they are shuffled once and not stored
+    holders = Window.partitionBy("key")
+    found = windows(docs, width, shingle, functions).withColumn("lead", F.min("doc_id").over(holders)).withColumn("other", F.max("doc_id").over(holders))
+    shared = stored(found.filter("lead != other").drop("other"), "shared-windows")
+    pairs = _agreeing(shared.filter("doc_id != lead"), agree, span)
+    verified = stored(_verified(docs, pairs, span, shingle, similarity), "verified")
 
     # what no passage covers meets every holder of its key, the lead too: two keys of a pair may have had different leads
     unsettled = stored(_unsettled(shared, verified, shingle), "unsettled")
     return verified.union(_among_holders(docs, shared, unsettled, span, shingle, similarity))
 
 
-def _agreeing(hits: DataFrame, agree: int) -> DataFrame:
-    """doc_id, lead, ranges of the pairs that meet in windows of at least ``agree`` functions."""
+def _agreeing(hits: DataFrame, agree: int, span: int) -> DataFrame:
+    """doc_id, lead, ranges (low, high) of ``span`` shingles or more in which windows of at least ``agree`` functions meet."""
     pairs = hits.groupBy("doc_id", "lead").agg(
-        F.collect_list(F.struct("low", "high", F.col("key").bitwiseAND(15).cast("int").alias("f"))).alias("ranges"),
+        F.collect_list(F.struct("low", "high", F.col("key").bitwiseAND(15).cast("int").alias("f"))).alias("windows"),
         F.bit_or(F.expr("shiftleft(1, cast(key & 15 as int))")).alias("mask"),
     )
-    return stored(pairs.filter(F.bit_count("mask") >= agree).drop("mask"), "pairs")
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met, rows, found, ends = batch.column("windows"), [], [], [0]
+            ends_met = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(met)))])
+            low, high, f = (np.asarray(met.flatten().field(c)) for c in ("low", "high", "f"))
+            for k in range(batch.num_rows):
+                own = slice(ends_met[k], ends_met[k + 1])
+                agreed = [r for r in agreed_ranges(low[own], high[own], f[own], agree) if r[1] - r[0] + 1 >= span]
+                if agreed:
+                    rows.append(k)
+                    found += agreed
+                    ends.append(len(found))
+            take, found = pa.array(rows, pa.int64()), np.array(found, dtype=np.int32).reshape(-1, 2)
+            ranges = pa.StructArray.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["low", "high"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(take), batch.column("lead").take(take), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ranges)],
+                names=["doc_id", "lead", "ranges"])
+
+    kind = dict(hits.dtypes)["doc_id"]
+    agreeing = pairs.filter(F.bit_count("mask") >= agree).select("doc_id", "lead", "windows")
+    return stored(agreeing.mapInArrow(compute, f"doc_id {kind}, lead {kind}, ranges array<struct<low: int, high: int>>"), "pairs")
 
 
 def _unsettled(shared: DataFrame, verified: DataFrame, shingle: int) -> DataFrame:
@@ -486,10 +517,11 @@ def _meeting(span: int, shingle: int, similarity: float):
             elsewhere = (times > 1)[code]
             order = np.argsort(code, kind="stable")
             holder = np.repeat(np.arange(len(size)), size)[order]
-            # how often a row has its commonest shingle
-            most = np.ones(len(size), dtype=np.int64)
+            # how often its row has each place's shingle
+            often = np.ones(len(flat), dtype=np.int64)
             opening = np.flatnonzero(np.concatenate([[True], (np.diff(code[order]) != 0) | (np.diff(holder) != 0)]))
-            np.maximum.at(most, holder[opening], np.diff(np.append(opening, len(order))))
+            times_there = np.diff(np.append(opening, len(order)))
+            often[order] = np.repeat(times_there, times_there)
             posted = np.concatenate([[0], np.cumsum(times)])
             flag = np.zeros(len(known), dtype=np.int32)
             for a in np.flatnonzero(opens).tolist():
@@ -499,11 +531,12 @@ def _meeting(span: int, shingle: int, similarity: float):
                 own = slice(offset[a], offset[a + 1])
                 if high == low or np.count_nonzero(elsewhere[own]) == 0:
                     continue
-                if not may_hold(elsewhere[own][None], int(most[a]), span, similarity, int(at[a] - start[a]))[0]:
+                minimum = int(at[a] - start[a])
+                if not may_hold(elsewhere[own][None], often[own], span, similarity, minimum)[0]:
                     continue
                 # a partner shares so many that it has one of the rarest, all but one fewer than those
                 distinct = np.unique(code[own][elsewhere[own]])
-                least = max(1, math.ceil(similarity * span / int(most[a]) - 1e-9))
+                least = least_shared(often[own], span, similarity, minimum)
                 rare = distinct[np.argsort(times[distinct], kind="stable")][: max(0, len(distinct) - least + 1)]
                 if not len(rare):
                     continue
@@ -511,7 +544,7 @@ def _meeting(span: int, shingle: int, similarity: float):
                 others = others[(others >= low) & (others < high)]
                 if i[a] != j[a]:
                     others = others[block[others] != block[a]]
-                hit = _first_similar(a, others, code, flat, offset, flag, most, int(at[a] - start[a]), span, similarity)
+                hit = _first_similar(a, others, code, flat, offset, flag, often, minimum, least, span, similarity)
                 if hit is not None:
                     b, (first, last, lo, hi, score) = hit
                     rows.append(a)
@@ -528,17 +561,16 @@ def _meeting(span: int, shingle: int, similarity: float):
     return compute
 
 
-def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarray, offset: np.ndarray, flag: np.ndarray, most: np.ndarray,
-                   minimum: int, span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
+def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarray, offset: np.ndarray, flag: np.ndarray, often: np.ndarray,
+                   minimum: int, least: int, span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
     """The first of the rows ``others`` with a verified passage around the minimum of row ``a``, and that passage.
 
-    Rows are ruled out, some at a time, by the number of their shingles that ``a`` has too and by :func:`may_hold`, then one by
-    one by what both sides lack: (1 - s) shared >= s (own + theirs), halved between the sides. The rest are verified.
+    Rows are ruled out, some at a time, by the number of their shingles that ``a`` has too (``least``) and by :func:`may_hold`, then one
+    by one by what both sides lack: (1 - s) shared >= s (own + theirs), halved between the sides. The rest are verified.
     """
     own = code[offset[a] : offset[a + 1]]
-    distinct, back, times = np.unique(own, return_inverse=True, return_counts=True)
-    repeats = int(times.max())
-    least = max(1, math.ceil(similarity * span / repeats - 1e-9))
+    distinct, back = np.unique(own, return_inverse=True)
+    repeats = often[offset[a] : offset[a + 1]]
     done, step = 0, 64
     while done < len(others):
         some = others[done : done + step]
@@ -552,7 +584,7 @@ def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarra
         met = np.flatnonzero(theirs)
         grid = np.zeros((len(some), len(distinct)), dtype=bool)
         grid[np.repeat(np.arange(len(some)), sizes)[met], theirs[met] - 1] = True
-        near = np.flatnonzero(grid.sum(axis=1) >= similarity * span / repeats - 1e-9)
+        near = np.flatnonzero(grid.sum(axis=1) >= least)
         if not len(near):
             continue
         near = near[may_hold(grid[near][:, back], repeats, span, similarity, minimum)]
@@ -562,7 +594,7 @@ def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarra
         for k, so_far in zip(near.tolist(), ours, strict=True):
             b = int(some[k])
             there = theirs[ends[k] - sizes[k] : ends[k]] > 0
-            if so_far + _best_score(there[None], half, similarity / int(most[b]), least)[0] < -1e-9:
+            if so_far + _best_score(there[None], half, similarity / often[offset[b] : offset[b + 1]], least)[0] < -1e-9:
                 continue
             for p in passages(mine, flat[offset[b] : offset[b + 1]], [(0, len(mine) - 1)], span, similarity):
                 if p[0] <= minimum <= p[1]:
@@ -570,7 +602,7 @@ def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarra
     return None
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, agree: int, similarity: float) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, similarity: float) -> DataFrame:
     """The passages of ``pairs`` that hold on whole shingle sets."""
     kind = dict(docs.dtypes)["doc_id"]
     leads = stored(pairs.select(F.col("lead").alias("doc_id")).distinct(), "leads")
@@ -591,9 +623,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, agree:
             row = np.repeat(np.arange(texts.n), np.asarray(pc.list_value_length(lists)))
             asked = lists.flatten()
             of, rows, lows, parts, ends = asked.field("ranges"), [], [], [], [0]
+            ends_of = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(of)))]).tolist()
+            lowest, highest = (np.asarray(of.flatten().field(c)).tolist() for c in ("low", "high"))
             for k, r in enumerate(row.tolist()):
-                agreed = agreed_ranges(*(np.asarray(of[k].values.field(j)) for j in (0, 1, 2)), agree)
-                agreed = [(low, high) for low, high in agreed if high - low + 1 >= span and bounds[r] + low < bounds[r + 1]]
+                own = slice(ends_of[k], ends_of[k + 1])
+                agreed = [(low, high) for low, high in zip(lowest[own], highest[own], strict=True) if bounds[r] + low < bounds[r + 1]]
                 if agreed:
                     rows.append(k)
                     lows += [low for low, _ in agreed]

@@ -159,6 +159,41 @@ def test_exact_copies_behind_looser_variants_of_smaller_ids(spark):
     assert set(wanted) <= got
 
 
+def test_least_shared_against_all_windows():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        row = rng.integers(0, rng.integers(2, 40), 30)
+        repeats = np.bincount(row)[row]
+        through = int(rng.integers(0, 30))
+        least = substring_dedup.least_shared(repeats, 12, 0.8, through)
+        for a in range(through + 1):
+            for b in range(max(a + 12, through + 1), 31):
+                assert least <= max(1, -(-8 * len(np.unique(row[a:b])) // 10))
+
+
+def test_a_repeated_shingle_does_not_let_all_pairs_through(monkeypatch):
+    """Stretches that lack a third of each other are ruled out unverified, also where a shingle stands in them often."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(1 << 20, 1 << 30, 93).astype(np.int32)
+    base[-8:] = 7
+    rows = []
+    for _ in range(40):
+        row = base.copy()
+        lost = rng.random(93) < 0.33
+        lost[[46, *range(85, 93)]] = False
+        row[lost] = rng.integers(1 << 20, 1 << 30, lost.sum())
+        rows.append(row)
+    rows.append(rows[11].copy())
+    n = len(rows)
+    same = {"key": [5] * n, "i": [0] * n, "j": [0] * n, "start": [0] * n, "at": [46] * n, "block": [0] * n, "open": [True] * n}
+    batch = pa.RecordBatch.from_pydict({**same, "doc_id": list(range(n)), "shingles": pa.array([r.tolist() for r in rows], pa.list_(pa.int32()))})
+    calls, verify = [], substring_dedup.passages
+    monkeypatch.setattr(substring_dedup, "passages", lambda *a: calls.append(1) or verify(*a))
+    out = list(substring_dedup._meeting(46, 5, 0.8)(iter([batch])))
+    assert [(b.column("doc_id").to_pylist(), b.column("source_doc_id").to_pylist()) for b in out] == [([40], [11])]
+    assert len(calls) < 5
+
+
 def test_decontamination_by_join_equals_by_broadcast(spark):
     rng = random.Random(2)
     items = [prose(rng, n) for n in (3, 9, 10, 14, 40)] + [["w1"]]
