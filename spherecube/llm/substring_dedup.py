@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ DIRECT = 3
 REACH = 2
 #: stretches of one minimum that are compared in a task
 BLOCK = 2048
+#: stretches that are compared at once without looking for those with rare shingles first
+FEW = 64
 
 
 def nearest_smaller(keys: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,16 +169,56 @@ def agreed_ranges(low: np.ndarray, high: np.ndarray, function: np.ndarray, agree
     return [(int(at[a]), int(at[b]) - 1) for a, b in zip(opens, closes, strict=True)]
 
 
-def counterparts(part: np.ndarray, ordered: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``part`` of the shingles that the other text has too, and the place each of them maps to there.
+class Places(NamedTuple):
+    """The shingles of a text or a part of it, sorted.
 
-    ``ordered`` are the other text's shingles sorted, ``order`` their places. Of several places the one on the longest
+    ``order`` are the places by shingle, ``ordered`` the shingles there, ``before`` the place before each one that has the same
+    shingle (-1: none), or None where all shingles differ.
+    """
+
+    order: np.ndarray
+    ordered: np.ndarray
+    before: np.ndarray | None
+
+    @classmethod
+    def of(cls, shingles: np.ndarray) -> Places:
+        order = np.argsort(shingles, kind="stable")
+        ordered = shingles[order]
+        again = np.flatnonzero(ordered[1:] == ordered[:-1])
+        if not len(again):
+            return cls(order, ordered, None)
+        before = np.full(len(order), -1)
+        before[order[again + 1]] = order[again]
+        return cls(order, ordered, before)
+
+    def find(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of some shingles where its places start and end in ``order``."""
+        first = np.searchsorted(self.ordered, shingles)
+        if self.before is not None:
+            return first, np.searchsorted(self.ordered, shingles, side="right")
+        if not len(self.ordered):
+            return first, first
+        return first, first + (self.ordered[np.minimum(first, len(self.ordered) - 1)] == shingles)
+
+    def repeats(self) -> np.ndarray | int:
+        """How often the shingle of each place stands there."""
+        if self.before is None:
+            return 1
+        times = np.diff(np.flatnonzero(np.concatenate([[True], self.ordered[1:] != self.ordered[:-1], [True]])))
+        repeats = np.empty(len(self.order), dtype=np.int64)
+        repeats[self.order] = np.repeat(times, times)
+        return repeats
+
+
+def counterparts(first: np.ndarray, times: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a text whose shingles the other text has too, and the place each of them maps to there.
+
+    The shingle of each place has the places ``order[first : first + times]`` in the other text. Of several the one on the longest
     chain counts: runs of consecutive shingles are chained over short gaps in both texts. Shingles that are so frequent
     that all their pairs would exceed ``PAIRS`` take the place nearest to that of the chosen ones around them.
     """
-    first, last = np.searchsorted(ordered, part, side="left"), np.searchsorted(ordered, part, side="right")
-    here = np.flatnonzero(last > first)
-    first, times = first[here], (last - first)[here]
+    here = np.flatnonzero(times)
+    first, times = first[here], times[here]
     there = order[first]
     if not len(here) or times.max() == 1:
         return here, there
@@ -185,19 +228,19 @@ def counterparts(part: np.ndarray, ordered: np.ndarray, order: np.ndarray) -> tu
     if len(rare):
         known[rare] = True
         n = times[rare]
-        owner = np.repeat(rare, n)
         ends = np.cumsum(n)
         y = order[np.repeat(first[rare] - ends + n, n) + np.arange(ends[-1])]
-        x = here[owner]
-        by = np.lexsort((x, y - x))
-        x, y, owner = x[by], y[by], owner[by]
-        opens = np.flatnonzero(np.concatenate([[True], (np.diff(y - x) != 0) | (np.diff(x) != 1)]))
+        # by diagonal, and along it
+        wide, high = int(here[-1]) + 1, len(order)
+        diagonal, x = np.divmod(np.sort((y - np.repeat(here[rare], n) + wide) * wide + np.repeat(here[rare], n)), wide)
+        y = diagonal - wide + x
+        opens = np.flatnonzero(np.concatenate([[True], (np.diff(diagonal) != 0) | (np.diff(x) != 1)]))
         closes = np.append(opens[1:], len(x)) - 1
         total = _chained(x[opens], x[closes], y[opens], y[closes])
-        weight = np.repeat(total, closes - opens + 1)
-        best = np.lexsort((y, -weight, owner))
-        best = best[np.concatenate([[True], np.diff(owner[best]) != 0])]
-        there[owner[best]] = y[best]
+        # the longest chain, and the smallest place of equal ones
+        best = np.zeros(wide, dtype=np.int64)
+        np.maximum.at(best, x, np.repeat(total, closes - opens + 1) * high + (high - 1 - y))
+        there[rare] = high - 1 - best[here[rare]] % high
     sure = np.flatnonzero(known)
     for k in np.flatnonzero(~known).tolist():
         at = int(np.searchsorted(sure, k))
@@ -216,24 +259,41 @@ def _chained(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) ->
 
     def one_way(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
         score = (x1 - x0 + 1).tolist()
-        a0, a1, b0, b1 = (v.tolist() for v in (x0, x1, y0, y1))
-        # runs by where they end in the other text; two neighbouring bins hold all that a run can follow
-        ended: dict[int, list[int]] = {}
-        for k in np.lexsort((y0, x0)).tolist():
-            from_x, to_x, from_y, to_y = a0[k], a1[k], b0[k], b1[k]
-            best = score[k]
-            for place in {(from_y - MAX_GAP - 1) // BIN, (from_y + MAX_GAP - 1) // BIN}:
-                alive = ended[place] = [m for m in ended.get(place, ()) if a1[m] >= from_x - MAX_GAP - 1]
-                for m in alive:
-                    if -MAX_GAP <= from_y - b1[m] - 1 <= MAX_GAP and a0[m] < from_x and a1[m] < to_x and b0[m] < from_y and b1[m] < to_y:
-                        best = max(best, score[m] + to_x - max(a1[m], from_x - 1))
-            score[k] = best
-            ended.setdefault(to_y // BIN, []).append(k)
+        for before, after in _following(x0, x1, y0, y1):
+            more = x1[after] - np.maximum(x1[before], x0[after] - 1)
+            for m, k, gain in zip(before.tolist(), after.tolist(), more.tolist(), strict=True):
+                if score[m] + gain > score[k]:
+                    score[k] = score[m] + gain
         return np.array(score)
 
     return one_way(x0, x1, y0, y1) + one_way(-x1, -x0, -y1, -y0) - (x1 - x0 + 1)
 
 
+def _following(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of runs of which the second goes on from the first, over gaps of up to ``MAX_GAP`` in both texts; by the second's ``x0``, some at a time."""
+    # runs by where they end: two neighbouring bins of the other text hold all that a run can follow
+    left, wide = int(x0.min()), int(x1.max() - x0.min()) + 1
+    ending = y1 // BIN * wide + x1 - left
+    order = np.argsort(ending)
+    ending = ending[order]
+    runs = np.argsort(x0, kind="stable")
+    bins = np.stack([(y0[runs] - MAX_GAP - 1) // BIN, (y0[runs] + MAX_GAP - 1) // BIN], axis=1) * wide
+    begin = np.searchsorted(ending, bins + np.maximum(x0[runs] - MAX_GAP - 1 - left, 0)[:, None])
+    n = np.searchsorted(ending, bins + (x1[runs] - left)[:, None]) - begin
+    n[bins[:, 0] == bins[:, 1], 1] = 0
+    ends = np.concatenate([[0], np.cumsum(n.sum(axis=1))])
+    done = 0
+    while done < len(runs):
+        stop = max(done + 1, int(np.searchsorted(ends, ends[done] + PAIRS, side="right")) - 1)
+        some, from_ = n[done:stop].ravel(), begin[done:stop].ravel()
+        after = np.repeat(runs[done:stop], n[done:stop].sum(axis=1))
+        before = order[np.repeat(from_ - np.cumsum(some) + some, some) + np.arange(len(after))]
+        gap = y0[after] - y1[before] - 1
+        good = (gap >= -MAX_GAP) & (gap <= MAX_GAP) & (x0[before] < x0[after]) & (y0[before] < y0[after]) & (y1[before] < y1[after])
+        yield before[good], after[good]
+        done = stop
+
+
 def may_hold(member: np.ndarray, repeats: np.ndarray, span: int, similarity: float, through: int | None = None) -> np.ndarray:
     """Which rows of ``member`` (shingles of a text that another one has) leave room for a passage, through a given place if any.
 
@@ -266,52 +326,72 @@ def least_shared(repeats: np.ndarray, span: int, similarity: float, through: int
 
 
 def passages(mine: np.ndarray, theirs: np.ndarray, ranges: list[tuple[int, int]], span: int, similarity: float,
-             order: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
+             index: Places | None = None, through: int | None = None) -> list[tuple[int, int, int, int, float]]:
     """Verified passages: (first, last, their first, their last, Jaccard similarity), in shingles, ends included.
 
     Shingles with a counterpart are chained over short gaps. A chain is a passage if its shingle set and that of the
-    stretch it maps to are similar enough; otherwise it is cut where it jumps most, and both parts are tried. ``order`` sorts ``theirs``.
+    stretch it maps to are similar enough; otherwise it is cut where it jumps most, and both parts are tried. ``index`` has
+    ``theirs`` sorted. Only passages through a given place of ``mine`` are looked for, if one is given.
     """
-    order = np.argsort(theirs, kind="stable") if order is None else order
-    ordered = theirs[order]
+    index = Places.of(theirs) if index is None else index
     found = []
     for low, high in ranges:
+        if through is not None and not low <= through <= high:
+            continue
         part = mine[low : high + 1]
-        near = np.minimum(np.searchsorted(ordered, part), max(len(ordered) - 1, 0))
-        member = ordered[near] == part if len(ordered) else np.zeros(len(part), dtype=bool)
-        _, back, times = np.unique(part, return_inverse=True, return_counts=True)
-        if not may_hold(member[None], times[back], span, similarity)[0]:
+        own = Places.of(part)
+        begin, stop = index.find(own.ordered)
+        first, times = np.empty_like(begin), np.empty_like(begin)
+        first[own.order], times[own.order] = begin, stop - begin
+        member = times > 0
+        at = np.flatnonzero(member)
+        if not len(at):
             continue
-        here, there = counterparts(part, ordered, order)
-        if len(here) == 0:
+        # a passage begins and ends with shingles that the other text has, and goes over no long gap
+        cut = np.flatnonzero(np.diff(at) > MAX_GAP) + 1
+        loss = np.full(len(part), similarity) / own.repeats()
+        ahead, behind = np.append(at[0], at[cut]) - 1, np.append(at[cut - 1], at[-1]) + 1
+        loss[ahead[ahead >= 0]] = loss[behind[behind < len(part)]] = len(part) + 1
+        if _best_score(member[None], 1 - similarity, loss, span, None if through is None else through - low)[0] < -1e-9:
             continue
-        here = here + low
-        todo = []
-        cut = np.flatnonzero(np.diff(here) > MAX_GAP) + 1
-        edges = [0, *cut.tolist(), len(here)]
-        todo = [(a, b) for a, b in zip(edges, edges[1:], strict=False)]
-        while todo:
-            a, b = todo.pop()
-            first, last = int(here[a]), int(here[b - 1])
-            if last - first + 1 < span:
-                continue
-            lo, hi = int(there[a:b].min()), int(there[a:b].max())
-            own = np.unique(mine[first : last + 1])
-            if hi - lo + 1 <= 4 * (last - first + 1):
-                other = np.unique(theirs[lo : hi + 1])
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                score = shared / (len(own) + len(other) - shared)
-                if score >= similarity:
-                    found.append((first, last, lo, hi, score))
-                    continue
-            jump = np.abs(np.diff(there[a:b]) - 1) + np.diff(here[a:b]) - 1
-            k = a + 1 + int(np.argmax(jump))
-            if jump.max() == 0:
-                continue
-            todo += [(a, k), (k, b)]
+        here, there = counterparts(first, times, index.order)
+        some = _fitting(here, there, own.before, index.before, span, similarity, None if through is None else through - low)
+        found += [(first + low, last + low, *rest) for first, last, *rest in some]
     return sorted(found)
 
 
+def _fitting(here: np.ndarray, there: np.ndarray, own: np.ndarray | None, other: np.ndarray | None, span: int, similarity: float,
+             through: int | None) -> list[tuple[int, int, int, int, float]]:
+    """The chains ``here`` is cut into that are similar enough to what they map to; ``own`` and ``other`` as in ``Places.before``."""
+
+    def different(before: np.ndarray | None, first: int, last: int) -> int:
+        return last - first + 1 if before is None else int(np.count_nonzero(before[first : last + 1] < first))
+
+    found = []
+    steps = np.diff(here)
+    jumps = np.abs(np.diff(there) - 1) + steps - 1
+    edges = [0, *(np.flatnonzero(steps > MAX_GAP) + 1).tolist(), len(here)]
+    todo = [(a, b) for a, b in zip(edges, edges[1:], strict=False)]
+    while todo:
+        a, b = todo.pop()
+        first, last = int(here[a]), int(here[b - 1])
+        if last - first + 1 < span or through is not None and not first <= through <= last:
+            continue
+        lo, hi = int(there[a:b].min()), int(there[a:b].max())
+        if hi - lo + 1 <= 4 * (last - first + 1):
+            # all shingles of the chain are in the stretch it maps to, and the others nowhere
+            shared = b - a if own is None else int(np.count_nonzero(own[here[a:b]] < first))
+            score = shared / (different(own, first, last) + different(other, lo, hi) - shared)
+            if score >= similarity:
+                found.append((first, last, lo, hi, score))
+                continue
+        k = int(np.argmax(jumps[a : b - 1])) if b - a > 1 else 0
+        if b - a == 1 or jumps[a + k] == 0:
+            continue
+        todo += [(a, a + k + 1), (a + k + 1, b)]
+    return found
+
+
 def _shingles(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, shingles: the hashes of all shingles in order, 32 bits of each (they are compared within two documents only)."""
 
@@ -513,9 +593,12 @@ def _meeting(span: int, shingle: int, similarity: float):
             bounds = np.append(np.flatnonzero(edge), len(key))
             rows, sources, spans, scores = [], [], [], []
             salted = (np.repeat(cell, size).astype(np.uint64) << np.uint64(32)) | flat.view(np.uint32)
-            known, code, times = np.unique(salted, return_inverse=True, return_counts=True)
+            order = np.argsort(salted, kind="stable")
+            fresh = np.concatenate([[True], np.diff(salted[order]) != 0])
+            times = np.diff(np.append(np.flatnonzero(fresh), len(order)))
+            code = np.empty(len(order), dtype=np.int64)
+            code[order] = np.cumsum(fresh) - 1
             elsewhere = (times > 1)[code]
-            order = np.argsort(code, kind="stable")
             holder = np.repeat(np.arange(len(size)), size)[order]
             # how often its row has each place's shingle
             often = np.ones(len(flat), dtype=np.int64)
@@ -523,28 +606,28 @@ def _meeting(span: int, shingle: int, similarity: float):
             times_there = np.diff(np.append(opening, len(order)))
             often[order] = np.repeat(times_there, times_there)
             posted = np.concatenate([[0], np.cumsum(times)])
-            flag = np.zeros(len(known), dtype=np.int32)
-            for a in np.flatnonzero(opens).tolist():
-                low = int(bounds[cell[a]])
-                high = low + int(np.searchsorted(document[low : a + 1], document[a]))
-                # shingles that no row of the cell has besides can't be shared
+            flag = np.zeros(len(times), dtype=np.int32)
+            minimum = at - start
+            low, high = bounds[cell], np.flatnonzero(np.diff(document, prepend=-1))[document - document[0]]
+            plain = np.diff(np.concatenate([[0], np.cumsum(often)])[offset]) == size
+            # shingles that no row of the cell has besides can't be shared
+            asked = np.flatnonzero(opens & (low < high))
+            asked = asked[_with_room(asked, elsewhere, often, offset, minimum, span, similarity)]
+            for a in asked.tolist():
                 own = slice(offset[a], offset[a + 1])
-                if high == low or np.count_nonzero(elsewhere[own]) == 0:
-                    continue
-                minimum = int(at[a] - start[a])
-                if not may_hold(elsewhere[own][None], often[own], span, similarity, minimum)[0]:
-                    continue
-                # a partner shares so many that it has one of the rarest, all but one fewer than those
-                distinct = np.unique(code[own][elsewhere[own]])
-                least = least_shared(often[own], span, similarity, minimum)
-                rare = distinct[np.argsort(times[distinct], kind="stable")][: max(0, len(distinct) - least + 1)]
-                if not len(rare):
-                    continue
-                others = np.unique(np.concatenate([holder[posted[c] : posted[c + 1]] for c in rare.tolist()]))
-                others = others[(others >= low) & (others < high)]
+                least = least_shared(often[own], span, similarity, int(minimum[a])) if not plain[a] else max(1, math.ceil(similarity * span - 1e-9))
+                others = np.arange(low[a], high[a])
+                if len(others) > FEW:
+                    # a partner shares so many that it has one of the rarest, all but one fewer than those
+                    distinct = np.unique(code[own][elsewhere[own]])
+                    rare = distinct[np.argsort(times[distinct], kind="stable")][: max(0, len(distinct) - least + 1)]
+                    if not len(rare):
+                        continue
+                    others = np.unique(np.concatenate([holder[posted[c] : posted[c + 1]] for c in rare.tolist()]))
+                    others = others[(others >= low[a]) & (others < high[a])]
                 if i[a] != j[a]:
                     others = others[block[others] != block[a]]
-                hit = _first_similar(a, others, code, flat, offset, flag, often, minimum, least, span, similarity)
+                hit = _first_similar(a, others, code, flat, offset, flag, often, plain, int(minimum[a]), least, span, similarity)
                 if hit is not None:
                     b, (first, last, lo, hi, score) = hit
                     rows.append(a)
@@ -561,15 +644,32 @@ def _meeting(span: int, shingle: int, similarity: float):
     return compute
 
 
+def _with_room(rows: np.ndarray, member: np.ndarray, often: np.ndarray, offset: np.ndarray, minimum: np.ndarray, span: int, similarity: float) -> np.ndarray:
+    """:func:`may_hold` for some rows of all the shingles, each through its minimum."""
+    room = np.zeros(len(rows), dtype=bool)
+    for done in range(0, len(rows), FEW):
+        some = rows[done : done + FEW]
+        before, size = minimum[some][:, None], (offset[some + 1] - offset[some])[:, None]
+        through = int(before.max())
+        # side by side with their minima in one column; no passage goes over what lies outside a row
+        at = np.arange(through + int((size - before).max())) - through + before
+        inside = (at >= 0) & (at < size)
+        places = np.where(inside, offset[some][:, None] + at, 0)
+        loss = np.where(inside, similarity / often[places], inside.shape[1] + 1)
+        room[done : done + FEW] = _best_score(member[places] & inside, 1 - similarity, loss, span, through) >= -1e-9
+    return room
+
+
 def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarray, offset: np.ndarray, flag: np.ndarray, often: np.ndarray,
-                   minimum: int, least: int, span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
+                   plain: np.ndarray, minimum: int, least: int, span: int, similarity: float) -> tuple[int, tuple[int, int, int, int, float]] | None:
     """The first of the rows ``others`` with a verified passage around the minimum of row ``a``, and that passage.
 
     Rows are ruled out, some at a time, by the number of their shingles that ``a`` has too (``least``) and by :func:`may_hold`, then one
-    by one by what both sides lack: (1 - s) shared >= s (own + theirs), halved between the sides. The rest are verified.
+    by one by what both sides lack: (1 - s) shared >= s (own + theirs), halved between the sides. The rest are verified. ``plain`` rows
+    have no shingle twice.
     """
     own = code[offset[a] : offset[a + 1]]
-    distinct, back = np.unique(own, return_inverse=True)
+    distinct, back = (own, slice(None)) if plain[a] else np.unique(own, return_inverse=True)
     repeats = often[offset[a] : offset[a + 1]]
     done, step = 0, 64
     while done < len(others):
@@ -596,9 +696,16 @@ def _first_similar(a: int, others: np.ndarray, code: np.ndarray, flat: np.ndarra
             there = theirs[ends[k] - sizes[k] : ends[k]] > 0
             if so_far + _best_score(there[None], half, similarity / often[offset[b] : offset[b + 1]], least)[0] < -1e-9:
                 continue
-            for p in passages(mine, flat[offset[b] : offset[b + 1]], [(0, len(mine) - 1)], span, similarity):
-                if p[0] <= minimum <= p[1]:
-                    return b, p
+            if plain[a] and plain[b]:
+                # each shared shingle has one place on either side
+                places_there = np.flatnonzero(there)
+                here = theirs[ends[k] - sizes[k] : ends[k]][places_there] - 1
+                by = np.argsort(here)
+                found = _fitting(here[by], places_there[by], None, None, span, similarity, minimum)
+            else:
+                found = passages(mine, flat[offset[b] : offset[b + 1]], [(0, len(mine) - 1)], span, similarity, None, minimum)
+            if found:
+                return b, min(found)
     return None
 
 
@@ -647,15 +754,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, span: int, shingle: int, simila
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, out = [], []
-            theirs, order = None, None
+            theirs, index = None, None
+            lists, lows, parts = batch.column("theirs"), batch.column("lows"), batch.column("mine")
+            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lows)))]).tolist()
+            lows, parts = np.asarray(lows.flatten()).tolist(), parts.flatten()
+            sizes = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(parts)))]).tolist()
+            ends_of = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))]).tolist()
+            mines, others = np.asarray(parts.flatten()), np.asarray(lists.flatten())
             for k in range(batch.num_rows):
-                other = np.asarray(batch.column("theirs")[k].values)
+                other = others[ends_of[k] : ends_of[k + 1]]
                 # rows of one lead mostly follow one another
                 if theirs is None or not np.array_equal(other, theirs):
-                    theirs, order = other, np.argsort(other, kind="stable")
-                for low, part in zip(batch.column("lows")[k].as_py(), batch.column("mine")[k].values, strict=True):
-                    mine = np.asarray(part.values)
-                    for first, last, *rest in passages(mine, theirs, [(0, len(mine) - 1)], span, similarity, order):
+                    theirs, index = other, Places.of(other)
+                for c in range(ends[k], ends[k + 1]):
+                    mine, low = mines[sizes[c] : sizes[c + 1]], lows[c]
+                    for first, last, *rest in passages(mine, theirs, [(0, len(mine) - 1)], span, similarity, index):
                         rows.append(k)
                         out.append((first + low, last + low, *rest))
             take = pa.array(rows, pa.int64())

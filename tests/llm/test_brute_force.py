@@ -142,6 +142,74 @@ def test_exact_copies_of_what_the_source_quotes_before():
     assert substring_dedup.passages(np.array(again), np.array(again), [(0, 2999)], 46, 0.8)
 
 
+def test_chains_of_runs_exhaustively():
+    """Runs follow one another over gaps of up to MAX_GAP in both texts; the longest chain through each, by trying all."""
+    rng = np.random.default_rng(4)
+    gap = substring_dedup.MAX_GAP
+    for n, wide in ((1, 20), (30, 60), (60, 300), (60, 40)):
+        x0, y0 = rng.integers(0, wide, n), rng.integers(0, wide, n)
+        size = rng.integers(1, 30, n)
+        x1, y1 = x0 + size - 1, y0 + size - 1
+
+        def longest(x0, x1, y0, y1):
+            best = (x1 - x0 + 1).tolist()
+            for k in np.lexsort((y0, x0)).tolist():
+                for m in range(len(x0)):
+                    near = x1[m] >= x0[k] - gap - 1 and abs(y0[k] - y1[m] - 1) <= gap
+                    if near and x0[m] < x0[k] and x1[m] < x1[k] and y0[m] < y0[k] and y1[m] < y1[k]:
+                        best[k] = max(best[k], best[m] + x1[k] - max(x1[m], x0[k] - 1))
+            return np.array(best)
+
+        want = longest(x0, x1, y0, y1) + longest(-x1, -x0, -y1, -y0) - size
+        assert substring_dedup._chained(x0, x1, y0, y1).tolist() == want.tolist()
+
+
+def test_passages_are_scored_on_sets_of_shingles():
+    """Also where shingles repeat within the part, the source, or both."""
+    rng = random.Random(9)
+    for kind in range(60):
+        words = 40 if kind % 2 else 1 << 30
+        base = [rng.randrange(words) for _ in range(30)] * 3 if kind % 3 == 0 else [rng.randrange(words) for _ in range(90)]
+        copy = [rng.randrange(1 << 30) if rng.random() < 0.02 else w for w in base]
+        mine = np.array([rng.randrange(1 << 30) for _ in range(20)] + copy, dtype=np.int32)
+        theirs = np.array(base + [rng.randrange(words) for _ in range(50)], dtype=np.int32)
+        found = substring_dedup.passages(mine, theirs, [(0, len(mine) - 1)], 46, 0.8)
+        assert found
+        for first, last, lo, hi, score in found:
+            own, other = set(mine[first : last + 1].tolist()), set(theirs[lo : hi + 1].tolist())
+            assert score == len(own & other) / len(own | other) >= 0.8 and last - first + 1 >= 46
+        for through in (5, 30, 64, 100):
+            assert substring_dedup.passages(mine, theirs, [(0, len(mine) - 1)], 46, 0.8, None, through) == [p for p in found if p[0] <= through <= p[1]]
+
+
+def test_nothing_is_chained_for_parts_between_long_gaps(monkeypatch):
+    """Where no stretch between two gaps has room for a passage, repeated shingles aren't paired."""
+    rng = np.random.default_rng(7)
+    base = np.tile(rng.integers(0, 1 << 30, 60).astype(np.int32), 4)
+    mine = base.copy()
+    for at in range(44, 240, 58):
+        mine[at : at + 13] = rng.integers(0, 1 << 30, 13)
+    listed = []
+    counterparts = substring_dedup.counterparts
+    monkeypatch.setattr(substring_dedup, "counterparts", lambda *a: listed.append(1) or counterparts(*a))
+    assert substring_dedup.passages(mine, base, [(0, len(mine) - 1)], 46, 0.8) == [] and not listed
+    mine[44:57] = base[44:57]
+    assert [p[:2] for p in substring_dedup.passages(mine, base, [(0, len(mine) - 1)], 46, 0.8)] == [(0, 101)] and listed
+
+
+def test_a_part_is_sorted_once_however_often_it_is_cut(monkeypatch):
+    """A part that maps to many places of its source is cut again and again; its sets are counted, not made anew."""
+    rng = np.random.default_rng(8)
+    theirs = rng.integers(0, 1 << 30, 3000).astype(np.int32)
+    mine = np.concatenate([theirs[a : a + 20] for a in range(0, 3000, 200)])
+    sorts = []
+    for name in ("unique", "argsort"):
+        plain = getattr(np, name)
+        monkeypatch.setattr(np, name, lambda *a, plain=plain, **k: sorts.append(1) or plain(*a, **k))
+    assert substring_dedup.passages(mine, theirs, [(0, len(mine) - 1)], 46, 0.8) == []
+    assert len(sorts) <= 3
+
+
 def test_exact_copies_behind_looser_variants_of_smaller_ids(spark):
     """Variants below the threshold hold the passage's minima, yet the copies among later documents are found."""
     rng = random.Random(12)
